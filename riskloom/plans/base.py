@@ -10,6 +10,7 @@ from ..functions.rowwise import rnd
 from ..operators.clean import clean_codes
 from ..operators.features import build_features
 from ..schema import INT_FEATURES, LABEL
+from ..session import materialize
 from ..sources.credit_view import credit_view
 
 RAW_INT = {"ID", "SEX", "EDUCATION", "MARRIAGE", "AGE", "PAY_0", "PAY_2", "PAY_3", "PAY_4",
@@ -30,6 +31,16 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_features(cleaned(spark, sf_dir))
 
 
+def credit_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The credit view written once (lineage cut) for multi-pass reports."""
+    return materialize(credit(spark, sf_dir))
+
+
+def features_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table written once (lineage cut) for multi-pass reports."""
+    return materialize(features(spark, sf_dir))
+
+
 def spark_round(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Project ``cols``, rounding the double ones."""
     return df.select(*[rnd(F.col(c), digits).alias(c) if c not in NON_DOUBLE else F.col(c)

@@ -25,7 +25,7 @@ def sql_long(cols, src, ids=(), value_cast="DOUBLE"):
 
 
 def _raw_numeric(spark, sf_dir):
-    df = B.credit(spark, sf_dir)
+    df = B.credit_m(spark, sf_dir)
     return df, numeric_columns(df)
 
 

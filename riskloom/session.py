@@ -55,3 +55,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster) for round-trip files and written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"riskloom-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return it with a
+    short lineage. Used before multi-pass reports: every later pass (and a
+    recomputation after a lost executor) reads the written table instead of
+    re-running the joins behind it. Never a local checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
