@@ -1 +1,304 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: preparation, training, model runs and scoring
+(§2.8, §2.9). Fitted models cannot be matched row by row against another
+engine, so model outputs get the rows-only check (plus unit tests on
+properties); the preparation statistics and rule scoring have oracles."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.bands import risk_level, rule_score
+from ..functions.rowwise import rnd
+from ..operators import prep as PR
+from ..operators.clean import clean_codes
+from ..operators.features import build_features
+from ..operators import train as TR
+from ..operators.split import kfold_column, stratified_split
+from ..schema import LABEL, MODEL_CATEGORICAL, MODEL_NUMERIC
+from ..session import scratch_path
+from . import base as B
+from .catalog import register
+from .oracle_base import with_base
+from .q_stats import SPLIT_CTE
+
+NULL_COLS = ["PAY_6", "BILL_AMT6", "PAY_AMT6"]
+STD_COLS = ["LIMIT_BAL", "AGE", "PAY_6"]
+LEVELS = {"SEX": [1, 2], "EDUCATION": [1, 2, 3, 4], "MARRIAGE": [1, 2, 3]}
+
+
+def splits(spark, sf_dir):
+    f = stratified_split(B.features_m(spark, sf_dir))
+    return f.filter(F.col("split") == "train"), f.filter(F.col("split") == "test")
+
+
+def _train_sql():
+    return SPLIT_CTE.strip() + ",\ntr AS (SELECT * FROM splitf WHERE side = 0)"
+
+
+# --- preparation -----------------------------------------------------------------
+@register("impute_median", with_base(_train_sql(), "med AS (SELECT " + ", ".join(
+    f"quantile_cont({c}, 0.5) AS m_{c}" for c in NULL_COLS) + " FROM tr)") + "SELECT ID, " + ", ".join(
+    f"{B.r(f'coalesce(CAST({c} AS DOUBLE), m_{c})')} AS {c}" for c in NULL_COLS) + " FROM feat, med")
+def q_impute_median(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    full = B.features_m(spark, sf_dir)
+    med = PR.fit_medians(train, NULL_COLS)
+    out = PR.impute_median(full.select("ID", *NULL_COLS), NULL_COLS, med)
+    return out.select("ID", *[rnd(F.col(c)).alias(c) for c in NULL_COLS])
+
+
+@register("impute_constant", with_base() + "SELECT ID, " + ", ".join(
+    f"coalesce({c}, 0) AS {c}" for c in MODEL_CATEGORICAL) + " FROM feat")
+def q_impute_constant(spark, sf_dir):
+    return PR.impute_constant(B.features(spark, sf_dir).select("ID", *MODEL_CATEGORICAL), MODEL_CATEGORICAL, 0)
+
+
+def _std_sql():
+    imp = {c: f"coalesce(CAST({c} AS DOUBLE), m_{c})" for c in STD_COLS}
+    return with_base(_train_sql(), "med AS (SELECT " + ", ".join(
+        f"quantile_cont({c}, 0.5) AS m_{c}" for c in STD_COLS) + " FROM tr)",
+        "st AS (SELECT " + ", ".join(f"avg({imp[c]}) AS a_{c}, stddev_pop({imp[c]}) AS s_{c}" for c in STD_COLS)
+        + " FROM tr, med)") + "SELECT ID, " + ", ".join(
+        f"{B.r(f'({imp[c]} - a_{c}) / (CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END)')} AS {c}" for c in STD_COLS) \
+        + " FROM feat, med, st"
+
+
+@register("standardize", _std_sql())
+def q_standardize(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    st = PR.fit_prep(train, numeric=STD_COLS, categorical=[], k=len(STD_COLS))
+    out = PR.prepare(B.features_m(spark, sf_dir), st, keep=("ID",))
+    return out.select("ID", *[rnd(F.col(c)).alias(c) for c in STD_COLS])
+
+
+_OH = [(c, v) for c in MODEL_CATEGORICAL for v in LEVELS[c]]
+
+
+@register("one_hot", with_base() + "SELECT ID, " + ", ".join(
+    f"CASE WHEN coalesce({c}, 0) = {v} THEN 1.0 ELSE 0.0 END AS {c}_{v}" for c, v in _OH) + " FROM feat")
+def q_one_hot(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    st = PR.fit_prep(train, numeric=[], categorical=MODEL_CATEGORICAL, k=0)
+    return PR.prepare(B.features_m(spark, sf_dir), st, keep=("ID",))
+
+
+def _kbest_sql():
+    imp = {c: f"coalesce(CAST({c} AS DOUBLE), m_{c})" for c in MODEL_NUMERIC}
+    cols = [(c, imp[c]) for c in MODEL_NUMERIC] + \
+           [(f"{c}_{v}", f"CASE WHEN coalesce({c}, 0) = {v} THEN 1.0 ELSE 0.0 END") for c, v in _OH]
+    pos = {n: i for i, (n, _) in enumerate(cols)}
+    lf = " UNION ALL ".join(f"SELECT '{n}' AS feature, {pos[n]} AS pos, is_default AS side, {e} AS value FROM tr, med"
+                            for n, e in cols)
+    return with_base(
+        _train_sql(),
+        "med AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in MODEL_NUMERIC) + " FROM tr)",
+        f"lf AS ({lf})",
+        """per AS (SELECT feature, pos, side, count(value) AS nk, avg(value) AS mk, var_pop(value) AS vk
+        FROM lf GROUP BY feature, pos, side),
+tot AS (SELECT feature, sum(nk) AS n, count(*) AS k, sum(nk * mk) / sum(nk) AS gm FROM per GROUP BY feature),
+fs AS (SELECT per.feature, any_value(pos) AS pos,
+              (sum(nk * (mk - gm) * (mk - gm)) / (any_value(k) - 1)) / nullif(sum(nk * vk) / (any_value(n) - any_value(k)), 0) AS f
+       FROM per JOIN tot ON per.feature = tot.feature GROUP BY per.feature),
+rk AS (SELECT feature, pos, f, row_number() OVER (ORDER BY coalesce(f, -1.0) DESC, pos) AS rank FROM fs)""")
+
+
+@register("select_k_best", _kbest_sql() + f"""
+SELECT feature, {B.r('f', 4)} AS f_statistic, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 20""")
+def q_select_k_best(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    st = PR.fit_prep(train)
+    rows = PR.select_k_best(st)
+    df = spark.createDataFrame(rows, "feature string, f_statistic double, rank int")
+    return df.select("feature", rnd(F.col("f_statistic"), 4).alias("f_statistic"), "rank")
+
+
+@register("feature_names", _kbest_sql() + """
+SELECT CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS position, feature FROM rk WHERE rank <= 20""")
+def q_feature_names(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    st = PR.fit_prep(train)
+    return spark.createDataFrame(list(enumerate(st.selected)), "position int, feature string")
+
+
+@register("class_weight_balanced", with_base(_train_sql()) + f"""
+SELECT is_default AS class, CAST(count(*) AS BIGINT) AS n,
+       {B.r('(SELECT count(*) FROM tr) / (2.0 * count(*))')} AS weight FROM tr GROUP BY is_default""")
+def q_class_weight_balanced(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    w = TR.class_weights(train)
+    return w.select("class", "n", rnd(F.col("weight")).alias("weight"))
+
+
+@register("stratified_kfold", with_base(_train_sql()) + """
+SELECT ID, CAST(CAST(('0x' || substr(md5(CAST(ID AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 3 AS INTEGER) AS fold
+FROM tr""")
+def q_stratified_kfold(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    return kfold_column(train, 3, 42).select("ID", "fold")
+
+
+# --- models (rows-only) -----------------------------------------------------------
+@register("assemble_features")
+def q_assemble_features(spark, sf_dir):
+    train, test = splits(spark, sf_dir)
+    st = PR.fit_prep(train)
+    return PR.prep_model(st).transform(test).select("ID", "features")
+
+
+def _fit_predict(spark, sf_dir, model_type, params):
+    train, test = splits(spark, sf_dir)
+    model, _ = TR.fit_model(train, model_type, params)
+    return TR.predict(model, test)
+
+
+@register("train_logistic")
+def q_train_logistic(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 100})
+
+
+@register("train_random_forest")
+def q_train_random_forest(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, "random_forest", {"n_estimators": 20, "max_depth": 10,
+                                                         "class_weight": "balanced", "random_state": 42})
+
+
+@register("train_gradient_boosting")
+def q_train_gradient_boosting(spark, sf_dir):
+    return _fit_predict(spark, sf_dir, "gradient_boosting", {"n_estimators": 20, "learning_rate": 0.1,
+                                                             "max_depth": 3, "random_state": 42})
+
+
+@register("grid_search")
+def q_grid_search(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    train = kfold_column(train, 3, 42)
+    best, results = TR.grid_search(train, "logistic", {"max_iter": 100},
+                                   {"C": [0.1, 1.0, 10.0], "class_weight": ["balanced"]}, folds=3)
+    rows = [(str(sorted(p.items())), float(a), p == best) for p, a in results]
+    return spark.createDataFrame(rows, "params string, mean_roc_auc double, best boolean")
+
+
+SMALL_EXPERIMENTS = [
+    TR.Experiment("Logistic Regression - GridSearch", "logistic", True, {"max_iter": 100},
+                  {"C": [0.1, 1.0], "class_weight": ["balanced"]}),
+    TR.Experiment("Random Forest - GridSearch", "random_forest", True, {"random_state": 42},
+                  {"n_estimators": [10], "max_depth": [5, 10], "class_weight": ["balanced"]}),
+    TR.Experiment("Gradient Boosting - GridSearch", "gradient_boosting", True, {"random_state": 42},
+                  {"n_estimators": [10], "learning_rate": [0.1, 0.2], "max_depth": [3]}),
+    TR.Experiment("Logistic Regression - Balanced", "logistic", False,
+                  {"C": 0.1, "class_weight": "balanced", "max_iter": 100}),
+    TR.Experiment("Random Forest - Default", "random_forest", False, {"n_estimators": 20, "random_state": 42}),
+]
+
+LOG_SCHEMA = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("model_type", T.StringType()),
+    T.StructField("use_grid_search", T.BooleanType()),
+    T.StructField("params", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("roc_auc", T.DoubleType()), T.StructField("precision", T.DoubleType()),
+    T.StructField("recall", T.DoubleType()), T.StructField("f1", T.DoubleType()),
+    T.StructField("accuracy", T.DoubleType()), T.StructField("seconds", T.DoubleType())])
+
+
+_RUNS: dict[str, list] = {}
+
+
+def _run(spark, sf_dir):
+    """The experiment log for ``sf_dir``; the log rows (one per experiment)
+    are kept so the log, its table and best-run queries share one run."""
+    if sf_dir in _RUNS:
+        return spark.createDataFrame(_RUNS[sf_dir], LOG_SCHEMA), None, None
+    train, test = splits(spark, sf_dir)
+    train = kfold_column(train, 3, 42)
+    log, model, name = TR.run_experiments(train, test, SMALL_EXPERIMENTS, folds=3)
+    rows = [tuple(r[f.name] for f in LOG_SCHEMA.fields) for r in log]
+    _RUNS[sf_dir] = rows
+    return spark.createDataFrame(rows, LOG_SCHEMA), model, name
+
+
+@register("run_experiments")
+def q_run_experiments(spark, sf_dir):
+    return _run(spark, sf_dir)[0]
+
+
+@register("experiment_log")
+def q_experiment_log(spark, sf_dir):
+    """The run log appended to a table in the shared folder and read back."""
+    log = _run(spark, sf_dir)[0].withColumn("started_at", F.current_timestamp())
+    path = scratch_path(spark, "runs")
+    log.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("best_run")
+def q_best_run(spark, sf_dir):
+    log = _run(spark, sf_dir)[0]
+    return log.orderBy(F.col("roc_auc").desc_nulls_last(), F.col("name")).limit(1)
+
+
+@register("feature_importance_topk")
+def q_feature_importance_topk(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    model, _ = TR.fit_model(train, "random_forest", {"n_estimators": 20, "max_depth": 10, "random_state": 42})
+    imp = spark.createDataFrame(TR.feature_importances(model), "feature string, importance double")
+    tot = imp.agg(F.sum("importance").alias("total"), F.max("importance").alias("max_importance"),
+                  F.min("importance").alias("min_importance"))
+    top = imp.orderBy(F.col("importance").desc(), "feature").limit(15)
+    from pyspark.sql import Window
+    return (top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("importance").desc(), "feature")))
+            .crossJoin(tot))
+
+
+def _saved_model(spark, sf_dir):
+    train, test = splits(spark, sf_dir)
+    model, _ = TR.fit_model(train, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 100})
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    return path, test
+
+
+@register("save_model")
+def q_save_model(spark, sf_dir):
+    path, test = _saved_model(spark, sf_dir)
+    return spark.createDataFrame([(path,)], "path string")
+
+
+@register("load_model")
+def q_load_model(spark, sf_dir):
+    path, test = _saved_model(spark, sf_dir)
+    return TR.predict(PipelineModel.load(path), test)
+
+
+def score_batch(model: PipelineModel, records, label=None):
+    """ID, prediction, probability, risk_level, model_status — one row per
+    request row: features (same formulas as training) → model, one narrow
+    transform, no shuffle."""
+    p = TR.predict(model, build_features(clean_codes(records)), label)
+    return p.select("ID", "prediction", "probability", risk_level(F.col("probability")).alias("risk_level"),
+                    F.lit("trained").alias("model_status"))
+
+
+def score_rules(records):
+    p = rule_score(F.col("PAY_0"), F.col("LIMIT_BAL"))
+    return records.select("ID", F.when(p > 0.5, 1).otherwise(0).alias("prediction"), p.alias("probability"),
+                          risk_level(p).alias("risk_level"), F.lit("rules").alias("model_status"))
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    train, _ = splits(spark, sf_dir)
+    model, _ = TR.fit_model(train, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 100})
+    requests = B.cleaned(spark, sf_dir).drop(LABEL, "is_test")
+    return score_batch(model, requests)
+
+
+@register("score_rules", with_base() + """
+SELECT ID, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction, p AS probability,
+       CASE WHEN p < 0.1 THEN 'very low' WHEN p < 0.2 THEN 'low' WHEN p < 0.4 THEN 'medium'
+            WHEN p < 0.6 THEN 'high' ELSE 'very high' END AS risk_level, 'rules' AS model_status
+FROM (SELECT ID, CAST(CASE WHEN PAY_0 <= 0 AND LIMIT_BAL > 100000 THEN 0.05
+                           WHEN PAY_0 <= 1 AND LIMIT_BAL > 50000 THEN 0.15
+                           WHEN PAY_0 >= 2 OR LIMIT_BAL < 20000 THEN 0.75 ELSE 0.3 END AS DOUBLE) AS p FROM clean)""")
+def q_score_rules(spark, sf_dir):
+    return score_rules(B.cleaned(spark, sf_dir))
