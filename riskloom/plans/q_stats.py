@@ -386,3 +386,47 @@ def q_numeric_drift_report(spark, sf_dir):
     return p.join(mom, "feature").select(
         "feature", rnd(F.col("psi")).alias("psi"), (F.col("psi") > 0.1).cast("int").alias("drift_detected"),
         rnd(F.col("reference_mean")).alias("reference_mean"), rnd(F.col("current_mean")).alias("current_mean"))
+
+
+# --- insights, plan-time column logic ------------------------------------------------
+def _insights(spark, sf_dir):
+    from ..operators import profile as P
+    from ..operators.insights import insight_rows
+    from ..operators.validate import data_issues
+    from ..operators.clean import numeric_columns
+    raw = B.credit_m(spark, sf_dir)
+    xs = [c for c in numeric_columns(raw) if c != LABEL]
+    ir = P.imbalance_ratio(raw, LABEL)
+    bands = P.corr_bands(P.corr_with_target(raw, xs, LABEL), 10)
+    issues = data_issues(raw, numeric_columns(raw))
+    sig = TS.feature_significance(long_format(raw, xs, ids=[LABEL]).withColumnRenamed(LABEL, "side"),
+                                  TTEST_FEATURES, p_values=True)
+    return insight_rows(ir, bands, issues, sig)
+
+
+@register("insight_rows")
+def q_insight_rows(spark, sf_dir):
+    return _insights(spark, sf_dir)
+
+
+@register("write_insights_text")
+def q_write_insights_text(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.files import write_insights_text
+    path = write_insights_text(_insights(spark, sf_dir).orderBy("idx"), scratch_path(spark, "insights"))
+    return spark.read.text(path)
+
+
+@register("resolve_target")
+def q_resolve_target(spark, sf_dir):
+    from ..operators.clean import resolve_target
+    df = B.credit(spark, sf_dir).withColumnRenamed(LABEL, "default")
+    t = resolve_target(df)
+    return df.agg(F.lit(t).alias("target_column"), F.avg(F.col(f"`{t}`")).alias("label_rate"))
+
+
+@register("common_columns")
+def q_common_columns(spark, sf_dir):
+    from ..operators.clean import common_columns
+    cols = common_columns(B.features(spark, sf_dir), B.cleaned(spark, sf_dir))
+    return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, column string")
