@@ -62,5 +62,11 @@ def materialize(df):
     short lineage. Used before multi-pass reports: every later pass (and a
     recomputation after a lost executor) reads the written table instead of
     re-running the joins behind it. Never a local checkpoint."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persisted first, so writing the checkpoint does not run the lineage a second time
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
