@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..schema import (DRIFT_ADVICE_HIGH, DRIFT_ADVICE_MEDIUM, DRIFT_THRESHOLD, KL_EPS, PSI_FLOOR,
                       PSI_HIGH, PSI_MEDIUM, PSI_SMOOTH)
-from .ranks import DEFAULT_BUCKETS, bounded_broadcast, quantile_arrays
+from .ranks import DEFAULT_BUCKETS, bounded_broadcast, count_le, quantile_arrays
 from .reshape import long_format
 
 MAX_FEATURES = 100_000
@@ -60,23 +60,23 @@ def psi_edges(lf: DataFrame, side: str = "side", buckets: int = 10, fallback: bo
     ref = lf.filter(F.col(side) == 0)
     probs = [i / buckets for i in range(buckets + 1)]
     q = quantile_arrays(ref, ["feature"], probs, buckets=kernel_buckets, n_keys_bound=MAX_FEATURES)
-    edges = q.select("feature", F.array_distinct("quantiles").alias("edges"))
+    edges = q.select("feature", F.array_distinct("quantiles").alias("edges"),
+                     F.element_at("quantiles", 1).alias("_mn"), F.element_at("quantiles", -1).alias("_mx"))
     if not fallback:
-        return edges
-    mm = ref.groupBy("feature").agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
+        return edges.select("feature", "edges")
+    # the 0 % and 100 % quantiles are the min and max: no extra pass for the fallback
     step = (F.col("_mx") - F.col("_mn")) / F.lit(float(buckets))
     lin = F.transform(F.sequence(F.lit(0), F.lit(buckets)),
                       lambda i: F.when(i == buckets, F.col("_mx")).otherwise(i * step + F.col("_mn")))
-    return (edges.join(mm, "feature")
-            .select("feature", F.when(F.size("edges") < 2, lin).otherwise(F.col("edges")).alias("edges")))
+    return edges.select("feature", F.when(F.size("edges") < 2, lin).otherwise(F.col("edges")).alias("edges"))
 
 
-def assign_bins(lf: DataFrame, edges: DataFrame) -> DataFrame:
+def assign_bins(lf: DataFrame, edges: DataFrame, max_edges: int = 21) -> DataFrame:
     """Adds ``bin`` (−1 when outside the edges) and ``n_bins``."""
     e = bounded_broadcast(edges, MAX_FEATURES)
     j = lf.join(e, "feature")
     nb = F.size("edges") - 1
-    k = F.size(F.filter("edges", lambda x: x <= F.col("value")))
+    k = count_le("edges", F.col("value"), max_edges)
     inside = (k >= 1) & (F.col("value") <= F.element_at("edges", -1)) & (nb >= 1)
     return j.select(*lf.columns, F.when(inside, F.least(k, nb) - 1).otherwise(F.lit(-1)).alias("bin"),
                     nb.alias("n_bins"))

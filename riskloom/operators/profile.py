@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ALLOWED_CODES
-from .ranks import bounded_broadcast, exact_quantiles
+from .ranks import bounded_broadcast, count_le, exact_quantiles
 from .reshape import long_format
 
 
@@ -159,7 +159,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, group: str | None = None)
                               lambda i: F.when(i == bins, F.col("_hi")).otherwise(i * step + F.col("_lo"))))
     eb = F.broadcast(edges) if group is None else bounded_broadcast(edges, 10_000)
     j = base.crossJoin(eb) if not keys else base.join(eb, keys)
-    j = j.withColumn("_bin", F.least(F.size(F.filter("_edges", lambda e: e <= F.col("_v"))), F.lit(bins)) - 1)
+    j = j.withColumn("_bin", F.least(count_le("_edges", F.col("_v"), bins + 1), F.lit(bins)) - 1)
     counts = j.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("count"))
     allbins = edges.select(*keys, F.posexplode(F.slice("_edges", 1, bins)).alias("bin", "lower"),
                            "_edges").withColumn("upper", F.element_at("_edges", F.col("bin") + 2)).drop("_edges")

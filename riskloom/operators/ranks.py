@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 BROADCAST_ROWS = 2_000_000
 DEFAULT_BUCKETS = 64
 
@@ -33,6 +35,12 @@ def bounded_broadcast(df: DataFrame, max_rows_bound: int, limit: int = BROADCAST
     return F.broadcast(df) if max_rows_bound <= limit else df
 
 
+def count_le(edges: str, v: Column, n: int | None = None) -> Column:
+    """#(edges[k] <= v) for an array of edges (n: its maximum length, unused
+    by this form; kept for callers that know it)."""
+    return F.size(F.filter(edges, lambda e: e <= v))
+
+
 def value_counts(df: DataFrame, keys: list[str], value: str = "value", side: str | None = None,
                  sides=(0, 1), weight: str | None = None) -> DataFrame:
     """(keys..., value, n[, n_<s> per side]) — one row per distinct value.
@@ -50,6 +58,12 @@ def value_counts(df: DataFrame, keys: list[str], value: str = "value", side: str
 def cumulative_counts(counts: DataFrame, keys: list[str], weights: list[str], value: str = "value",
                       buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000,
                       descending: bool = False) -> DataFrame:
+    return _cumulative(counts, keys, weights, value, buckets, n_keys_bound, descending)[0]
+
+
+def _cumulative(counts: DataFrame, keys: list[str], weights: list[str], value: str = "value",
+                buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000,
+                descending: bool = False) -> tuple[DataFrame, DataFrame]:
     """Adds ``cum_<w>`` (inclusive running sum of w in value order) and
     ``tot_<w>`` (per-key total) for each weight column.
 
@@ -69,8 +83,7 @@ def cumulative_counts(counts: DataFrame, keys: list[str], weights: list[str], va
         c = counts.crossJoin(edges)   # one row of edges
     else:
         c = counts.join(bounded_broadcast(edges, n_keys_bound), keys)
-    c = (c.withColumn("_b", F.size(F.filter("_edges", lambda e: e <= ordv)))
-         .drop("_edges"))
+    c = c.withColumn("_b", count_le("_edges", ordv, len(probs))).drop("_edges")
 
     bt = c.groupBy(*keys, "_b").agg(*[F.sum(w).alias(f"_bt_{w}") for w in weights])
     wk = Window.partitionBy(*keys).orderBy("_b") if keys else Window.orderBy("_b")
@@ -86,7 +99,8 @@ def cumulative_counts(counts: DataFrame, keys: list[str], weights: list[str], va
     out = c.select(*counts.columns,
                    *[(F.sum(w).over(wv) + F.col(f"_off_{w}")).alias(f"cum_{w}") for w in weights],
                    *[F.col(f"tot_{w}") for w in weights])
-    return out
+    totals = off.groupBy(*keys).agg(*[F.max(f"tot_{w}").alias(f"tot_{w}") for w in weights])
+    return out, totals
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], probs: list[float], value: str = "value",
@@ -96,11 +110,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], probs: list[float], value: s
     definition as numpy's default, Spark's ``percentile`` and DuckDB's
     ``quantile_cont``, computed without holding a group in one task."""
     keys = list(keys)
-    counts = value_counts(df, keys, value)
-    cum = cumulative_counts(counts, keys, ["n"], value, buckets, n_keys_bound)
+    counts = materialize(value_counts(df, keys, value))   # read by every branch below
+    cum, tot = _cumulative(counts, keys, ["n"], value, buckets, n_keys_bound)
     cum = cum.withColumn("_prev", F.col("cum_n") - F.col("n"))
 
-    totals = cum.groupBy(*keys).agg(F.max("tot_n").alias("_total"))
+    totals = tot.select(*keys, F.col("tot_n").alias("_total"))     # #keys rows
     targets = (totals
                .select(*keys, "_total", F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q"))
                .withColumn("_pos", (F.col("_total") - 1).cast("double") * F.col("q"))
@@ -146,7 +160,7 @@ def midrank_sums(df: DataFrame, keys: list[str], side: str, value: str = "value"
     """Two-sample rank statistics per key from one pass of cumulative counts:
     n0, n1, U0 (= Σ n0·(c1 − n1/2)), U1, tie term Σ(t³ − t), and the
     Kolmogorov–Smirnov distance max |C0/N0 − C1/N1|. Side values are 0/1."""
-    counts = value_counts(df, keys, value, side=side)
+    counts = materialize(value_counts(df, keys, value, side=side))
     cum = cumulative_counts(counts, keys, ["n_0", "n_1"], value, buckets, n_keys_bound)
     t = F.col("n_0") + F.col("n_1")
     return (cum.groupBy(*keys)

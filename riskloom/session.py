@@ -61,12 +61,22 @@ def materialize(df):
     """Write ``df`` to the shared checkpoint folder and return it with a
     short lineage. Used before multi-pass reports: every later pass (and a
     recomputation after a lost executor) reads the written table instead of
-    re-running the joins behind it. Never a local checkpoint."""
+    re-running the joins behind it. Never a local checkpoint.
+
+    A result with fewer partitions than the default parallelism (a small
+    table, or one derived from a single file) is written again round-robin
+    spread, so the passes that fan it out (unpivot × features) use every core.
+    """
     from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    target = spark.sparkContext.defaultParallelism
     # persisted first, so writing the checkpoint does not run the lineage a second time
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return df.checkpoint(eager=True)
+        out = df.checkpoint(eager=True)
     finally:
         df.unpersist()
+    if out.rdd.getNumPartitions() < target:
+        out = out.repartition(target).checkpoint(eager=True)
+    return out

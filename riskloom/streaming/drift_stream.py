@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.drift import MAX_FEATURES, small_table
-from ..operators.ranks import bounded_broadcast, quantile_arrays
+from ..operators.ranks import bounded_broadcast, count_le, quantile_arrays
 from ..schema import PSI_SMOOTH
 
 N_BINS = 10
@@ -34,7 +34,7 @@ def reference_profile(ref: DataFrame, group: str, value: str, buckets: int = N_B
 
 def _bin_expr(value: str = "value") -> F.Column:
     nb = F.size("edges") - 1
-    k = F.size(F.filter("edges", lambda x: x <= F.col(value)))
+    k = count_le("edges", F.col(value), N_BINS + 1)
     inside = (k >= 1) & (F.col(value) <= F.element_at("edges", -1)) & (nb >= 1)
     return F.when(inside, F.least(k, nb) - 1).otherwise(F.lit(-1))
 
