@@ -50,6 +50,7 @@ def make_classifier(model_type: str, params: dict, n_weighted: float | None = No
         reg = 1.0 / (c * n_weighted) if n_weighted else 0.0
         return LogisticRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=0.0,
                                   standardization=False, maxIter=int(p.get("max_iter", 100)),
+                                  tol=float(p.get("tol", 1e-4)),   # the source solver's stopping tolerance
                                   weightCol="weight" if balanced else None)
     if model_type == "random_forest":
         depth = p.get("max_depth")
