@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,13 +147,6 @@ def prep_stages(state: PrepState, keep=("ID",), features_col: str = "features"):
 
 
 def prep_model(state: PrepState, keep=("ID",)) -> PipelineModel:
-    """The fitted preparation as a PipelineModel (no estimator left to fit)."""
-    return Pipeline(stages=prep_stages(state, keep)).fit(_EmptyFrame.get())
-
-
-class _EmptyFrame:
-    """Pipeline.fit needs a DataFrame even when every stage is a Transformer."""
-    @staticmethod
-    def get():
-        from pyspark.sql import SparkSession
-        return SparkSession.getActiveSession().range(0)
+    """The fitted preparation as a PipelineModel (every stage is already a
+    Transformer, so no fit is needed)."""
+    return PipelineModel(stages=prep_stages(state, keep))

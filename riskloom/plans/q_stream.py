@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.rowwise import rnd
 from ..operators import validate as V
@@ -168,5 +167,3 @@ def q_score_stream(spark, sf_dir):
     q.awaitTermination()
     return spark.read.parquet(out)
 
-
-__all__ = ["T"]

@@ -23,7 +23,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         # checkpoint files of intermediate tables are removed once unreferenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
