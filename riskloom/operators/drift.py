@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..schema import (DRIFT_ADVICE_HIGH, DRIFT_ADVICE_MEDIUM, DRIFT_THRESHOLD, KL_EPS, PSI_FLOOR,
                       PSI_HIGH, PSI_MEDIUM, PSI_SMOOTH)
-from .ranks import DEFAULT_BUCKETS, bounded_broadcast, count_le, quantile_arrays
+from .ranks import bounded_broadcast, count_le, quantile_arrays
 from .reshape import long_format
 
 MAX_FEATURES = 100_000
@@ -53,7 +53,7 @@ def clean_values(lf: DataFrame, finite: bool = True) -> DataFrame:
 
 
 def psi_edges(lf: DataFrame, side: str = "side", buckets: int = 10, fallback: bool = True,
-              kernel_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              kernel_buckets: int | None = None) -> DataFrame:
     """(feature, edges): exact reference percentiles 0,10..100 with
     duplicates removed; with ``fallback`` a reference with < 2 distinct edges
     gets ``buckets + 1`` equal-width edges over [min, max]."""

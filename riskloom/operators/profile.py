@@ -50,7 +50,7 @@ def null_counts(df: DataFrame, cols=None) -> DataFrame:
     return wide.unpivot([], cols, "column", "null_count")
 
 
-def describe_numeric(df: DataFrame, cols: list[str], buckets: int = 64) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: list[str], buckets: int | None = None) -> DataFrame:
     """count, mean, std (n-1), min, 25/50/75 % (exact, linear), max per column."""
     lf = long_format(df, cols)
     mom = (lf.groupBy("feature")
@@ -67,7 +67,7 @@ def describe_numeric(df: DataFrame, cols: list[str], buckets: int = 64) -> DataF
 
 
 def iqr_outliers(df: DataFrame, cols: list[str], threshold_pct: float = 5.0,
-                 buckets: int = 64) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Share of rows outside [Q1 − 1.5·IQR, Q3 + 1.5·IQR] per column
     (percent of all rows, NULLs included in the denominator); flagged > 5 %."""
     lf = long_format(df, cols)

@@ -26,6 +26,17 @@ from ..session import materialize
 
 BROADCAST_ROWS = 2_000_000
 DEFAULT_BUCKETS = 64
+BUCKETS_CONF = "spark.riskloom.kernel.buckets"
+
+
+def kernel_buckets(df: DataFrame, buckets: int | None = None) -> int:
+    """Buckets per key: explicit argument, else the session setting
+    ``spark.riskloom.kernel.buckets``, else 64. Each running-sum window holds
+    about (distinct values per key) / buckets rows, so raise it on a cluster
+    for very high-cardinality columns (e.g. 1024)."""
+    if buckets:
+        return int(buckets)
+    return int(df.sparkSession.conf.get(BUCKETS_CONF, str(DEFAULT_BUCKETS)))
 
 
 def bounded_broadcast(df: DataFrame, max_rows_bound: int, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -56,13 +67,13 @@ def value_counts(df: DataFrame, keys: list[str], value: str = "value", side: str
 
 
 def cumulative_counts(counts: DataFrame, keys: list[str], weights: list[str], value: str = "value",
-                      buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000,
+                      buckets: int | None = None, n_keys_bound: int = 1000,
                       descending: bool = False) -> DataFrame:
     return _cumulative(counts, keys, weights, value, buckets, n_keys_bound, descending)[0]
 
 
 def _cumulative(counts: DataFrame, keys: list[str], weights: list[str], value: str = "value",
-                buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000,
+                buckets: int | None = None, n_keys_bound: int = 1000,
                 descending: bool = False) -> tuple[DataFrame, DataFrame]:
     """Adds ``cum_<w>`` (inclusive running sum of w in value order) and
     ``tot_<w>`` (per-key total) for each weight column.
@@ -72,6 +83,7 @@ def _cumulative(counts: DataFrame, keys: list[str], weights: list[str], value: s
     sizes the broadcast decision for the small side tables.
     """
     keys = list(keys)
+    buckets = kernel_buckets(counts, buckets)
     v = F.col(value)
     ordv = -v if descending else v
     probs = [i / buckets for i in range(1, buckets)]
@@ -104,7 +116,7 @@ def _cumulative(counts: DataFrame, keys: list[str], weights: list[str], value: s
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], probs: list[float], value: str = "value",
-                    buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000) -> DataFrame:
+                    buckets: int | None = None, n_keys_bound: int = 1000) -> DataFrame:
     """(keys..., q, quantile) with linear interpolation between order
     statistics: pos = (n-1)·q, lo + (hi - lo)·(pos - floor(pos)) — the same
     definition as numpy's default, Spark's ``percentile`` and DuckDB's
@@ -148,7 +160,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], probs: list[float], value: s
 
 
 def quantile_arrays(df: DataFrame, keys: list[str], probs: list[float], value: str = "value",
-                    buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000) -> DataFrame:
+                    buckets: int | None = None, n_keys_bound: int = 1000) -> DataFrame:
     """(keys..., quantiles array<double> in ``probs`` order)."""
     q = exact_quantiles(df, keys, probs, value, buckets, n_keys_bound)
     arr = F.transform(F.array_sort(F.collect_list(F.struct("q", "quantile"))), lambda s: s["quantile"])
@@ -156,7 +168,7 @@ def quantile_arrays(df: DataFrame, keys: list[str], probs: list[float], value: s
 
 
 def midrank_sums(df: DataFrame, keys: list[str], side: str, value: str = "value",
-                 buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000) -> DataFrame:
+                 buckets: int | None = None, n_keys_bound: int = 1000) -> DataFrame:
     """Two-sample rank statistics per key from one pass of cumulative counts:
     n0, n1, U0 (= Σ n0·(c1 − n1/2)), U1, tie term Σ(t³ − t), and the
     Kolmogorov–Smirnov distance max |C0/N0 − C1/N1|. Side values are 0/1."""

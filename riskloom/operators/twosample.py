@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tails import nan_to_null, p_chi2, p_f, p_ks, p_norm, p_t
-from .ranks import DEFAULT_BUCKETS, bounded_broadcast, midrank_sums
+from .ranks import bounded_broadcast, midrank_sums
 
 
 def side_moments(lf: DataFrame, side: str = "side") -> DataFrame:
@@ -39,7 +39,7 @@ def t_test(lf: DataFrame, side: str = "side", p_values: bool = True) -> DataFram
 
 
 def mann_whitney_u(lf: DataFrame, side: str = "side", p_values: bool = True,
-                   buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000) -> DataFrame:
+                   buckets: int | None = None, n_keys_bound: int = 1000) -> DataFrame:
     """U of the first sample (side 0), and the normal approximation with tie
     and continuity correction: z = (max(U0, U1) − n0·n1/2 − 0.5) / σ,
     σ² = n0·n1/12 · ((n + 1) − Σ(t³ − t)/(n(n − 1)))."""
@@ -54,7 +54,7 @@ def mann_whitney_u(lf: DataFrame, side: str = "side", p_values: bool = True,
 
 
 def ks_two_sample(lf: DataFrame, side: str = "side", p_values: bool = True,
-                  buckets: int = DEFAULT_BUCKETS, n_keys_bound: int = 1000) -> DataFrame:
+                  buckets: int | None = None, n_keys_bound: int = 1000) -> DataFrame:
     """D = sup |F0 − F1| over the pooled values (exact), asymptotic p-value."""
     r = midrank_sums(lf, ["feature"], side, buckets=buckets, n_keys_bound=n_keys_bound)
     out = r.select("feature", "n0", "n1", F.col("ks").alias("statistic"))
@@ -123,7 +123,7 @@ def chi_square_gof(lf: DataFrame, side: str = "side", p_values: bool = True) ->
 
 def feature_significance(lf: DataFrame, t_features: list[str], side: str = "side",
                          alpha: float = 0.05, p_values: bool = True,
-                         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                         buckets: int | None = None) -> DataFrame:
     """t-test for ``t_features``, Mann–Whitney U for the others; class means;
     ``significant`` = p < alpha. Both tests share the same long input."""
     t_in = lf.filter(F.col("feature").isin(*t_features))
