@@ -190,12 +190,24 @@ def drift_recommendations(status: DataFrame) -> DataFrame:
                          .when(s == "medium", F.lit(DRIFT_ADVICE_MEDIUM)).alias("recommendation"))
 
 
+def categorical_features(lf: DataFrame, side: str = "side", max_levels: int = 20) -> DataFrame:
+    """(feature) rows whose reference sample has fewer than ``max_levels``
+    distinct non-null values: distinct (feature, value) pairs, then a count
+    per feature — one row per feature comes out."""
+    ref = lf.filter((F.col(side) == 0) & F.col("value").isNotNull()).select("feature", "value").distinct()
+    return ref.groupBy("feature").agg(F.count(F.lit(1)).alias("_nd")).filter(F.col("_nd") < max_levels) \
+        .select("feature")
+
+
 def feature_drift_report(lf: DataFrame, categorical: DataFrame | None = None, side: str = "side",
-                         threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+                         threshold: float = DRIFT_THRESHOLD, auto_categorical: bool = True) -> DataFrame:
     """Per feature: PSI (smoothed), drift flag, χ² for categorical features
-    (``categorical``: (feature) rows), and the moments of both samples."""
+    (``categorical``: (feature) rows; by default the features with < 20
+    distinct reference values), and the moments of both samples."""
     from .twosample import chi_square_gof
     base = clean_values(lf, finite=False)
+    if categorical is None and auto_categorical:
+        categorical = categorical_features(base, side)
     p = psi(lf, "smoothed", side)
     mom = (base.groupBy("feature")
            .agg(F.avg(F.when(F.col(side) == 0, F.col("value"))).alias("reference_mean"),

@@ -339,10 +339,11 @@ _FDR_COLS = FEAT_NUM
 
 
 @register("feature_drift_report", with_base(lf_is_test_sql(_FDR_COLS), psi_sql_ctes("smoothed").strip().rstrip(","),
+                                            """cat AS (SELECT feature FROM lf WHERE side = 0 AND value IS NOT NULL
+        AND NOT isnan(value) GROUP BY feature HAVING count(DISTINCT value) < 20)""",
                                             _CHI_SQL.strip().replace("FROM lf WHERE value IS NOT NULL GROUP BY ALL",
-                                                                     "FROM lf WHERE value IS NOT NULL AND feature IN ("
-                                                                     + ", ".join(f"'{c}'" for c in CAT_FEATURES)
-                                                                     + ") GROUP BY ALL"), """
+                                                                     "FROM lf WHERE value IS NOT NULL AND NOT isnan(value) "
+                                                                     "AND feature IN (SELECT feature FROM cat) GROUP BY ALL"), """
 mom AS (SELECT feature, avg(value) FILTER (WHERE side = 0) AS rm, avg(value) FILTER (WHERE side = 1) AS cm,
                stddev_samp(value) FILTER (WHERE side = 0) AS rs, stddev_samp(value) FILTER (WHERE side = 1) AS cs
         FROM lf WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature)""") + f"""
@@ -353,8 +354,7 @@ FROM psi_res JOIN mom ON psi_res.feature = mom.feature LEFT JOIN chi ON psi_res.
           headline=True)
 def q_feature_drift_report(spark, sf_dir):
     lf = _lf_is_test(spark, sf_dir, _FDR_COLS)
-    cat = spark.createDataFrame([(c,) for c in CAT_FEATURES], "feature string")
-    r = D.feature_drift_report(lf, cat)
+    r = D.feature_drift_report(lf)
     return r.select("feature", rnd(F.col("psi")).alias("psi"), "drift_detected",
                     rnd(F.col("chi2_statistic")).alias("chi2_statistic"),
                     *[rnd(F.col(c)).alias(c) for c in ["reference_mean", "current_mean", "reference_std", "current_std"]])
