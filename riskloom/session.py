@@ -73,12 +73,12 @@ def materialize(df):
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     target = spark.sparkContext.defaultParallelism
-    # persisted first, so writing the checkpoint does not run the lineage a second time
+    # computed once into the cache; the checkpoint then writes from it
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        out = df.checkpoint(eager=True)
+        df.count()
+        n = df.rdd.getNumPartitions()
+        src = df.repartition(target) if n < target else df
+        return src.checkpoint(eager=True)
     finally:
         df.unpersist()
-    if out.rdd.getNumPartitions() < target:
-        out = out.repartition(target).checkpoint(eager=True)
-    return out
