@@ -127,22 +127,20 @@ def corr_bands(corr: DataFrame, top_n: int = 10, high: float = 0.1, medium: floa
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Lower triangle (i > j) of the Pearson matrix, pairwise-complete, in one
-    aggregate; rows (feature_a, feature_b, corr)."""
-    aggs, names = [], []
-    for i, a in enumerate(cols):
-        for b in cols[:i]:
-            xa = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-            xb = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-            tag = f"{i}_{cols.index(b)}"
-            aggs += [F.covar_samp(xa, xb).alias(f"c_{tag}"), F.stddev_samp(xa).alias(f"sa_{tag}"),
-                     F.stddev_samp(xb).alias(f"sb_{tag}")]
-            names.append((a, b, tag))
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                        F.try_divide(F.col(f"c_{t}"), F.col(f"sa_{t}") * F.col(f"sb_{t}")).alias("corr"))
-               for a, b, t in names]
-    return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    """Lower triangle (i > j) of the Pearson matrix over pairwise-complete
+    rows: every row emits its (pair, x, y) tuples, partial aggregation keeps
+    one buffer per pair and task, so the shuffle holds #pairs rows per task
+    and the generated code stays small whatever the number of columns."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
+    arr = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                             F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                    for a, b in pairs])
+    pts = (df.select(F.explode(arr).alias("p")).select("p.*")
+           .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    agg = pts.groupBy("feature_a", "feature_b").agg(
+        F.covar_samp("x", "y").alias("_c"), F.stddev_samp("x").alias("_sa"), F.stddev_samp("y").alias("_sb"))
+    return agg.select("feature_a", "feature_b",
+                      F.try_divide(F.col("_c"), F.col("_sa") * F.col("_sb")).alias("corr"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, group: str | None = None) -> DataFrame:
