@@ -44,7 +44,7 @@ def windowed_psi(events: DataFrame, profile: DataFrame, group: str, value: str,
     """(window_start, window_end, group, n, psi) — smoothed PSI of each
     window's values against the reference shares. Works on streaming and
     static DataFrames alike."""
-    ev = events.select(F.col(ts).cast("timestamp").alias("_ts"), F.col(group),
+    ev = events.select(utc_instant(events, ts).alias("_ts"), F.col(group),
                        F.col(value).cast("double").alias("value"))
     if watermark and events.isStreaming:
         ev = ev.withWatermark("_ts", watermark)
@@ -54,17 +54,39 @@ def windowed_psi(events: DataFrame, profile: DataFrame, group: str, value: str,
            .agg(F.count(F.lit(1)).alias("n"),
                 *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)],
                 F.first("ref_counts").alias("ref_counts"), F.first("edges").alias("edges")))
+    # shares, totals and the PSI sum as three projections: each expression is
+    # referenced by name, so no method inlines the totals into every term
     nb = F.size("edges") - 1
-    e = [F.element_at("ref_counts", k + 1) + F.lit(PSI_SMOOTH) for k in range(buckets)]
-    a = [F.col(f"_c{k}") + F.lit(PSI_SMOOTH) for k in range(buckets)]
     in_bins = [F.lit(k) < nb for k in range(buckets)]
-    se = sum((F.when(m, x).otherwise(F.lit(0.0)) for m, x in zip(in_bins, e)), F.lit(0.0))
-    sa = sum((F.when(m, x).otherwise(F.lit(0.0)) for m, x in zip(in_bins, a)), F.lit(0.0))
-    terms = [F.when(m, (x / sa - y / se) * F.log((x / sa) / (y / se))).otherwise(F.lit(0.0))
-             for m, x, y in zip(in_bins, a, e)]
+    agg = agg.select("w", group, "n", *[
+        F.when(m, F.element_at("ref_counts", k + 1) + F.lit(PSI_SMOOTH)).otherwise(F.lit(0.0)).alias(f"_e{k}")
+        for k, m in enumerate(in_bins)], *[
+        F.when(m, F.col(f"_c{k}") + F.lit(PSI_SMOOTH)).otherwise(F.lit(0.0)).alias(f"_a{k}")
+        for k, m in enumerate(in_bins)], nb.alias("_nb"))
+    agg = agg.select("*", sum((F.col(f"_e{k}") for k in range(buckets)), F.lit(0.0)).alias("_se"),
+                     sum((F.col(f"_a{k}") for k in range(buckets)), F.lit(0.0)).alias("_sa"))
+    terms = [F.when(F.lit(k) < F.col("_nb"),
+                    (F.col(f"_a{k}") / F.col("_sa") - F.col(f"_e{k}") / F.col("_se"))
+                    * F.log((F.col(f"_a{k}") / F.col("_sa")) / (F.col(f"_e{k}") / F.col("_se"))))
+             .otherwise(F.lit(0.0)) for k in range(buckets)]
     psi = F.greatest(sum(terms, F.lit(0.0)), F.lit(0.0))
-    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), group, "n",
-                      psi.alias("psi"))
+    return agg.select(utc_wall(F.col("w.start")).alias("window_start"), utc_wall(F.col("w.end")).alias("window_end"),
+                      group, "n", psi.alias("psi"))
+
+
+def utc_instant(df: DataFrame, ts: str) -> F.Column:
+    """Event time as an instant. A zone-less (TIMESTAMP_NTZ) column is read as
+    UTC wall-clock whatever the session zone, so windows align the same way
+    in every session (watermarks need an instant)."""
+    c = F.col(ts)
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp")
+    return c.cast("timestamp")
+
+
+def utc_wall(instant: F.Column) -> F.Column:
+    """Instant → zone-less UTC wall-clock (the inverse of ``utc_instant``)."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
 def latest_report(reports: DataFrame, group: str, ts: str = "window_end") -> DataFrame:
