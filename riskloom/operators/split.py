@@ -28,10 +28,14 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "ID") -> DataFram
 
 
 def stratified_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42, key: str = "ID",
-                     label: str = LABEL) -> DataFrame:
+                     label: str = LABEL, exact: bool = False) -> DataFrame:
     """Adds ``split`` = 'test' | 'train'. The hash is independent of the
     class, so each class is cut at the same share (stratified in expectation).
-    ``label`` is kept for reference only."""
+    ``exact=True``: per class exactly round(test_frac · n_class) rows go to
+    test — those with the smallest key hashes, ranked by the cumulative-count
+    kernel (no per-class sort in one task)."""
+    if exact:
+        return _exact_split(df, test_frac, seed, key, label)
     cut = frac_to_hex(test_frac)
     h = F.substring(key_hash(key, seed), 1, 8)
     return df.withColumn("split", F.when(h < F.lit(cut), F.lit("test")).otherwise(F.lit("train")))
@@ -49,3 +53,17 @@ def kfold_column(df: DataFrame, k: int = 3, seed: int = 42, key: str = "ID", nam
     """Fold id 0..k-1 from the key hash (stratified in expectation)."""
     h = F.conv(F.substring(key_hash(key, seed), 1, 8), 16, 10).cast("long")
     return df.withColumn(name, (h % F.lit(k)).cast("int"))
+
+
+def _exact_split(df: DataFrame, test_frac: float, seed: int, key: str, label: str) -> DataFrame:
+    from .ranks import cumulative_counts, value_counts
+    # 52-bit hash prefix: exact as a double; equal prefixes (ties) share a rank
+    h = F.conv(F.substring(key_hash(key, seed), 1, 13), 16, 10).cast("long").cast("double")
+    hk = df.withColumn("_cls", F.col(label)).withColumn("_h", h)
+    counts = value_counts(hk.select("_cls", F.col("_h").alias("value")), ["_cls"], "value")
+    cum = cumulative_counts(counts, ["_cls"], ["n"], n_keys_bound=1000)
+    test = (cum.filter(F.col("cum_n") <= F.floor(F.col("tot_n") * F.lit(test_frac) + F.lit(0.5)))
+            .select("_cls", F.col("value").alias("_h"), F.lit(True).alias("_in")))
+    return (hk.join(test, ["_cls", "_h"], "left")
+            .withColumn("split", F.when(F.col("_in"), F.lit("test")).otherwise(F.lit("train")))
+            .drop("_cls", "_h", "_in"))

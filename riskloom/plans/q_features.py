@@ -203,3 +203,14 @@ FROM (SELECT ID, CAST({_RULE_SQL} AS DOUBLE) AS p FROM clean)""")
 def q_risk_level(spark, sf_dir):
     df = B.cleaned(spark, sf_dir)
     return df.select("ID", risk_level(rule_score(F.col("PAY_0"), F.col("LIMIT_BAL"))).alias("risk_level"))
+
+
+@register("stratified_split_exact", with_base() + """
+SELECT ID, is_default,
+       CASE WHEN row_number() OVER (PARTITION BY is_default ORDER BY h) <= floor(count(*) OVER (PARTITION BY is_default) * 0.2 + 0.5)
+            THEN 'test' ELSE 'train' END AS split
+FROM (SELECT ID, is_default,
+             CAST(CAST(('0x' || substr(md5(CAST(ID AS VARCHAR) || ':42'), 1, 13)) AS BIGINT) AS DOUBLE) AS h FROM clean)""")
+def q_stratified_split_exact(spark, sf_dir):
+    """Exactly round(0.2 · n_class) test rows per class (smallest key hashes)."""
+    return stratified_split(B.cleaned(spark, sf_dir), test_frac=0.2, seed=42, exact=True).select("ID", LABEL, "split")

@@ -28,3 +28,13 @@ def test_quality_gate(spark):
     g = {(r.stage, r.expectation_type, r.column): r.success for r in V.quality_gate(raw, feats).collect()}
     assert g[("raw", V.ROWS_POSITIVE, "N/A")] and g[("raw", V.EXISTS, "is_default")]
     assert not g[("features", V.NOT_ALL_NULL, "PAYMENT_MEAN")]
+
+
+def test_exact_stratified_split(spark):
+    from riskloom.operators.split import stratified_split
+    rows = [(i, 1 if i % 4 == 0 else 0) for i in range(1, 1001)]
+    df = spark.createDataFrame(rows, "ID long, is_default int")
+    out = stratified_split(df, 0.2, 42, exact=True).groupBy("is_default", "split").count().collect()
+    c = {(r.is_default, r.split): r["count"] for r in out}
+    assert c[(1, "test")] == 50 and c[(0, "test")] == 150          # round(0.2 · n) per class
+    assert c[(1, "train")] + c[(1, "test")] == 250
