@@ -123,3 +123,14 @@ def test_chi_square_rescaled(spark):
     r = TS.chi_square_gof(df).collect()[0]
     assert r.chi2_statistic == pytest.approx((30 - 20) ** 2 / 20 + (10 - 20) ** 2 / 20)
     assert r.p_value < 0.01
+
+
+def test_psi_constant_reference_fallback(spark):
+    ref = np.full(60, 3.0)
+    cur = np.array([3.0] * 30 + [4.0] * 30)
+    rows = [("c", 0, float(v)) for v in ref] + [("c", 1, float(v)) for v in cur]
+    df = spark.createDataFrame(rows, "feature string, side int, value double")
+    fl = D.psi(df, "floor").collect()[0].psi
+    sm = D.psi(df, "smoothed").collect()[0].psi
+    assert fl == pytest.approx(_psi_floor(ref, cur), abs=1e-12)
+    assert sm == pytest.approx(_psi_smoothed(ref, cur), abs=1e-12)
