@@ -19,3 +19,13 @@ def test_kolmogorov_limits():
     assert T.kolmogorov_sf(0.0, 100, 100) == 1.0
     assert T.kolmogorov_sf(1.0, 100, 100) < 1e-10
     assert 0.0 < T.kolmogorov_sf(0.2, 100, 100) < 0.05
+
+
+def test_significance_pvalues_consistent(spark):
+    from riskloom.plans.catalog import load_all
+    rows = load_all()["feature_significance_pvalues"].fn(spark, "/root/testdata/sf0.001").collect()
+    assert rows
+    for r in rows:
+        if r.p_value is not None:
+            assert 0.0 <= r.p_value <= 1.0
+            assert r.significant == (r.p_value < 0.05)
