@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bayes_dedup import near_duplicates
-from .common import fold, table
+from .bpe import encoded
+from .common import fold, table, written
 from .decision_list import judged
 from .gam import learn, scored
+from .mixing import copies, sized
+from .secrets import find_secrets
+from .warc import archived
 
 
 def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +32,27 @@ def op10_bayes_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_decision_list, op9_additive_quality, op10_bayes_dedup)}
+def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = written(sized(table(spark, sf_dir, "documents")).select("doc_id", "source", "size"))
+    return copies(rows, rows).select("doc_id", "size", "source_size", "target",
+                                     (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op3_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op5_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    out = encoded(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                  public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op6_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op2_pareto_mix, op3_linked_secrets, op5_rank_array_bpe, op6_seekable_warc,
+                                   op8_decision_list, op9_additive_quality, op10_bayes_dedup)}
 SQL: dict[str, str] = {}
