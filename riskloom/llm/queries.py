@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bayes_dedup import near_duplicates
 from .bpe import encoded
 from .common import fold, table, written
+from .crosspoly import nearest
 from .decision_list import judged
 from .gam import learn, scored
 from .mixing import copies, sized
@@ -32,6 +33,10 @@ def op10_bayes_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(sized(table(spark, sf_dir, "documents")).select("doc_id", "source", "size"))
     return copies(rows, rows).select("doc_id", "size", "source_size", "target",
@@ -53,6 +58,6 @@ def op6_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pareto_mix, op3_linked_secrets, op5_rank_array_bpe, op6_seekable_warc,
+QUERIES = {f.__name__: f for f in (op1_cross_polytope, op2_pareto_mix, op3_linked_secrets, op5_rank_array_bpe, op6_seekable_warc,
                                    op8_decision_list, op9_additive_quality, op10_bayes_dedup)}
 SQL: dict[str, str] = {}
