@@ -8,14 +8,24 @@ from pyspark.sql import functions as F
 from .bayes_dedup import near_duplicates
 from .bpe import encoded
 from .common import fold, table, written
+from .crf_langid import identified
+from .crf_langid import learn as learn_languages
 from .crosspoly import nearest
 from .decision_list import judged
 from .gam import learn, scored
 from .mixing import copies, sized
+from .ngram_lm import scored as lm_scored
 from .secrets import find_secrets
 from .warc import archived
 
 
+def op7_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = lm_scored(docs, fold("doc_id", 5) != 1)
+    return out.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
+
+
 def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -47,6 +57,12 @@ def op3_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = learn_languages(docs.filter(fold("doc_id", 4) != 2))
+    return identified(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op5_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     out = encoded(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -58,6 +74,6 @@ def op6_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cross_polytope, op2_pareto_mix, op3_linked_secrets, op5_rank_array_bpe, op6_seekable_warc,
-                                   op8_decision_list, op9_additive_quality, op10_bayes_dedup)}
+QUERIES = {f.__name__: f for f in (op1_cross_polytope, op2_pareto_mix, op3_linked_secrets, op4_crf_language, op5_rank_array_bpe, op6_seekable_warc,
+                                   op7_ngram_trie, op8_decision_list, op9_additive_quality, op10_bayes_dedup)}
 SQL: dict[str, str] = {}
