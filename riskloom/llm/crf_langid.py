@@ -18,7 +18,9 @@ Repeated rows are labelled one by one; texts of any length are labelled whole.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -29,22 +31,36 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from .common import arrow_map, hash_below
 
-PER_LANG, LEXICON_LEAST, BUCKETS, LENGTH, STEPS = 80, 3, 1 << 16, 256, 40
-TOKENS_AT_ONCE, CACHED = 1 << 20, 300_000
-
-
-def features(word: str, lexicon: frozenset[str]) -> list[int]:
-    """Hashed features of a lower-case word; none if it has no letter."""
-    if not any(map(str.isalpha, word)):
-        return []
-    s = f"^{word}$".encode("utf-8", "surrogatepass")
-    out = [crc32(s[i:i + n], n) % BUCKETS for n in (2, 3, 4) for i in range(len(s) - n + 1)]
-    for n in (1, 2, 3):
-        out.append(crc32(word[:n].encode("utf-8", "surrogatepass"), 11) % BUCKETS)
-        out.append(crc32(word[-n:].encode("utf-8", "surrogatepass"), 12) % BUCKETS)
-    if word in lexicon:
-        out.append(crc32(word.encode(), 13) % BUCKETS)
-    return out
+PER_LANG, LEXICON_LEAST, NGRAM, BITS, LENGTH, STEPS = 60, 3, 4, 16, 256, 30
+BUCKETS = 1 << BITS
+LETTER = re.compile(r"[^\W\d_]").search
+TOKENS_AT_ONCE, CACHED = 3 << 20, 300_000
+
+
+def features(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed features of lower-case words: feature numbers, the word each
+    belongs to, and which words have letters (the others have no features).
+
+    The word is taken as bytes between ^ and $, so its runs of 2 to 4 bytes
+    hold the prefixes and suffixes of 1 to 3 bytes as well."""
+    real = np.fromiter((LETTER(w) is not None for w in words), bool, len(words))
+    raw = [b"^%b$" % w.encode("utf-8", "surrogatepass") for w in words]
+    sizes = np.array([len(r) for r in raw], np.int64)
+    buf = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    real_at = real[owner]
+    h = buf.copy()
+    found, owners = [], []
+    for n in range(2, NGRAM + 1):
+        h = h[:-1] * np.uint32(16777619) ^ buf[n - 1:]
+        at = np.flatnonzero((np.arange(len(h)) + n <= ends[:len(h)]) & real_at[:len(h)])
+        found.append(((h[at] * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64))
+        owners.append(owner[at])
+    known = [i for i, w in enumerate(words) if w in lexicon and real[i]]
+    found.append(np.array([crc32(words[i].encode()) >> (32 - BITS) for i in known], np.int64))
+    owners.append(np.array(known, np.int64))
+    return np.concatenate(found), np.concatenate(owners), real
 
 
 @dataclass
@@ -56,15 +72,11 @@ class Crf:
 
     def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores of distinct words, and which have letters."""
-        feats = [features(w, self.lexicon) for w in words]
-        sizes = np.array([len(f) for f in feats], np.int64)
-        out = np.zeros((len(words), len(self.langs)), np.float32)
-        some = np.flatnonzero(sizes)
-        if len(some):
-            flat = np.fromiter((x for f in feats for x in f), np.int64, int(sizes.sum()))
-            starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
-            out[some] = np.add.reduceat(self.weights[flat], starts, axis=0)
-        return out, sizes > 0
+        found, owner, real = features(words, self.lexicon)
+        out = np.empty((len(words), len(self.langs)), np.float32)
+        for c in range(len(self.langs)):
+            out[:, c] = np.bincount(owner, self.weights[found, c], len(words))
+        return out, real
 
 
 def posteriors(score: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> np.ndarray:
@@ -124,10 +136,7 @@ def fit(texts: list[str], tags: list[str], steps: int = STEPS) -> Crf:
         return Crf(langs, np.zeros((BUCKETS, k), np.float32), np.zeros((k, k)), frozenset())
     distinct, at, count = np.unique(np.array(words, dtype=object).astype(str), return_inverse=True, return_counts=True)
     lexicon = frozenset(distinct[count >= LEXICON_LEAST].tolist())
-    feats = [features(w, lexicon) for w in distinct.tolist()]
-    size = np.array([len(f) for f in feats])
-    flat = np.fromiter((x for f in feats for x in f), np.int64, int(size.sum()))
-    owner = np.repeat(np.arange(len(distinct)), size)
+    flat, owner, _ = features(distinct.tolist(), lexicon)
     n = len(words)
     sizes = np.full(-(-n // LENGTH), LENGTH)
     sizes[-1] = n - LENGTH * (len(sizes) - 1)
@@ -215,7 +224,7 @@ class Labeller:
         if len(self.words) > CACHED:
             self.reset()
         sizes = np.array([len(t) for t in texts], np.int64)
-        at = np.fromiter((self.words[w] for t in texts for w in t), np.int64, int(sizes.sum()))
+        at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
         if self.words.new:
             score, real = self.model.emissions(self.words.new)
             self.score, self.real = np.concatenate([self.score, score]), np.concatenate([self.real, real])
