@@ -26,6 +26,7 @@ from __future__ import annotations
 from math import comb
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
@@ -36,8 +37,8 @@ from .shingles import mix, shingle_set
 
 ROWS, BANDS = 6, 44      # a pair of similarity 0.8 shares no band with chance 1.5e-6
 WIDTH = 4
-COMPARED, BATCH = 128, 32  # signature values for verification, and how many a step takes
-MISS = 1e-6              # a pair is pruned when its chance to reach the threshold is below
+COMPARED, BATCH = ROWS * BANDS, 33  # signature values for verification, and how many a step takes
+MISS = 1e-5              # a pair is pruned when its chance to reach the threshold is below
 BLOCK = 512              # members of a bucket compared at a time
 SHINGLES_AT_ONCE = 1 << 21
 
@@ -140,9 +141,7 @@ def _pruned(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full shingle sets reach the similarity."""
-    need = written(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct())
-    texts = written(docs.select(F.col("doc_id").cast("long"), "text").join(need, "doc_id", "left_semi")
-                    .groupBy("doc_id").agg(F.min("text").alias("text")))
+    texts = _texts(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")), docs)
     both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
 
@@ -153,52 +152,90 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         for key, x, y in zip(a.to_pylist(), text_bytes(batch, "text_a"), text_bytes(batch, "text_b")):
             if key != last:
                 one, last = shingle_set(x, WIDTH), key
-            two = shingle_set(y, WIDTH)
-            if min(len(one), len(two)) * 100 < percent * max(len(one), len(two)):
-                near.append(False)
-                continue
-            joint = np.concatenate([one, two])
-            joint.sort()
-            shared = int((joint[1:] == joint[:-1]).sum())
-            near.append(100 * shared >= percent * (len(one) + len(two) - shared))
+            near.append(similar(one, shingle_set(y, WIDTH), percent))
         yield {"a": a, "b": b, "near": near}
     schema = StructType([StructField("a", LongType()), StructField("b", LongType()),
                          StructField("near", BooleanType())])
     return written(arrow_map(both, run, schema))
 
 
-def _across(members: DataFrame, sigs: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs of members of one bucket that lie in different
-    components, by comparing blocks of signatures; a large bucket is split
-    into cells of two blocks."""
+CELL = StructType([StructField("key", LongType()), StructField("band", LongType()), StructField("i", LongType()),
+                   StructField("j", LongType()), StructField("block", LongType()), StructField("rep", LongType()),
+                   StructField("component", LongType()), StructField("sig", BinaryType())])
+
+
+def _cell_pairs(rows, bounds: dict[int, int]):
+    """For each member of the cell's first block (by row number), the members
+    of the second block in other components whose signatures survive. A pair
+    that shares several buckets is taken in its first band, or its second, as
+    the values compared are shortened."""
+    sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint16).reshape(-1, COMPARED)
+    rep, part, block = (rows[c].to_numpy() for c in ("rep", "component", "block"))
+    i, j, band = (rows[c][0].as_py() for c in ("i", "j", "band"))
+    right = np.flatnonzero(block == j)
+    for x in np.flatnonzero(block == i):
+        y = right[(part[right] != part[x]) & ((rep[right] > rep[x]) if i == j else True)]
+        if len(y):
+            y = y[survives(np.broadcast_to(sig[x], (len(y), COMPARED)), sig[y], bounds)]
+        if len(y):
+            same = (sig[y] == sig[x]).reshape(len(y), BANDS, ROWS).all(axis=2)
+            y = y[same[:, :band].sum(axis=1) < 2]
+        if len(y):
+            yield x, y
+
+
+def _links_across(members: DataFrame, sigs: DataFrame, labels: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Verified links (a, b) between members of one bucket that lie in
+    different components. Blocks of signatures are compared; a large bucket is
+    split into cells of two blocks. Members with a surviving pair then meet in
+    the same cell with their texts, so pairs are never rows of a table."""
     known = members.join(labels, members.rep == labels.node, "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component"))
+        "key", "band", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                      F.count("*").alias("n")).filter("lo <> hi")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
     placed = (known.join(mixed.select("key", blocks.alias("blocks")), "key")
-              .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+              .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
               .join(sigs, "rep")
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                      "block", "rep", "component", "sig"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("key", F.col("band").cast("long").alias("band"), F.least("block", "other").alias("i"),
+                      F.greatest("block", "other").alias("j"), "block", "rep", "component", "sig"))
     bounds = least_matches(percent)
+
+    def busy(rows):
+        at = sorted({k for x, y in _cell_pairs(rows, bounds) for k in (int(x), *y.tolist())})
+        return {f.name: rows[f.name].combine_chunks().take(pa.array(at, pa.int64())) for f in CELL.fields}
+    left = written(arrow_groups(placed, ["key", "i", "j"], busy, CELL))
+    texts = _texts(left.select(F.col("rep").alias("doc_id")), docs)
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
-    def cell(rows):
-        sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint16).reshape(-1, COMPARED)
-        rep, part, block = (rows[c].to_numpy() for c in ("rep", "component", "block"))
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for x in left:
-            y = right[(part[right] != part[x]) & ((rep[right] > rep[x]) if i == j else True)]
-            if len(y):
-                y = y[survives(np.broadcast_to(sig[x], (len(y), COMPARED)), sig[y], bounds)]
-                out_a.append(np.minimum(rep[x], rep[y]))
-                out_b.append(np.maximum(rep[x], rep[y]))
-        return {"a": np.concatenate(out_a), "b": np.concatenate(out_b)}
-    return arrow_groups(placed, ["key", "i", "j"], cell, schema).distinct()
+    def link(rows):
+        sets = [shingle_set(t or b"", WIDTH) for t in rows["text"].cast("binary").to_pylist()]
+        rep, out_a, out_b = rows["rep"].to_numpy(), [], []
+        for x, ys in _cell_pairs(rows, bounds):
+            for y in ys:
+                if similar(sets[x], sets[y], percent):
+                    out_a.append(min(rep[x], rep[y]))
+                    out_b.append(max(rep[x], rep[y]))
+        return {"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)}
+    full = left.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    return written(arrow_groups(full, ["key", "i", "j"], link, schema))
+
+
+def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection reaches percent * union of two sorted sets."""
+    if min(len(one), len(two)) * 100 < percent * max(len(one), len(two)):
+        return False
+    joint = np.concatenate([one, two])
+    joint.sort(kind="stable")  # two sorted runs are merged
+    shared = int((joint[1:] == joint[:-1]).sum())
+    return 100 * shared >= percent * (len(one) + len(two) - shared)
+
+
+def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and text of the ids, one row each."""
+    return written(docs.select(F.col("doc_id").cast("long"), "text").join(written(ids.distinct()), "doc_id", "left_semi")
+                   .groupBy("doc_id").agg(F.min("text").alias("text")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -207,14 +244,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = written(marked.filter("set_id is not null and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     sigs = classes.select("rep", "sig")
-    banded = classes.select("rep", F.explode("bands").alias("key"))
+    banded = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     members = written(banded.join(shared.select("key", "centre"), "key"))
     spokes = members.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     tried = _verified(written(_pruned(spokes, sigs, percent)), docs, percent)
     first = written(components(tried.filter("near").select("a", "b")))
-    rest = _across(members.select("key", "rep"), sigs, first, percent).join(tried, ["a", "b"], "left_anti")
-    late = _verified(written(rest), docs, percent).filter("near")
+    late = _links_across(members.select("key", "band", "rep"), sigs, first, docs, percent)
     label = lambda side: F.coalesce(F.col(side), F.col(side[-1]))
     bridges = (late.join(first.select(F.col("node").alias("a"), F.col("component").alias("_a")), "a", "left")
                .join(first.select(F.col("node").alias("b"), F.col("component").alias("_b")), "b", "left")
