@@ -40,7 +40,7 @@ WIDTH = 4
 COMPARED, BATCH = ROWS * BANDS, 33  # signature values for verification, and how many a step takes
 MISS = 1e-5              # a pair is pruned when its chance to reach the threshold is below
 BLOCK = 512              # members of a bucket compared at a time
-SHINGLES_AT_ONCE = 1 << 21
+SHINGLES_AT_ONCE = 1 << 19
 
 
 def least_matches(percent: int, miss: float = MISS, n: int = COMPARED, step: int = BATCH) -> dict[int, int]:

@@ -39,7 +39,17 @@ def written(df: DataFrame) -> DataFrame:
     passes, and tasks rerun after a lost executor, read the files."""
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables made by ``written`` that nothing will read again."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fold(key: Column | str, modulus: int) -> Column:

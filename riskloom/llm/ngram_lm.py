@@ -33,22 +33,28 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from .common import arrow_groups, arrow_map, scratch_dir, text_bytes, written
+from .common import arrow_groups, arrow_map, forget, scratch_dir, text_bytes, written
 from .eliasfano import Level, pack
 from .warc import _open
 
 ORDER, LEAST, DISCOUNT, CODES = 3, 4, 0.75, 256
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS, TOKENS_AT_ONCE = 1 << 20, 1 << 19
 END = int.from_bytes(b"end", "little")  # the end token's key; no word's hash is this small by any likely chance
 POSITIVE = (1 << 63) - 1
 
 
+def _packed(arrays: list[np.ndarray]) -> list[bytes]:
+    zstd = zstandard.ZstdCompressor(level=1)
+    return [zstd.compress(a.tobytes()) for a in arrays]
+
+
 class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self) + 1  # 0 is the end token
@@ -81,7 +87,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                "train": none(size, pa.bool_()), "ids": none(size, pa.binary())}
         k = len(ids)
         yield {"block": np.full(k, at), "local": none(k, pa.int32()), "word": none(k, pa.int64()),
-               "n": none(k, pa.int64()), "doc_id": ids, "train": train, "ids": [c.tobytes() for c in codes]}
+               "n": none(k, pa.int64()), "doc_id": ids, "train": train, "ids": _packed(codes)}
 
     def run(batch: pa.RecordBatch):
         numbers, ids, train, codes, held = _Numbers(), [], [], [], 0
@@ -224,7 +230,7 @@ class Model:
             logs.append(w)
             backs.append(b)
             places.append(place)
-        p = 10 ** np.where(codes >= 0, logs[0], self.base(-1.0 - np.minimum(codes, -1)))
+        p = 10 ** np.where(codes >= 0, logs[0], self.base(-1.0 - np.minimum(codes, -1.0)))
         for k in range(1, len(self.levels)):
             # what the context leaves: the back-off of the context's own n-gram, 1 if it isn't in the trie
             left = np.zeros(len(codes))
@@ -234,13 +240,15 @@ class Model:
         return np.log10(p)
 
 
-def _runs(ids: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _runs(packed: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes laid end to end, the first token's places, and sizes."""
+    zstd = zstandard.ZstdDecompressor()
+    ids = [zstd.decompress(x) for x in packed]
     sizes = np.array([len(x) // np.dtype(dtype).itemsize for x in ids], np.int64)
     return np.frombuffer(b"".join(ids), dtype), (np.cumsum(sizes) - sizes), sizes
 
 
-def _slices(sizes: list[int], most: int = BLOCK_TOKENS) -> Iterator[tuple[int, int]]:
+def _slices(sizes: list[int], most: int = TOKENS_AT_ONCE) -> Iterator[tuple[int, int]]:
     lo = held = 0
     for i, s in enumerate(sizes):
         held += s
@@ -258,9 +266,9 @@ def scored(docs: DataFrame, train: Column, order: int = ORDER, least: int = LEAS
                                       F.coalesce(train, F.lit(False)).alias("train"))))
     each = Window.partitionBy("word")
     vocab = written(raw.filter("ids is null").select(
-        "block", "local", "word", "n", F.sum("n").over(each).alias("c"),
-        F.row_number().over(each.orderBy("block")).alias("nth")))
-    one = vocab.filter("nth = 1 and c > 0")
+        "block", "local", "word", F.sum("n").over(each).alias("c"),
+        (F.row_number().over(each.orderBy("block")) == 1).alias("first")))
+    one = vocab.filter("first and c > 0")
     total, distinct = one.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     texts = raw.filter("train").count()
     level, nodes = _level(one.filter(F.col("c") >= least).select(F.col("word").alias("key"), "c"), folder)
@@ -283,15 +291,18 @@ def scored(docs: DataFrame, train: Column, order: int = ORDER, least: int = LEAS
         own = np.where(place >= 0, place, -1 - count)
         ids, first, sizes = _runs(text["ids"].to_pylist(), "<u4")
         logs, known = model.base(count.astype(float)), (count > 0).astype(np.int64)
-        got = own[ids].astype("<i8")
+        if len(own) and own.max() > np.iinfo(np.int32).max:
+            raise ValueError("more than 2 ** 31 words reach the least count; raise it")
+        got = own[ids].astype("<i4")
         return {"doc_id": text["doc_id"].combine_chunks(), "train": text["train"].combine_chunks(), "n_tokens": sizes,
                 "n_known": np.add.reduceat(known[ids], first), "base_score": np.add.reduceat(logs[ids], first),
-                "codes": [got[f:f + s].tobytes() for f, s in zip(first, sizes)]}
+                "codes": _packed([got[f:f + s] for f, s in zip(first, sizes)])}
     both = raw.filter("ids is not null").select("block", F.lit(None).cast("int").alias("local"),
                                                 F.lit(None).cast("long").alias("word"),
                                                 F.lit(None).cast("long").alias("c"), "doc_id", "train", "ids").unionByName(
         vocab.select("block", "local", "word", "c"), allowMissingColumns=True)
     rows = written(arrow_groups(both, ["block"], code, coded))
+    forget(raw, vocab)
 
     n_context = nodes.select(F.col("place").alias("context"), F.col("c").alias("of"))
     start = spark.range(1).select(F.lit(words).cast("long").alias("context"), F.lit(texts).cast("long").alias("of"))
@@ -303,9 +314,9 @@ def scored(docs: DataFrame, train: Column, order: int = ORDER, least: int = LEAS
         below = list(levels)
 
         def grams(batch: pa.RecordBatch, below=below, k=k):
-            ids = batch.column(0).to_pylist()
-            for lo, hi in _slices([len(x) // 8 for x in ids]):
-                codes, first, _ = _runs(ids[lo:hi], "<i8")
+            ids, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo, hi in _slices(sizes):
+                codes, first, _ = _runs(ids[lo:hi], "<i4")
                 *_, place = _paths(codes, first, below, words)
                 context = np.full(len(codes), -1, np.int64)
                 context[1:] = place[:-1]
@@ -313,7 +324,7 @@ def scored(docs: DataFrame, train: Column, order: int = ORDER, least: int = LEAS
                 live = (context >= 0) & (codes >= 0)
                 key, n = np.unique(context[live] * (words + 1) + codes[live], return_counts=True)
                 yield {"key": key, "n": n}
-        counts = (arrow_map(rows.filter("train").select("codes"), grams, pair).groupBy("key")
+        counts = (arrow_map(rows.filter("train").select("codes", "n_tokens"), grams, pair).groupBy("key")
                   .agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
         level, nodes = _level(counts, folder)
         nodes = written(nodes.withColumn("context", F.floor(F.col("key") / F.lit(words + 1)).cast("long"))
@@ -336,9 +347,9 @@ def scored(docs: DataFrame, train: Column, order: int = ORDER, least: int = LEAS
                       StructField("base_score", DoubleType()), StructField("score", DoubleType())])
 
     def run(batch: pa.RecordBatch):
-        ids = batch.column(5).to_pylist()
-        for lo, hi in _slices([len(x) // 8 for x in ids]):
-            codes, first, _ = _runs(ids[lo:hi], "<i8")
+        ids, sizes = batch.column(5).to_pylist(), batch.column(2).to_pylist()
+        for lo, hi in _slices(sizes):
+            codes, first, _ = _runs(ids[lo:hi], "<i4")
             yield {f.name: batch.column(i).slice(lo, hi - lo) for i, f in enumerate(out.fields[:5])} | {
                 "score": np.add.reduceat(final.score(codes, first), first)}
     return arrow_map(rows, run, out).withColumn("train_tokens", F.lit(total).cast("long"))
