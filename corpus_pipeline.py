@@ -29,7 +29,7 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     without doc_id are kept."""
     kept = written(near_duplicates(docs).filter("kept and doc_id is not null")
                    .groupBy("doc_id").agg(F.count("*").alias("_rows")))
-    rows = lambda n: docs.join(kept.filter(n).select("doc_id"), "doc_id", "left_semi")
+    rows = lambda n: docs.join(kept.filter(n).select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
     return (rows("_rows = 1").unionByName(rows("_rows > 1").dropDuplicates(["doc_id"]))
             .unionByName(docs.filter("doc_id is null")).select(*docs.columns))
 

@@ -233,8 +233,9 @@ def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
 
 
 def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id and text of the ids, one row each."""
-    return written(docs.select(F.col("doc_id").cast("long"), "text").join(written(ids.distinct()), "doc_id", "left_semi")
+    """doc_id and text of the ids, one row each. The ids are never broadcast:
+    they grow with the input, and the plan shall be the same at every size."""
+    return written(docs.select(F.col("doc_id").cast("long"), "text").join(written(ids.distinct()).hint("shuffle_hash"), "doc_id", "left_semi")
                    .groupBy("doc_id").agg(F.min("text").alias("text")))
 
 
