@@ -34,7 +34,7 @@ from .common import arrow_map, hash_below
 PER_LANG, LEXICON_LEAST, NGRAM, BITS, LENGTH, STEPS = 60, 3, 4, 16, 256, 30
 BUCKETS = 1 << BITS
 LETTER = re.compile(r"[^\W\d_]").search
-TOKENS_AT_ONCE, CACHED = 3 << 20, 300_000
+TOKENS_AT_ONCE, CACHED = 2 << 20, 300_000
 
 
 def features(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,30 +218,32 @@ class Labeller:
         self.score = np.empty((0, len(self.model.langs)), np.float32)
         self.real = np.empty(0, bool)
 
-    def posteriors(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For words of texts laid end to end: posteriors, whether they have
-        letters, and the number of words of each text."""
-        if len(self.words) > CACHED:
-            self.reset()
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The words of a text as rows of the remembered scores."""
+        return np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
+
+    def posteriors(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For numbered words of texts laid end to end: posteriors, whether
+        they have letters, and the number of words of each text."""
         sizes = np.array([len(t) for t in texts], np.int64)
-        at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
+        at = np.concatenate(texts)
         if self.words.new:
             score, real = self.model.emissions(self.words.new)
             self.score, self.real = np.concatenate([self.score, score]), np.concatenate([self.real, real])
             self.words.new = []
         return posteriors(self.score[at], sizes, self.model.moves), self.real[at], sizes
 
-    def documents(self, texts: list[list[str]]) -> tuple[list[str], list[float]]:
+    def documents(self, texts: list[np.ndarray]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
-        full = [t for t in texts if t]
+        full = [t for t in texts if len(t)]
         langs, scores = ["und"] * len(texts), [0.0] * len(texts)
         if not full or not self.model.langs:
             return langs, scores
         p, real, sizes = self.posteriors(full)
         starts = np.cumsum(sizes) - sizes
-        total = np.add.reduceat(p.astype(np.float64) * real[:, None], starts, axis=0)
+        total = np.add.reduceat(p * real[:, None], starts, axis=0, dtype=np.float64)
         count = np.add.reduceat(real.astype(np.int64), starts)
-        rows = [i for i, t in enumerate(texts) if t]
+        rows = [i for i, t in enumerate(texts) if len(t)]
         best = total.argmax(axis=1)
         for i, s, c, b in zip(rows, total, count, best):
             if c:
@@ -254,7 +256,8 @@ def tag(model: Crf, text: str) -> list[tuple[str, str, float]]:
     words = text.lower().split()
     if not words or not model.langs:
         return [(w, "und", 0.0) for w in text.split()]
-    p = Labeller(model).posteriors([words])[0]
+    labeller = Labeller(model)
+    p = labeller.posteriors([labeller.numbers(words)])[0]
     return [(w, model.langs[int(r.argmax())], float(r.max())) for w, r in zip(text.split(), p)]
 
 
@@ -280,13 +283,15 @@ def identified(docs: DataFrame, model: Crf) -> DataFrame:
     def run(batch: pa.RecordBatch):
         labeller = kept.get("own") or kept.setdefault("own", Labeller(held.value))
         ids, texts = batch.column(0), batch.column(1).to_pylist()
-        words: list[list[str]] = []
+        words: list[np.ndarray] = []
         first = tokens = 0
         for i, t in enumerate(texts):
-            words.append((t or "").lower().split())
+            words.append(labeller.numbers((t or "").lower().split()))
             tokens += len(words[-1])
             if tokens >= TOKENS_AT_ONCE or i == len(texts) - 1:
                 langs, scores = labeller.documents(words)
                 yield {"doc_id": ids.slice(first, len(words)), "lang_pred": langs, "score": scores}
                 first, tokens, words = i + 1, 0, []
+                if len(labeller.words) > CACHED:
+                    labeller.reset()
     return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)

@@ -164,7 +164,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Gam:
     rows = (docs.select("doc_id", "text").filter(hash_below("doc_id", share))
             .join(marks.filter(hash_below("doc_id", share)), "doc_id").select("text", "_label"))
     got = arrow_map(rows, lambda b: [{"x": list(_features(text_bytes(b))), "y": b.column(1)}], schema).toPandas()
-    x = np.array(got["x"].tolist(), dtype=np.float64).reshape(len(got), -1)
+    x = np.array(got["x"].tolist(), dtype=np.float64).reshape(len(got), len(SHARES))
     y = got["y"].to_numpy(np.float64)
     order = np.lexsort((*x.T, y)) if len(y) else np.arange(0)  # the fit doesn't depend on the rows' order
     return fit(x[order], y[order])
