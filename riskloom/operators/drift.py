@@ -106,8 +106,8 @@ def psi_from_bins(bins: DataFrame, method: str = "smoothed") -> DataFrame:
     """(feature, psi) from a bin table."""
     w = Window.partitionBy("feature")      # ≤ 10 bins per feature
     if method == "floor":
-        e = F.col("c_ref") / F.col("n_ref")
-        a = F.col("c_cur") / F.col("n_cur")
+        e = F.try_divide(F.col("c_ref"), F.col("n_ref"))
+        a = F.try_divide(F.col("c_cur"), F.col("n_cur"))
         e = F.when(e == 0, F.lit(PSI_FLOOR)).otherwise(e)
         a = F.when(a == 0, F.lit(PSI_FLOOR)).otherwise(a)
         term = (e - a) * F.log(e / a)
@@ -127,7 +127,8 @@ def psi_from_bins(bins: DataFrame, method: str = "smoothed") -> DataFrame:
 
 
 def psi(lf: DataFrame, method: str = "smoothed", side: str = "side", buckets: int = 10) -> DataFrame:
-    """(feature, psi) for every feature of a long two-sample table."""
+    """(feature, psi) for every feature of a long two-sample table. Without
+    usable values on a side: +inf (smoothed methods) or NULL (floor)."""
     if method == "floor":
         base, fallback = clean_values(lf, finite=False), True
     elif method == "smoothed":
@@ -137,7 +138,10 @@ def psi(lf: DataFrame, method: str = "smoothed", side: str = "side", buckets: in
     else:
         raise ValueError(method)
     edges = small_table(psi_edges(base, side, buckets, fallback))
-    return psi_from_bins(bin_table(base, edges, side), method)
+    found = psi_from_bins(bin_table(base, edges, side), method)
+    absent = F.lit(None).cast("double") if method == "floor" else F.lit(float("inf"))
+    return lf.select("feature").distinct().join(found, "feature", "left") \
+        .select("feature", F.coalesce("psi", absent).alias("psi"))
 
 
 def kl_divergence(lf: DataFrame, side: str = "side", n_edges: int = 20) -> DataFrame:
@@ -214,7 +218,7 @@ def feature_drift_report(lf: DataFrame, categorical: DataFrame | None = None, si
                 F.avg(F.when(F.col(side) == 1, F.col("value"))).alias("current_mean"),
                 F.stddev_samp(F.when(F.col(side) == 0, F.col("value"))).alias("reference_std"),
                 F.stddev_samp(F.when(F.col(side) == 1, F.col("value"))).alias("current_std")))
-    out = p.join(mom, "feature").withColumn("drift_detected", F.col("psi") > F.lit(threshold))
+    out = p.join(mom, "feature", "left").withColumn("drift_detected", F.col("psi") > F.lit(threshold))
     if categorical is not None:
         cat_in = base.join(bounded_broadcast(categorical.select("feature"), MAX_FEATURES), "feature", "left_semi")
         chi = chi_square_gof(cat_in, side, p_values=True)

@@ -146,10 +146,12 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50, group: str | None = None) -> DataFrame:
     """Equal-width histogram over [min, max] (per group when given): bins are
     [a, b) except the last, [a, b]; every bin is returned, empty ones as 0.
+    Only finite values are counted.
     Edges follow numpy: edge_i = min + i·((max − min)/bins), last = max."""
     keys = [group] if group else []
     v = F.col(col).cast("double")
-    base = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    finite = F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < float("inf"))
+    base = df.select(*keys, v.alias("_v")).filter(finite)
     rng = base.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     edges = rng.withColumn(

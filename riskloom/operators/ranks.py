@@ -180,5 +180,6 @@ def midrank_sums(df: DataFrame, keys: list[str], side: str, value: str = "value"
                  F.sum(F.col("n_0") * (F.col("cum_n_1") - F.col("n_1") / 2.0)).alias("u0"),
                  F.sum(F.col("n_1") * (F.col("cum_n_0") - F.col("n_0") / 2.0)).alias("u1"),
                  F.sum(t.cast("double") * t * t - t).alias("tie_term"),
-                 F.max(F.abs(F.col("cum_n_0") / F.col("tot_n_0") - F.col("cum_n_1") / F.col("tot_n_1")))
+                 F.max(F.abs(F.try_divide(F.col("cum_n_0"), F.col("tot_n_0"))
+                       - F.try_divide(F.col("cum_n_1"), F.col("tot_n_1"))))
                  .alias("ks")))

@@ -108,7 +108,7 @@ def chi_square_gof(lf: DataFrame, side: str = "side", p_values: bool = True) ->
     tot = al.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"),
                                     F.count(F.lit(1)).alias("k"))
     j = al.join(bounded_broadcast(tot, 100_000), "feature")
-    exp = F.col("n_ref") * F.col("t_cur") / F.col("t_ref")
+    exp = F.try_divide(F.col("n_ref") * F.col("t_cur"), F.col("t_ref"))
     term = F.try_divide((F.col("n_cur") - exp) * (F.col("n_cur") - exp), exp)
     agg = j.groupBy("feature").agg(
         F.sum(term).alias("_s"), F.count_if((exp == 0) & (F.col("n_cur") > 0)).alias("_inf"),

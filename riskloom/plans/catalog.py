@@ -33,6 +33,6 @@ def register(name: str, sql: str | None = None, headline: bool = False):
 
 def load_all() -> dict[str, Entry]:
     # importing the modules fills CATALOG
-    from . import (q_eval, q_features, q_ml, q_profile, q_sources, q_stats,  # noqa: F401
+    from . import (q_eval, q_features, q_ml, q_profile, q_stats,  # noqa: F401
                    q_stream, q_validate)
     return CATALOG

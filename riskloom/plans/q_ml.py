@@ -23,8 +23,6 @@ from .catalog import register
 from .oracle_base import with_base
 from .q_stats import SPLIT_CTE
 
-NULL_COLS = ["PAY_6", "BILL_AMT6", "PAY_AMT6"]
-STD_COLS = ["LIMIT_BAL", "AGE", "PAY_6"]
 LEVELS = {"SEX": [1, 2], "EDUCATION": [1, 2, 3, 4], "MARRIAGE": [1, 2, 3]}
 
 
@@ -39,14 +37,14 @@ def _train_sql():
 
 # --- preparation -----------------------------------------------------------------
 @register("impute_median", with_base(_train_sql(), "med AS (SELECT " + ", ".join(
-    f"quantile_cont({c}, 0.5) AS m_{c}" for c in NULL_COLS) + " FROM tr)") + "SELECT ID, " + ", ".join(
-    f"{B.r(f'coalesce(CAST({c} AS DOUBLE), m_{c})')} AS {c}" for c in NULL_COLS) + " FROM feat, med")
+    f"quantile_cont({c}, 0.5) AS m_{c}" for c in MODEL_NUMERIC) + " FROM tr)") + "SELECT ID, " + ", ".join(
+    f"{B.r(f'coalesce(CAST({c} AS DOUBLE), m_{c})')} AS {c}" for c in MODEL_NUMERIC) + " FROM feat, med")
 def q_impute_median(spark, sf_dir):
     train, _ = splits(spark, sf_dir)
     full = B.features_m(spark, sf_dir)
-    med = PR.fit_medians(train, NULL_COLS)
-    out = PR.impute_median(full.select("ID", *NULL_COLS), NULL_COLS, med)
-    return out.select("ID", *[rnd(F.col(c)).alias(c) for c in NULL_COLS])
+    med = PR.fit_medians(train, MODEL_NUMERIC)
+    out = PR.impute_median(full.select("ID", *MODEL_NUMERIC), MODEL_NUMERIC, med)
+    return out.select("ID", *[rnd(F.col(c)).alias(c) for c in MODEL_NUMERIC])
 
 
 @register("impute_constant", with_base() + "SELECT ID, " + ", ".join(
@@ -56,21 +54,21 @@ def q_impute_constant(spark, sf_dir):
 
 
 def _std_sql():
-    imp = {c: f"coalesce(CAST({c} AS DOUBLE), m_{c})" for c in STD_COLS}
+    imp = {c: f"coalesce(CAST({c} AS DOUBLE), m_{c})" for c in MODEL_NUMERIC}
     return with_base(_train_sql(), "med AS (SELECT " + ", ".join(
-        f"quantile_cont({c}, 0.5) AS m_{c}" for c in STD_COLS) + " FROM tr)",
-        "st AS (SELECT " + ", ".join(f"avg({imp[c]}) AS a_{c}, stddev_pop({imp[c]}) AS s_{c}" for c in STD_COLS)
+        f"quantile_cont({c}, 0.5) AS m_{c}" for c in MODEL_NUMERIC) + " FROM tr)",
+        "st AS (SELECT " + ", ".join(f"avg({imp[c]}) AS a_{c}, stddev_pop({imp[c]}) AS s_{c}" for c in MODEL_NUMERIC)
         + " FROM tr, med)") + "SELECT ID, " + ", ".join(
-        f"{B.r(f'({imp[c]} - a_{c}) / (CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END)')} AS {c}" for c in STD_COLS) \
+        f"{B.r(f'({imp[c]} - a_{c}) / (CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END)')} AS {c}" for c in MODEL_NUMERIC) \
         + " FROM feat, med, st"
 
 
 @register("standardize", _std_sql())
 def q_standardize(spark, sf_dir):
     train, _ = splits(spark, sf_dir)
-    st = PR.fit_prep(train, numeric=STD_COLS, categorical=[], k=len(STD_COLS))
+    st = PR.fit_prep(train, numeric=MODEL_NUMERIC, categorical=[], k=len(MODEL_NUMERIC))
     out = PR.prepare(B.features_m(spark, sf_dir), st, keep=("ID",))
-    return out.select("ID", *[rnd(F.col(c)).alias(c) for c in STD_COLS])
+    return out.select("ID", *[rnd(F.col(c)).alias(c) for c in MODEL_NUMERIC])
 
 
 _OH = [(c, v) for c in MODEL_CATEGORICAL for v in LEVELS[c]]
@@ -201,19 +199,12 @@ LOG_SCHEMA = T.StructType([
     T.StructField("accuracy", T.DoubleType()), T.StructField("seconds", T.DoubleType())])
 
 
-_RUNS: dict[str, list] = {}
-
-
 def _run(spark, sf_dir):
-    """The experiment log for ``sf_dir``; the log rows (one per experiment)
-    are kept so the log, its table and best-run queries share one run."""
-    if sf_dir in _RUNS:
-        return spark.createDataFrame(_RUNS[sf_dir], LOG_SCHEMA), None, None
+    """The experiment log for ``sf_dir``, one row per experiment."""
     train, test = splits(spark, sf_dir)
     train = kfold_column(train, 3, 42)
     log, model, name = TR.run_experiments(train, test, SMALL_EXPERIMENTS, folds=3)
     rows = [tuple(r[f.name] for f in LOG_SCHEMA.fields) for r in log]
-    _RUNS[sf_dir] = rows
     return spark.createDataFrame(rows, LOG_SCHEMA), model, name
 
 

@@ -34,11 +34,6 @@ def q_table_shape(spark, sf_dir):
     return P.table_shape(B.credit(spark, sf_dir))
 
 
-@register("dtype_counts")
-def q_dtype_counts(spark, sf_dir):
-    return P.dtype_counts(B.features(spark, sf_dir))
-
-
 @register("value_counts", with_base() + f"""
 SELECT is_default AS value, CAST(count(*) AS BIGINT) AS n,
        {B.r('count(*) * 100.0 / (SELECT count(*) FROM credit)')} AS percent

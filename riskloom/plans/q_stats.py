@@ -21,7 +21,6 @@ FEAT_NUM = ["LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE", "PAY_0", "PAY_2"
             "PAY_6", *[f"BILL_AMT{i}" for i in range(1, 7)], *[f"PAY_AMT{i}" for i in range(1, 7)],
             *CREATED_NUMERIC]
 CAT_FEATURES = ["SEX", "EDUCATION", "MARRIAGE", "PAY_0", "PAYMENT_DELAY_COUNT", "PAYMENT_SEVERITY"]
-NUMERIC_FIRST10 = FEAT_NUM[:10]
 
 
 def _lf_by_label(spark, sf_dir, cols):
@@ -266,7 +265,7 @@ def _psi_query(name, method, lf_fn, lf_sql, cols, headline=False):
 
 _psi_query("psi_floor", "floor", _lf_split, lf_split_sql, KEY_DRIFT_FEATURES)
 _psi_query("psi_smoothed", "smoothed", _lf_is_test, lf_is_test_sql, FEAT_NUM, headline=True)
-_psi_query("psi_smoothed_strict", "smoothed_strict", _lf_age, lf_age_sql, NUMERIC_FIRST10)
+_psi_query("psi_smoothed_strict", "smoothed_strict", _lf_age, lf_age_sql, FEAT_NUM)
 
 
 _KL_SQL = """
@@ -289,10 +288,10 @@ kd AS (SELECT feature, ok, c_ref / nullif(n_ref * width, 0) + 1e-10 AS p0, c_cur
 kn AS (SELECT feature, ok, p0 / sum(p0) OVER (PARTITION BY feature) AS p, q0 / sum(q0) OVER (PARTITION BY feature) AS q FROM kd)"""
 
 
-@register("kl_divergence", with_base(lf_age_sql(NUMERIC_FIRST10), _KL_SQL.strip()) + f"""
+@register("kl_divergence", with_base(lf_age_sql(FEAT_NUM), _KL_SQL.strip()) + f"""
 SELECT feature, {B.r('CASE WHEN bool_and(ok) THEN sum(p * ln(p / q)) END')} AS kl FROM kn GROUP BY feature""")
 def q_kl_divergence(spark, sf_dir):
-    k = D.kl_divergence(_lf_age(spark, sf_dir, NUMERIC_FIRST10))
+    k = D.kl_divergence(_lf_age(spark, sf_dir, FEAT_NUM))
     return k.select("feature", rnd(F.col("kl")).alias("kl"))
 
 
@@ -371,14 +370,14 @@ def q_feature_drift_summary(spark, sf_dir):
                     rnd(F.col("max_psi_all")).alias("max_psi_all"), "drift_detected")
 
 
-@register("numeric_drift_report", with_base(lf_age_sql(NUMERIC_FIRST10), psi_sql_ctes("smoothed_strict").strip().rstrip(","), """
+@register("numeric_drift_report", with_base(lf_age_sql(FEAT_NUM), psi_sql_ctes("smoothed_strict").strip().rstrip(","), """
 mom AS (SELECT feature, avg(value) FILTER (WHERE side = 0) AS rm, avg(value) FILTER (WHERE side = 1) AS cm
         FROM lf WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature)""") + f"""
 SELECT psi_res.feature, {B.r('psi')} AS psi, CAST(psi > 0.1 AS INTEGER) AS drift_detected,
        {B.r('rm')} AS reference_mean, {B.r('cm')} AS current_mean
 FROM psi_res JOIN mom ON psi_res.feature = mom.feature""")
 def q_numeric_drift_report(spark, sf_dir):
-    lf = _lf_age(spark, sf_dir, NUMERIC_FIRST10)
+    lf = _lf_age(spark, sf_dir, FEAT_NUM)
     p = D.psi(lf, "smoothed_strict")
     base = D.clean_values(lf, finite=False)
     mom = base.groupBy("feature").agg(F.avg(F.when(F.col("side") == 0, F.col("value"))).alias("reference_mean"),
@@ -423,10 +422,3 @@ def q_resolve_target(spark, sf_dir):
     df = B.credit(spark, sf_dir).withColumnRenamed(LABEL, "default")
     t = resolve_target(df)
     return df.agg(F.lit(t).alias("target_column"), F.avg(F.col(f"`{t}`")).alias("label_rate"))
-
-
-@register("common_columns")
-def q_common_columns(spark, sf_dir):
-    from ..operators.clean import common_columns
-    cols = common_columns(B.features(spark, sf_dir), B.cleaned(spark, sf_dir))
-    return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, column string")

@@ -47,11 +47,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="riskloom-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers import it."""
+    import zipfile
+
+    import riskloom
+    sc = spark.sparkContext
+    if getattr(sc, "_riskloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(riskloom.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="riskloom-ship-"), "riskloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("riskloom", os.path.relpath(full, root)))
+    sc.addPyFile(path)  # the driver serves it; executors keep their own copy
+    sc._riskloom_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local
     on a cluster) for round-trip files and written intermediate tables."""
