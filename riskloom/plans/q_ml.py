@@ -153,18 +153,18 @@ def _fit_predict(spark, sf_dir, model_type, params):
 
 @register("train_logistic")
 def q_train_logistic(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 100})
+    return _fit_predict(spark, sf_dir, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 1000})
 
 
 @register("train_random_forest")
 def q_train_random_forest(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, "random_forest", {"n_estimators": 20, "max_depth": 10,
+    return _fit_predict(spark, sf_dir, "random_forest", {"n_estimators": 100, "max_depth": 10,
                                                          "class_weight": "balanced", "random_state": 42})
 
 
 @register("train_gradient_boosting")
 def q_train_gradient_boosting(spark, sf_dir):
-    return _fit_predict(spark, sf_dir, "gradient_boosting", {"n_estimators": 20, "learning_rate": 0.1,
+    return _fit_predict(spark, sf_dir, "gradient_boosting", {"n_estimators": 100, "learning_rate": 0.1,
                                                              "max_depth": 3, "random_state": 42})
 
 
@@ -172,22 +172,22 @@ def q_train_gradient_boosting(spark, sf_dir):
 def q_grid_search(spark, sf_dir):
     train, _ = splits(spark, sf_dir)
     train = kfold_column(train, 3, 42)
-    best, results = TR.grid_search(train, "logistic", {"max_iter": 100},
+    best, results = TR.grid_search(train, "logistic", {"max_iter": 1000},
                                    {"C": [0.1, 1.0, 10.0], "class_weight": ["balanced"]}, folds=3)
     rows = [(str(sorted(p.items())), float(a), p == best) for p, a in results]
     return spark.createDataFrame(rows, "params string, mean_roc_auc double, best boolean")
 
 
 SMALL_EXPERIMENTS = [
-    TR.Experiment("Logistic Regression - GridSearch", "logistic", True, {"max_iter": 100},
+    TR.Experiment("Logistic Regression - GridSearch", "logistic", True, {"max_iter": 1000},
                   {"C": [0.1, 1.0], "class_weight": ["balanced"]}),
     TR.Experiment("Random Forest - GridSearch", "random_forest", True, {"random_state": 42},
                   {"n_estimators": [10], "max_depth": [5, 10], "class_weight": ["balanced"]}),
     TR.Experiment("Gradient Boosting - GridSearch", "gradient_boosting", True, {"random_state": 42},
                   {"n_estimators": [10], "learning_rate": [0.1, 0.2], "max_depth": [3]}),
     TR.Experiment("Logistic Regression - Balanced", "logistic", False,
-                  {"C": 0.1, "class_weight": "balanced", "max_iter": 100}),
-    TR.Experiment("Random Forest - Default", "random_forest", False, {"n_estimators": 20, "random_state": 42}),
+                  {"C": 0.1, "class_weight": "balanced", "max_iter": 1000}),
+    TR.Experiment("Random Forest - Default", "random_forest", False, {"n_estimators": 100, "random_state": 42}),
 ]
 
 LOG_SCHEMA = T.StructType([
@@ -231,7 +231,7 @@ def q_best_run(spark, sf_dir):
 @register("feature_importance_topk")
 def q_feature_importance_topk(spark, sf_dir):
     train, _ = splits(spark, sf_dir)
-    model, _ = TR.fit_model(train, "random_forest", {"n_estimators": 20, "max_depth": 10, "random_state": 42})
+    model, _ = TR.fit_model(train, "random_forest", {"n_estimators": 100, "max_depth": 10, "random_state": 42})
     imp = spark.createDataFrame(TR.feature_importances(model), "feature string, importance double")
     tot = imp.agg(F.sum("importance").alias("total"), F.max("importance").alias("max_importance"),
                   F.min("importance").alias("min_importance"))
@@ -243,7 +243,7 @@ def q_feature_importance_topk(spark, sf_dir):
 
 def _saved_model(spark, sf_dir):
     train, test = splits(spark, sf_dir)
-    model, _ = TR.fit_model(train, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 100})
+    model, _ = TR.fit_model(train, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 1000})
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
     return path, test
@@ -279,7 +279,7 @@ def score_rules(records):
 @register("score_batch")
 def q_score_batch(spark, sf_dir):
     train, _ = splits(spark, sf_dir)
-    model, _ = TR.fit_model(train, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 100})
+    model, _ = TR.fit_model(train, "logistic", {"C": 0.1, "class_weight": "balanced", "max_iter": 1000})
     requests = B.cleaned(spark, sf_dir).drop(LABEL, "is_test")
     return score_batch(model, requests)
 

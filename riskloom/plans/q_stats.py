@@ -416,9 +416,10 @@ def q_write_insights_text(spark, sf_dir):
     return spark.read.text(path)
 
 
-@register("resolve_target")
+@register("resolve_target", with_base() + f"""
+SELECT 'default' AS target_column, {B.r('avg(is_default)')} AS label_rate FROM credit""")
 def q_resolve_target(spark, sf_dir):
     from ..operators.clean import resolve_target
     df = B.credit(spark, sf_dir).withColumnRenamed(LABEL, "default")
     t = resolve_target(df)
-    return df.agg(F.lit(t).alias("target_column"), F.avg(F.col(f"`{t}`")).alias("label_rate"))
+    return df.agg(F.lit(t).alias("target_column"), rnd(F.avg(F.col(f"`{t}`"))).alias("label_rate"))

@@ -16,6 +16,7 @@ from . import base as B
 from .catalog import register
 from .oracle_base import with_base
 from .q_ml import score_rules
+from .q_validate import round_rows, suite_sql
 
 RAW_COLS = ["ID", "LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE", "PAY_0", "PAY_2", "PAY_3", "PAY_4",
             "PAY_5", "PAY_6", *[f"BILL_AMT{i}" for i in range(1, 7)], *[f"PAY_AMT{i}" for i in range(1, 7)], LABEL]
@@ -48,20 +49,27 @@ def q_read_json_records(spark, sf_dir):
 
 def _report_path(spark, sf_dir):
     path = scratch_path(spark, "report")
-    res = V.validate_table(B.credit(spark, sf_dir), V.credit_suite([c for c in RAW_COLS] + ["is_test"]))
+    res = V.validate_table(B.credit(spark, sf_dir).select(*RAW_COLS, "is_test"), V.credit_suite(RAW_COLS + ["is_test"]))
     FS.write_report_json(res, path)
-    return path
+    return path, res.schema
 
 
-@register("write_report_json")
+_REPORT_SQL = with_base() + suite_sql(V.credit_suite(RAW_COLS + ["is_test"]), "credit", RAW_COLS + ["is_test"])
+
+
+@register("write_report_json", _REPORT_SQL)
 def q_write_report_json(spark, sf_dir):
-    path = _report_path(spark, sf_dir)
-    return spark.createDataFrame([(path,)], "path string")
+    """The validation report written as JSON records; the result is what the
+    files hold, read with the report's own schema."""
+    path, schema = _report_path(spark, sf_dir)
+    return round_rows(FS.read_report_json(spark, path, schema))
 
 
-@register("read_report_json")
+@register("read_report_json", _REPORT_SQL)
 def q_read_report_json(spark, sf_dir):
-    return FS.read_report_json(spark, _report_path(spark, sf_dir))
+    """The same report read without a declared schema (types are inferred)."""
+    path, _ = _report_path(spark, sf_dir)
+    return round_rows(FS.read_report_json(spark, path).withColumn("rule_id", F.col("rule_id").cast("int")))
 
 
 # --- streaming ---------------------------------------------------------------------
@@ -98,7 +106,7 @@ def _psi_sql():
     sa = "(0.0" + "".join(f" + CASE WHEN {mm} THEN {x} ELSE 0.0 END" for mm, x in zip(m, a)) + ")"
     terms = "".join(f" + CASE WHEN {mm} THEN ({x} / {sa} - {y} / {se}) * ln(({x} / {sa}) / ({y} / {se})) ELSE 0.0 END"
                     for mm, x, y in zip(m, a, e))
-    return f"greatest(0.0{terms}, 0.0)"
+    return f"CASE WHEN edges IS NOT NULL THEN greatest(0.0{terms}, 0.0) END"
 
 
 _PROBS = ", ".join(str(i / 10) for i in range(11))
@@ -112,12 +120,12 @@ rc AS (SELECT event_type, [{", ".join(f"count_if(bin = {k})" for k in range(10))
 prof AS (SELECT pe.event_type, edges, ref_counts FROM pe JOIN rc ON pe.event_type = rc.event_type),
 wb AS (SELECT time_bucket(INTERVAL 7 DAY, ev.ts, TIMESTAMP '1970-01-01') AS ws, ev.event_type,
               {_bin_sql('CAST(ev.value AS DOUBLE)')} AS bin
-       FROM events ev JOIN prof ON ev.event_type = prof.event_type),
+       FROM events ev LEFT JOIN prof ON ev.event_type = prof.event_type),
 wc AS (SELECT ws, event_type, count(*) AS n, {", ".join(f"count_if(bin = {k}) AS c{k}" for k in range(10))}
        FROM wb GROUP BY ws, event_type),
 res AS (SELECT CAST(ws AS TIMESTAMP) AS window_start, CAST(ws + INTERVAL 7 DAY AS TIMESTAMP) AS window_end,
                wc.event_type, CAST(n AS BIGINT) AS n, {B.r(_psi_sql())} AS psi
-        FROM wc JOIN prof ON wc.event_type = prof.event_type)
+        FROM wc LEFT JOIN prof ON wc.event_type = prof.event_type)
 """
 
 

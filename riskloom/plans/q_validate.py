@@ -12,7 +12,7 @@ from .catalog import register
 from .oracle_base import with_base
 
 
-def _round_rows(df):
+def round_rows(df):
     return df.select("rule_id", "expectation_type", "column", "element_count", "unexpected_count",
                      rnd(F.col("unexpected_percent")).alias("unexpected_percent"), "success")
 
@@ -63,7 +63,7 @@ def _register_rules(name, rules_fn, raw: bool, headline=False):
 
     def fn(spark, sf_dir):
         df = B.credit(spark, sf_dir) if raw else _clean24(spark, sf_dir)
-        return _round_rows(V.validate_table(df, rules))
+        return round_rows(V.validate_table(df, rules))
     register(name, with_base(_CLEAN24) + suite_sql(rules, src, cols), headline)(fn)
 
 

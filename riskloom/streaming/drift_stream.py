@@ -42,18 +42,19 @@ def _bin_expr(value: str = "value") -> F.Column:
 def windowed_psi(events: DataFrame, profile: DataFrame, group: str, value: str, ts: str,
                  window: str = "7 days", watermark: str | None = "1 day", buckets: int = N_BINS) -> DataFrame:
     """(window_start, window_end, group, n, psi) — smoothed PSI of each
-    window's values against the reference shares. Works on streaming and
-    static DataFrames alike."""
+    window's values against the reference shares; a group that the reference
+    doesn't hold is reported with a NULL psi. Works on streaming and static
+    DataFrames alike."""
     ev = events.select(utc_instant(events, ts).alias("_ts"), F.col(group),
                        F.col(value).cast("double").alias("value"))
     if watermark and events.isStreaming:
         ev = ev.withWatermark("_ts", watermark)
-    j = ev.join(F.broadcast(profile), group)      # one row per group: bounded
-    j = j.withColumn("_bin", _bin_expr())
+    side = bounded_broadcast(profile, profile.count())   # the written profile's own row count
+    j = ev.join(side, group, "left").withColumn("_bin", _bin_expr())
     agg = (j.groupBy(F.window("_ts", window).alias("w"), group)
            .agg(F.count(F.lit(1)).alias("n"),
-                *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)],
-                F.first("ref_counts").alias("ref_counts"), F.first("edges").alias("edges")))
+                *[F.count_if(F.col("_bin") == k).alias(f"_c{k}") for k in range(buckets)])
+           .join(side, group, "left"))     # counts alone are kept as state
     # shares, totals and the PSI sum as three projections: each expression is
     # referenced by name, so no method inlines the totals into every term
     nb = F.size("edges") - 1
@@ -62,14 +63,14 @@ def windowed_psi(events: DataFrame, profile: DataFrame, group: str, value: str,
         F.when(m, F.element_at("ref_counts", k + 1) + F.lit(PSI_SMOOTH)).otherwise(F.lit(0.0)).alias(f"_e{k}")
         for k, m in enumerate(in_bins)], *[
         F.when(m, F.col(f"_c{k}") + F.lit(PSI_SMOOTH)).otherwise(F.lit(0.0)).alias(f"_a{k}")
-        for k, m in enumerate(in_bins)], nb.alias("_nb"))
+        for k, m in enumerate(in_bins)], nb.alias("_nb"), F.col("edges").isNotNull().alias("_known"))
     agg = agg.select("*", sum((F.col(f"_e{k}") for k in range(buckets)), F.lit(0.0)).alias("_se"),
                      sum((F.col(f"_a{k}") for k in range(buckets)), F.lit(0.0)).alias("_sa"))
     terms = [F.when(F.lit(k) < F.col("_nb"),
                     (F.col(f"_a{k}") / F.col("_sa") - F.col(f"_e{k}") / F.col("_se"))
                     * F.log((F.col(f"_a{k}") / F.col("_sa")) / (F.col(f"_e{k}") / F.col("_se"))))
              .otherwise(F.lit(0.0)) for k in range(buckets)]
-    psi = F.greatest(sum(terms, F.lit(0.0)), F.lit(0.0))
+    psi = F.when(F.col("_known"), F.greatest(sum(terms, F.lit(0.0)), F.lit(0.0)))
     return agg.select(utc_wall(F.col("w.start")).alias("window_start"), utc_wall(F.col("w.end")).alias("window_end"),
                       group, "n", psi.alias("psi"))
 
