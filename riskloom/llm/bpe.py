@@ -37,7 +37,7 @@ def byte_letters() -> list[str]:
 class RankBpe:
     """A byte-level BPE tokenizer file with word ends; see the module text."""
 
-    CACHED = 300_000  # words remembered by a task
+    CACHED = 300_000  # chunks, and words, remembered by a task
 
     def __init__(self, spec: str):
         d = json.loads(spec)
@@ -52,7 +52,8 @@ class RankBpe:
                                 + ")") if self.special else None
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
         self.wide = regex.compile(f"[{SPACE}]+")
-        self.cache = _Remembered(self)
+        self.cache = _Remembered(self.run, self.CACHED)
+        self.known = _Remembered(self.word_ids, self.CACHED)
 
     def merge(self, word: str) -> list[str]:
         """The parts of one word (byte letters) after all merges."""
@@ -115,11 +116,12 @@ class RankBpe:
 
     def run(self, chunk: str) -> bytes:
         """Ids (little-endian 32 bits) of text without white space."""
-        out = array("I")
-        for w in self.words.findall(chunk):
-            out.extend(self.vocab[p] for p in self.merge("".join(map(self.letters.__getitem__, w.encode())))
-                       if p in self.vocab)
-        return out.tobytes()
+        return b"".join(map(self.known.__getitem__, self.words.findall(chunk)))
+
+    def word_ids(self, word: str) -> bytes:
+        """Ids of one word of the pattern."""
+        parts = self.merge("".join(map(self.letters.__getitem__, word.encode())))
+        return array("I", [self.vocab[p] for p in parts if p in self.vocab]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
@@ -144,18 +146,18 @@ class RankBpe:
 
 
 class _Remembered(dict):
-    """chunk -> ids, emptied when full."""
+    """text -> its ids by ``make``, emptied when full; long texts aren't kept."""
 
-    def __init__(self, bpe: RankBpe):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.bpe.CACHED:
-            self.clear()
-        ids = self.bpe.run(chunk)
-        if len(chunk) <= 64:
-            self[chunk] = ids
+        self.make, self.most = make, most
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.make(text)
+        if len(text) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[text] = ids
         return ids
 
 
