@@ -1,7 +1,7 @@
 """Rule-based validation (§2.7). All column rules of a suite are evaluated in
 ONE aggregate (count / count_if per rule) and then unpivoted into rows, so a
-suite costs one scan whatever its size. Rules are a boolean gate; no row is
-removed.
+suite costs one scan whatever its size. The suite is a boolean gate and removes
+no row; ``split_valid_invalid`` sets the rows apart that break a row rule.
 
 Semantics: NULL passes ``in_set`` and ``between`` (it is not counted as
 unexpected, and the percentage is over non-null values); ``not_null`` counts
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import (ALLOWED_CODES, BETWEEN_RULES, IN_SET_RULES, LABEL, NOT_NULL_RULES,
@@ -76,6 +76,40 @@ def _rule_aggs(df: DataFrame, i: int, r: Rule):
     raise ValueError(f"unknown rule {r.kind}")
 
 
+def broken_rules(df: DataFrame, rules: list[Rule]) -> Column:
+    """``kind:column`` of every row rule (not null, in set, between) that a row
+    breaks, in the suite's order. A missing column breaks its rule in every
+    row; rules on the whole table break none."""
+    marks = []
+    for r in rules:
+        if r.kind not in (NOT_NULL, IN_SET, BETWEEN):
+            continue
+        name = F.lit(f"{r.kind}:{r.column}")
+        if r.column not in df.columns:
+            marks.append(name)
+            continue
+        c = F.col(r.column)
+        if r.kind == NOT_NULL:
+            broken = c.isNull()
+        elif r.kind == IN_SET:
+            broken = c.isNotNull() & ~c.isin(*r.values)
+        else:
+            broken = c.isNotNull() & ((c < F.lit(r.lo)) | (c > F.lit(r.hi)))
+        marks.append(F.when(broken, name))
+    return F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
+
+
+def split_valid_invalid(df: DataFrame, rules: list[Rule],
+                        column: str = "failed_rules") -> tuple[DataFrame, DataFrame]:
+    """Rows that keep every row rule, and the quarantine: the other rows with
+    the rules they break in ``column``. Every row is in exactly one of the two;
+    repeated rows stay repeated. Both are narrow filters over ``df``."""
+    if column in df.columns:
+        raise ValueError(f"the table has a column {column} already; name another")
+    marked = df.withColumn(column, broken_rules(df, rules))
+    return marked.filter(F.size(column) == 0).drop(column), marked.filter(F.size(column) > 0)
+
+
 def validate_table(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per rule: rule_id, expectation_type, column, element_count,
     unexpected_count, unexpected_percent, success."""

@@ -95,3 +95,27 @@ def q_quality_gate(spark, sf_dir):
     g = V.quality_gate(B.credit(spark, sf_dir), B.features(spark, sf_dir))
     return g.select("rule_id", "expectation_type", "column", "element_count", "unexpected_count",
                  rnd(F.col("unexpected_percent")).alias("unexpected_percent"), "success", "stage")
+
+
+def _broken_sql(r):
+    c, name = r.column, f"'{r.kind}:{r.column}'"
+    if r.kind == V.NOT_NULL:
+        broken = f"{c} IS NULL"
+    elif r.kind == V.IN_SET:
+        broken = f"{c} NOT IN ({', '.join(str(v) for v in r.values)})"
+    else:
+        broken = f"{c} NOT BETWEEN {r.lo} AND {r.hi}"
+    return f"CASE WHEN {broken} THEN {name} END"
+
+
+_ROW_RULES = [r for r in V.credit_suite() if r.kind != V.ORDERED]
+
+
+@register("split_valid_invalid", with_base() + f"""
+SELECT ID, failed = '' AS is_valid, failed AS failed_rules
+FROM (SELECT ID, concat_ws(',', {', '.join(_broken_sql(r) for r in _ROW_RULES)}) AS failed FROM credit)""")
+def q_split_valid_invalid(spark, sf_dir):
+    raw = B.credit(spark, sf_dir)
+    valid, invalid = V.split_valid_invalid(raw, V.credit_suite(RAW_COLUMNS))
+    return valid.select("ID", F.lit(True).alias("is_valid"), F.lit("").alias("failed_rules")).unionByName(
+        invalid.select("ID", F.lit(False).alias("is_valid"), F.concat_ws(",", "failed_rules").alias("failed_rules")))

@@ -38,3 +38,24 @@ def test_exact_stratified_split(spark):
     c = {(r.is_default, r.split): r["count"] for r in out}
     assert c[(1, "test")] == 50 and c[(0, "test")] == 150          # round(0.2 · n) per class
     assert c[(1, "train")] + c[(1, "test")] == 250
+
+
+def test_split_valid_invalid(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 30, 1.0), (1, 30, 1.0), (3, 15, None), (None, None, 5.0)],
+                               "SEX int, AGE int, LIMIT_BAL double")
+    rules = [V.Rule(V.NOT_NULL, "LIMIT_BAL"), V.Rule(V.IN_SET, "SEX", [1, 2]), V.Rule(V.BETWEEN, "AGE", lo=18, hi=100),
+             V.Rule(V.ORDERED, None, ["AGE"])]
+    valid, invalid = V.split_valid_invalid(df, rules)
+    assert valid.columns == df.columns
+    assert [tuple(r) for r in valid.orderBy("LIMIT_BAL").collect()] == [(1, 30, 1.0), (1, 30, 1.0), (None, None, 5.0)]
+    assert [r.failed_rules for r in invalid.collect()] == [
+        [f"{V.NOT_NULL}:LIMIT_BAL", f"{V.IN_SET}:SEX", f"{V.BETWEEN}:AGE"]]
+    ok, bad = V.split_valid_invalid(df, [V.Rule(V.NOT_NULL, "absent")])     # a missing column breaks every row
+    assert ok.count() == 0 and bad.count() == 4
+    ok, bad = V.split_valid_invalid(df.limit(0), rules)
+    assert ok.count() == 0 and bad.count() == 0
+    ok, bad = V.split_valid_invalid(df, [])
+    assert ok.count() == 4 and bad.count() == 0
+    with pytest.raises(ValueError):
+        V.split_valid_invalid(df, rules, column="AGE")
