@@ -49,19 +49,35 @@ def split_info(split_df: DataFrame, label: str = LABEL) -> DataFrame:
             .select(F.coalesce(F.col("split"), F.lit("full")).alias("split"), "n_rows", "default_rate"))
 
 
-def kfold_column(df: DataFrame, k: int = 3, seed: int = 42, key: str = "ID", name: str = "fold") -> DataFrame:
-    """Fold id 0..k-1 from the key hash (stratified in expectation)."""
+def kfold_column(df: DataFrame, k: int = 3, seed: int = 42, key: str = "ID", name: str = "fold",
+                 label: str | None = None) -> DataFrame:
+    """Fold id 0..k-1 from the key hash (stratified in expectation). With
+    ``label``: within each class the rows are dealt to the folds in turn by
+    their hash ranks, so fold sizes of a class differ by one at most; rows of
+    one key get one fold. Rows without a class keep the fold of the hash."""
     h = F.conv(F.substring(key_hash(key, seed), 1, 8), 16, 10).cast("long")
-    return df.withColumn(name, (h % F.lit(k)).cast("int"))
-
-
-def _exact_split(df: DataFrame, test_frac: float, seed: int, key: str, label: str) -> DataFrame:
+    by_hash = (h % F.lit(k)).cast("int")
+    if label is None:
+        return df.withColumn(name, by_hash)
+    hk, cum = _hash_ranks(df, seed, key, label)
+    dealt = cum.select("_cls", F.col("value").alias("_h"), F.pmod(F.col("cum_n") - 1, F.lit(k)).cast("int").alias("_f"))
+    return (hk.join(dealt, ["_cls", "_h"], "left")
+            .withColumn(name, F.coalesce("_f", by_hash)).drop("_cls", "_h", "_f"))
+
+
+def _hash_ranks(df: DataFrame, seed: int, key: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its class and key hash, and the running counts of the
+    hashes in each class."""
     from .ranks import cumulative_counts, value_counts
     # 52-bit hash prefix: exact as a double; equal prefixes (ties) share a rank
     h = F.conv(F.substring(key_hash(key, seed), 1, 13), 16, 10).cast("long").cast("double")
     hk = df.withColumn("_cls", F.col(label)).withColumn("_h", h)
     counts = value_counts(hk.select("_cls", F.col("_h").alias("value")), ["_cls"], "value")
-    cum = cumulative_counts(counts, ["_cls"], ["n"], n_keys_bound=1000)
+    return hk, cumulative_counts(counts, ["_cls"], ["n"], n_keys_bound=1000)
+
+
+def _exact_split(df: DataFrame, test_frac: float, seed: int, key: str, label: str) -> DataFrame:
+    hk, cum = _hash_ranks(df, seed, key, label)
     test = (cum.filter(F.col("cum_n") <= F.floor(F.col("tot_n") * F.lit(test_frac) + F.lit(0.5)))
             .select("_cls", F.col("value").alias("_h"), F.lit(True).alias("_in")))
     return (hk.join(test, ["_cls", "_h"], "left")

@@ -137,6 +137,15 @@ def q_stratified_kfold(spark, sf_dir):
     return kfold_column(train, 3, 42).select("ID", "fold")
 
 
+@register("stratified_kfold_exact", with_base(_train_sql()) + """
+SELECT ID, CAST((row_number() OVER (PARTITION BY is_default ORDER BY h) - 1) % 3 AS INTEGER) AS fold
+FROM (SELECT ID, is_default, CAST(('0x' || substr(md5(CAST(ID AS VARCHAR) || ':42'), 1, 13)) AS BIGINT) AS h FROM tr)""")
+def q_stratified_kfold_exact(spark, sf_dir):
+    """Folds whose sizes differ by one row at most in every class."""
+    train, _ = splits(spark, sf_dir)
+    return kfold_column(train, 3, 42, label=LABEL).select("ID", "fold")
+
+
 # --- models (rows-only) -----------------------------------------------------------
 @register("assemble_features")
 def q_assemble_features(spark, sf_dir):

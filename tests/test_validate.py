@@ -59,3 +59,14 @@ def test_split_valid_invalid(spark):
     assert ok.count() == 4 and bad.count() == 0
     with pytest.raises(ValueError):
         V.split_valid_invalid(df, rules, column="AGE")
+
+
+def test_exact_stratified_folds(spark):
+    from riskloom.operators.split import kfold_column
+    rows = [(i, None if i > 1000 else 1 if i % 4 == 0 else 0) for i in range(1, 1011)]
+    df = spark.createDataFrame(rows, "ID long, is_default int")
+    out = kfold_column(df, 3, label="is_default").collect()
+    assert sorted(r.ID for r in out) == list(range(1, 1011)) and {r.fold for r in out} <= {0, 1, 2}
+    for cls in (0, 1):
+        sizes = [sum(r.is_default == cls and r.fold == f for r in out) for f in range(3)]
+        assert max(sizes) - min(sizes) <= 1
