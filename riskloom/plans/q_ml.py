@@ -5,6 +5,7 @@ properties); the preparation statistics and rule scoring have oracles."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -179,25 +180,17 @@ def q_train_gradient_boosting(spark, sf_dir):
 
 @register("grid_search")
 def q_grid_search(spark, sf_dir):
+    """Every setting of the searched experiments; ``best`` is the best of its family."""
     train, _ = splits(spark, sf_dir)
-    train = kfold_column(train, 3, 42)
-    best, results = TR.grid_search(train, "logistic", {"max_iter": 1000},
-                                   {"C": [0.1, 1.0, 10.0], "class_weight": ["balanced"]}, folds=3)
-    rows = [(str(sorted(p.items())), float(a), p == best) for p, a in results]
-    return spark.createDataFrame(rows, "params string, mean_roc_auc double, best boolean")
-
-
-SMALL_EXPERIMENTS = [
-    TR.Experiment("Logistic Regression - GridSearch", "logistic", True, {"max_iter": 1000},
-                  {"C": [0.1, 1.0], "class_weight": ["balanced"]}),
-    TR.Experiment("Random Forest - GridSearch", "random_forest", True, {"random_state": 42},
-                  {"n_estimators": [10], "max_depth": [5, 10], "class_weight": ["balanced"]}),
-    TR.Experiment("Gradient Boosting - GridSearch", "gradient_boosting", True, {"random_state": 42},
-                  {"n_estimators": [10], "learning_rate": [0.1, 0.2], "max_depth": [3]}),
-    TR.Experiment("Logistic Regression - Balanced", "logistic", False,
-                  {"C": 0.1, "class_weight": "balanced", "max_iter": 1000}),
-    TR.Experiment("Random Forest - Default", "random_forest", False, {"n_estimators": 100, "random_state": 42}),
-]
+    train = kfold_column(train, 3, 42).persist(StorageLevel.MEMORY_AND_DISK)
+    states, rows = TR.fold_states(train, 3), []
+    for ex in TR.DEFAULT_EXPERIMENTS:
+        if ex.use_grid_search:
+            best, results = TR.grid_search(train, ex.model_type, ex.base_params, ex.grid, folds=3, states=states)
+            rows += [(ex.model_type, str(sorted(p.items())), float(a), p == best) for p, a in results]
+    train.unpersist()
+    return spark.createDataFrame(rows, "model_type string, params string, mean_roc_auc double, best boolean")
+
 
 LOG_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("model_type", T.StringType()),
@@ -212,7 +205,7 @@ def _run(spark, sf_dir):
     """The experiment log for ``sf_dir``, one row per experiment."""
     train, test = splits(spark, sf_dir)
     train = kfold_column(train, 3, 42)
-    log, model, name = TR.run_experiments(train, test, SMALL_EXPERIMENTS, folds=3)
+    log, model, name = TR.run_experiments(train, test, TR.DEFAULT_EXPERIMENTS, folds=3)
     rows = [tuple(r[f.name] for f in LOG_SCHEMA.fields) for r in log]
     return spark.createDataFrame(rows, LOG_SCHEMA), model, name
 

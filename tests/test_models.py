@@ -55,3 +55,42 @@ def test_rule_scores_on_scenarios(spark):
     rows = df.select(p.alias("p"), risk_level(p).alias("band")).collect()
     assert [r.p for r in rows] == [0.05, 0.75, 0.75]
     assert [r.band for r in rows] == ["very low", "very high", "very high"]
+
+
+SETTINGS = {"logistic": 3, "random_forest": 4, "gradient_boosting": 8}
+
+
+def test_queries_run_the_full_plan(spark, monkeypatch):
+    """The four experiment queries try every setting of the source's grids, on
+    every fold, and refit the best; the fits themselves are replaced."""
+    from riskloom.plans import q_ml
+    tried, fitted = [], []
+
+    def auc(train, model_type, params, folds=3, *a, **k):
+        tried.append((model_type, tuple(sorted((n, str(v)) for n, v in params.items())), folds))
+        return len(tried) / 100                     # the last setting of a family is its best
+
+    def fit(train, model_type, params, *a, **k):
+        fitted.append((model_type, params))
+        return None, None
+
+    monkeypatch.setattr(TR, "fit_prep", lambda *a, **k: None)
+    monkeypatch.setattr(TR, "fold_auc", auc)
+    monkeypatch.setattr(TR, "fit_model", fit)
+    monkeypatch.setattr(TR, "evaluate_model", lambda *a, **k: dict.fromkeys(
+        ("roc_auc", "precision", "recall", "f1", "accuracy"), 0.5))
+    small = "/root/testdata/sf0.001"
+    rows = q_ml.q_grid_search(spark, small).collect()
+    assert {m: sum(r.model_type == m for r in rows) for m in SETTINGS} == SETTINGS
+    assert {r.model_type: r.params for r in rows if r.best}.keys() == SETTINGS.keys()
+    assert sum(r.best for r in rows) == 3
+    assert len(set(tried)) == 15 and {f for _, _, f in tried} == {3}
+    for query in (q_ml.q_run_experiments, q_ml.q_experiment_log, q_ml.q_best_run):
+        tried.clear(), fitted.clear()
+        n = query(spark, small).count()
+        assert n == (1 if query is q_ml.q_best_run else 5)
+        assert {m: sum(t[0] == m for t in set(tried)) for m in SETTINGS} == SETTINGS
+        assert [(m, p.get("C"), p.get("n_estimators"), p.get("max_depth"), p.get("learning_rate")) for m, p in fitted] == [
+            ("logistic", 10.0, None, None, None), ("random_forest", None, 200, 15, None),
+            ("gradient_boosting", None, 200, 5, 0.2), ("logistic", 0.1, None, None, None),
+            ("random_forest", None, 100, None, None)]
