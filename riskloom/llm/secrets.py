@@ -4,12 +4,13 @@ Three strong kinds are reported wherever they stand: ``assign``, ``access``
 and ``hex``. Weak candidates are reported only in company: a ``weak`` token
 (mixed letters and digits, standing alone), an ``endpoint`` (host or IPv4
 address) and a ``login`` (``user=...``) count when a part that complements
-them starts within ``SCOPE`` code points in the same text, without overlap: a
+them stands within ``SCOPE`` code points in the same text (from the end of the
+one to the start of the other), without overlap: a
 weak token needs an access key or a login, an endpoint or login needs a strong
-part. The parts are joined as intervals:
-strong and complementary parts are placed in blocks of ``SCOPE`` code points
-and meet the candidates of the same and the two neighbouring blocks, so the
-join holds as many pairs as fit a scope, whatever the text's length.
+part. The parts are joined as intervals, once for each order of the two: an end
+is placed in its block of ``SCOPE`` code points and the next one, where it meets
+the starts, so the join holds as many pairs as fit a scope, whatever the
+lengths of the text and of the parts.
 
 Only DataFrame operations. A null text is empty; each row, repeated or not, is
 scanned on its own. Spans are code points, end exclusive. Texts of any length
@@ -81,14 +82,18 @@ def scanned(docs: DataFrame) -> DataFrame:
 def linked(found: DataFrame, key: str) -> DataFrame:
     """key, added: the weak spans that stand in company, for rows that have any."""
     row = found.filter(F.size("_s_parts") > 0)
-    weak = row.select(key, F.explode("_s_parts").alias("w")).withColumn("_block", F.floor(F.col("w.start") / SCOPE))
-    near = row.select(key, F.explode(F.concat("_s_base", "_s_parts")).alias("p")).filter("p.kind <> 4").withColumn(
-        "_block", F.explode(F.array(*[F.floor(F.col("p.start") / SCOPE) + d for d in (-1, 0, 1)])))
+    weak = row.select(key, F.explode("_s_parts").alias("w"))
+    near = row.select(key, F.explode(F.concat("_s_base", "_s_parts")).alias("p")).filter("p.kind <> 4")
     fits = ((F.col("w.kind") == 3) & F.col("p.kind").isin(1, 5)) | (F.col("w.kind").isin(4, 5) & F.col("p.kind").isin(0, 1, 2))
-    apart = ((F.col("w.start") < F.col("p.end")) & (F.col("p.start") < F.col("w.end")))
-    close = F.abs(F.col("w.start") - F.col("p.start")) <= SCOPE
-    return (weak.join(near, [key, "_block"]).filter(fits & close & ~apart)
-            .groupBy(key).agg(F.array_sort(F.collect_set("w")).alias("added")))
+
+    def behind(first: DataFrame, a: str, then: DataFrame, b: str) -> DataFrame:
+        """The weak spans of pairs in which ``a`` ends at most ``SCOPE`` before ``b`` starts."""
+        ends = first.withColumn("_block", F.explode(F.array(*[F.floor(F.col(f"{a}.end") / SCOPE) + d for d in (0, 1)])))
+        starts = then.withColumn("_block", F.floor(F.col(f"{b}.start") / SCOPE))
+        gap = F.col(f"{b}.start") - F.col(f"{a}.end")
+        return ends.join(starts, [key, "_block"]).filter(fits & gap.between(0, SCOPE)).select(key, "w")
+    pairs = behind(weak, "w", near, "p").unionByName(behind(near, "p", weak, "w"))
+    return pairs.groupBy(key).agg(F.array_sort(F.collect_set("w")).alias("added"))
 
 
 def _named(spans: Column) -> Column:
