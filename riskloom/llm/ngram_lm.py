@@ -44,7 +44,7 @@ from .common import arrow_groups, arrow_map, forget, scratch_dir, text_bytes, wr
 from .eliasfano import Level, pack
 from .warc import _open
 
-ORDER, LEAST, DISCOUNT, CODES = 3, 4, 0.75, 256
+ORDER, LEAST, DISCOUNT, CODES = 3, 1, 0.75, 256
 BLOCK_TOKENS, TOKENS_AT_ONCE = 1 << 20, 1 << 19
 END = int.from_bytes(b"end", "little")  # the end token's key; no word's hash is this small by any likely chance
 POSITIVE = (1 << 63) - 1

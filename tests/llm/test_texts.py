@@ -240,3 +240,31 @@ def test_language_model(spark, odd, none):
     for df in (odd, none):
         got = ngram_lm.scored(df, F.lit(True), least=2)
         assert got.count() == df.count() and got.filter("score is null or score > 0 or isnan(score)").count() == 0
+
+
+def test_rare_ngrams_count(spark):
+    """Each probability equals the interpolated one over all n-grams, those seen once too."""
+    texts = ["the cat sat on the mat", "a dog sat on a log", "the dog ran", "one cat ran to the log", "",
+             "the cat sat on a log", "new words sat on the mat", "one dog"]
+    learnt = [[None, *t.split(), "\n"] for t in texts[:5]]
+    one = Counter(w for t in learnt for w in t[1:])
+    gram = {k: Counter(tuple(t[i:i + k]) for t in learnt for i in range(len(t) - k + 1)) for k in (2, 3)}
+    of = {1: Counter({(w,): c for w, c in one.items()} | {(None,): len(learnt)}), 2: gram[2]}
+    total, distinct = sum(one.values()), len(one)
+
+    def prob(context, w):
+        if not context:
+            return (one[w] + 0.5) / (total + 0.5 * (distinct + 1))
+        k, lower_ = len(context) + 1, prob(context[1:], w)
+        after = [n for g, n in gram[k].items() if g[:-1] == context]
+        if not after:
+            return lower_
+        seen = of[k - 1][context]
+        return max(0, gram[k][(*context, w)] - 0.75) / seen + (1 - sum(n - 0.75 for n in after) / seen) * lower_
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in ngram_lm.scored(rows, F.col("doc_id") < 5).collect()}
+    for d, text in enumerate(texts):
+        t = [None, *text.split(), "\n"]
+        want = sum(log10(prob(tuple(t[max(0, i - 2):i]), t[i])) for i in range(1, len(t)))
+        assert got[d].score == pytest.approx(want, rel=1e-9)
+    assert got[5].score > got[5].base_score + 2
