@@ -14,6 +14,9 @@ PSI variants:
   NaN and ±inf removed first; an empty sample gives +inf.
 * ``smoothed_strict`` (C): as B, NaN removed only, and no equal-width fallback
   for a constant reference (no bins → PSI 0).
+
+String features take the shares of their levels (``psi_categorical``), smoothed
+as B, in place of bins.
 """
 
 from __future__ import annotations
@@ -144,6 +147,25 @@ def psi(lf: DataFrame, method: str = "smoothed", side: str = "side", buckets: in
         .select("feature", F.coalesce("psi", absent).alias("psi"))
 
 
+def psi_categorical(levels: DataFrame, side: str = "side") -> DataFrame:
+    """(feature, psi) of string features, over the shares of the levels seen
+    on either side, smoothed as variant B. A level is a row of counts, so a
+    feature may have any number of them; NULL is no level. Without values on
+    a side: +inf."""
+    cnt = (levels.filter(F.col("value").isNotNull()).groupBy("feature", F.col("value").alias("level"))
+           .agg(F.count_if(F.col(side) == 0).alias("n_0"), F.count_if(F.col(side) == 1).alias("n_1")))
+    tot = cnt.groupBy("feature").agg(F.sum("n_0").alias("t_0"), F.sum("n_1").alias("t_1"),
+                                     F.count(F.lit(1)).alias("k"))
+    j = cnt.join(bounded_broadcast(tot, MAX_FEATURES), "feature")
+    e, a = ((F.col(f"n_{i}") + F.lit(PSI_SMOOTH)) / (F.col(f"t_{i}") + F.col("k") * F.lit(PSI_SMOOTH)) for i in (0, 1))
+    found = j.groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi"), F.first("t_0").alias("t_0"),
+                                     F.first("t_1").alias("t_1"))
+    found = found.select("feature", F.when((F.col("t_0") > 0) & (F.col("t_1") > 0),
+                                           F.greatest(F.col("psi"), F.lit(0.0))).alias("psi"))
+    return levels.select("feature").distinct().join(found, "feature", "left") \
+        .select("feature", F.coalesce("psi", F.lit(float("inf"))).alias("psi"))
+
+
 def kl_divergence(lf: DataFrame, side: str = "side", n_edges: int = 20) -> DataFrame:
     """(feature, kl): 19 equal-width bins over the pooled range, densities
     (count / (n · width)) + 1e-10, renormalised, Σ p·ln(p/q), p = reference.
@@ -204,10 +226,13 @@ def categorical_features(lf: DataFrame, side: str = "side", max_levels: int = 20
 
 
 def feature_drift_report(lf: DataFrame, categorical: DataFrame | None = None, side: str = "side",
-                         threshold: float = DRIFT_THRESHOLD, auto_categorical: bool = True) -> DataFrame:
+                         threshold: float = DRIFT_THRESHOLD, auto_categorical: bool = True,
+                         levels: DataFrame | None = None) -> DataFrame:
     """Per feature: PSI (smoothed), drift flag, χ² for categorical features
     (``categorical``: (feature) rows; by default the features with < 20
-    distinct reference values), and the moments of both samples."""
+    distinct reference values), and the moments of both samples. ``levels``:
+    the string features (feature, side, value string), which get PSI over
+    their levels, χ², and NULL moments."""
     from .twosample import chi_square_gof
     base = clean_values(lf, finite=False)
     if categorical is None and auto_categorical:
@@ -223,6 +248,11 @@ def feature_drift_report(lf: DataFrame, categorical: DataFrame | None = None, si
         cat_in = base.join(bounded_broadcast(categorical.select("feature"), MAX_FEATURES), "feature", "left_semi")
         chi = chi_square_gof(cat_in, side, p_values=True)
         out = out.join(chi.select("feature", "chi2_statistic", F.col("p_value")), "feature", "left")
+    if levels is not None:
+        chi = chi_square_gof(levels, side, p_values=True).select("feature", "chi2_statistic", "p_value")
+        strings = psi_categorical(levels, side).withColumn("drift_detected", F.col("psi") > F.lit(threshold)) \
+            .join(chi, "feature", "left")
+        out = out.unionByName(strings, allowMissingColumns=True)
     return out
 
 

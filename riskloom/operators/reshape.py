@@ -13,3 +13,11 @@ def long_format(df: DataFrame, cols: list[str], ids=(), feature: str = "feature"
     ids = list(ids)
     base = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
     return base.unpivot(ids, cols, feature, value)
+
+
+def long_levels(df: DataFrame, cols: list[str], ids=(), feature: str = "feature",
+                value: str = "value") -> DataFrame:
+    """(ids..., feature, value string): as ``long_format``, for string columns."""
+    ids = list(ids)
+    base = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in cols])
+    return base.unpivot(ids, cols, feature, value)

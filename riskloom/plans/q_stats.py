@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from ..functions.rowwise import rnd
 from ..operators import drift as D
 from ..operators import twosample as TS
-from ..operators.reshape import long_format
+from ..operators.reshape import long_format, long_levels
 from ..operators.split import stratified_split
-from ..schema import CREATED_NUMERIC, KEY_DRIFT_FEATURES, LABEL, TTEST_FEATURES
+from ..schema import CREATED_CATEGORICAL, CREATED_NUMERIC, KEY_DRIFT_FEATURES, LABEL, TTEST_FEATURES
 from . import base as B
-from .catalog import register
+from .catalog import CATALOG, register
 from .oracle_base import with_base
 from .q_profile import RAW_NUMERIC
 
@@ -370,6 +370,50 @@ def q_feature_drift_summary(spark, sf_dir):
                     rnd(F.col("max_psi_all")).alias("max_psi_all"), "drift_detected")
 
 
+# the reports over all features: the numeric ones as above, and the string ones
+_LEVELS_SQL = with_base("lv AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST(is_test AS INTEGER) AS side, {c} AS value FROM feat" for c in CREATED_CATEGORICAL) + ")", """
+lc AS (SELECT feature, value, count_if(side = 0) AS n0, count_if(side = 1) AS n1 FROM lv
+       WHERE value IS NOT NULL GROUP BY feature, value),
+ls AS (SELECT feature, n0, n1, sum(n0) OVER f AS t0, sum(n1) OVER f AS t1,
+              (n0 + 0.0001) / sum(n0 + 0.0001) OVER f AS e, (n1 + 0.0001) / sum(n1 + 0.0001) OVER f AS a
+       FROM lc WINDOW f AS (PARTITION BY feature)),
+lp AS (SELECT feature, CASE WHEN any_value(t0) = 0 OR any_value(t1) = 0 THEN 'inf'::DOUBLE
+                            ELSE greatest(sum((a - e) * ln(a / e)), 0.0) END AS psi,
+              CASE WHEN any_value(t0) = 0 OR any_value(t1) = 0 THEN NULL
+                   WHEN count_if(n0 = 0 AND n1 > 0) > 0 THEN 'inf'::DOUBLE
+                   ELSE sum((n1 - n0 * t1 / t0) * (n1 - n0 * t1 / t0) / (n0 * t1 / t0)) END AS chi2 FROM ls GROUP BY feature)""") + f"""
+SELECT names.feature, {B.r("coalesce(psi, 'inf'::DOUBLE)")} AS psi, coalesce(psi, 'inf'::DOUBLE) > 0.1 AS drift_detected,
+       {B.r('chi2')} AS chi2_statistic, CAST(NULL AS DOUBLE) AS reference_mean, CAST(NULL AS DOUBLE) AS current_mean,
+       CAST(NULL AS DOUBLE) AS reference_std, CAST(NULL AS DOUBLE) AS current_std
+FROM (SELECT DISTINCT feature FROM lv) AS names LEFT JOIN lp ON names.feature = lp.feature"""
+_ALL_SQL = f"(SELECT * FROM ({CATALOG['feature_drift_report'].sql}) UNION ALL SELECT * FROM ({_LEVELS_SQL}))"
+
+
+def _all_features_report(spark, sf_dir):
+    f = B.features_m(spark, sf_dir).withColumn("side", F.col("is_test").cast("int"))
+    return D.feature_drift_report(long_format(f, _FDR_COLS, ids=["side"]),
+                                  levels=long_levels(f, CREATED_CATEGORICAL, ids=["side"]))
+
+
+@register("feature_drift_report_all", f"SELECT * FROM {_ALL_SQL}")
+def q_feature_drift_report_all(spark, sf_dir):
+    r = _all_features_report(spark, sf_dir)
+    return r.select("feature", rnd(F.col("psi")).alias("psi"), "drift_detected",
+                    rnd(F.col("chi2_statistic")).alias("chi2_statistic"),
+                    *[rnd(F.col(c)).alias(c) for c in ["reference_mean", "current_mean", "reference_std", "current_std"]])
+
+
+@register("feature_drift_summary_all", f"""
+SELECT CAST(count(*) AS BIGINT) AS total_features, CAST(count_if(drift_detected) AS BIGINT) AS drifted_features,
+       coalesce(max(psi) FILTER (WHERE drift_detected), 0.0) AS max_psi, max(psi) AS max_psi_all,
+       count_if(drift_detected) > 0 AS drift_detected FROM {_ALL_SQL}""")
+def q_feature_drift_summary_all(spark, sf_dir):
+    s = D.drift_summary(_all_features_report(spark, sf_dir))
+    return s.select("total_features", "drifted_features", rnd(F.col("max_psi")).alias("max_psi"),
+                    rnd(F.col("max_psi_all")).alias("max_psi_all"), "drift_detected")
+
+
 @register("numeric_drift_report", with_base(lf_age_sql(FEAT_NUM), psi_sql_ctes("smoothed_strict").strip().rstrip(","), """
 mom AS (SELECT feature, avg(value) FILTER (WHERE side = 0) AS rm, avg(value) FILTER (WHERE side = 1) AS cm
         FROM lf WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature)""") + f"""
