@@ -7,7 +7,9 @@ those buckets are its candidates and are reranked by the exact cosine in
 double precision. Buckets are dealt to tasks as cells of at most about
 ``CELL`` vectors times ``CELL`` queries, so a bucket that holds a third of all
 vectors is many cells; a cell returns only the ``k`` best of each of its
-queries, and no table of candidate pairs is ever made.
+queries, and no table of candidate pairs is ever made. Queries whose buckets
+held fewer than ``k`` vectors, where the table has more, are sent to all axes of
+one table, so that they see every vector.
 
 Vectors that are null, zero, of another length than most, or hold a null or
 non-finite component take no part, as candidates or queries. Ties go to the
@@ -97,6 +99,37 @@ def _usable(vectors: DataFrame, id_: str, vec: str) -> DataFrame:
     return rows.filter(fine)
 
 
+def _reranked(placed: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of each query among the vectors of its buckets."""
+    # one row for each table and axis: how many cells the bucket's two sides fill
+    cells = placed.groupBy("t", "b").agg(*[
+        F.ceil(F.count(F.when(F.col("side") == s, 1)) / F.lit(CELL)).cast("int").alias(n)
+        for s, n in ((0, "cs"), (1, "qs"))]).filter("cs > 0 and qs > 0")
+    dealt = placed.join(F.broadcast(cells), ["t", "b"])  # at most tables * 2 * dim rows
+    own = F.pmod(F.xxhash64("vec_id"), F.when(F.col("side") == 0, F.col("cs")).otherwise(F.col("qs"))).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("qs")).otherwise(F.col("cs")) - 1))
+    dealt = dealt.withColumn("own", own).withColumn("other", other)
+    c_cell = F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("other"))
+    q_cell = F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("own"))
+    dealt = dealt.select("t", "b", c_cell.alias("c"),
+                         q_cell.alias("qc"), "side", "vec_id", "x")
+    found = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()),
+                        StructField("score", DoubleType())])
+
+    def rerank(group: pa.Table) -> dict:
+        side, ids = group["side"].to_numpy(), group["vec_id"].to_numpy()
+        x = np.frombuffer(b"".join(group["x"].to_pylist()), np.float64).reshape(len(ids), -1)
+        q, c = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        if not len(q) or not len(c):
+            return {"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)}
+        return best_of(ids[q], x[q], ids[c], x[c], k)
+    best = arrow_groups(dealt, ["t", "b", "c", "qc"], rerank, found)
+    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_: str = "vec_id", vec: str = "embedding",
             tables: int = TABLES, count: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` nearest found for each
@@ -126,30 +159,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_: str = "vec_id
                 yield {"t": np.full(b.size, t, np.int16), "b": b.ravel().astype(np.int32),
                        "side": np.ones(b.size, np.int8), "vec_id": ids[each], "x": raw.take(pa.array(each))}
     placed = written(arrow_map(rows.filter(F.size("v") == dim), place, schema))
-    # one row for each table and axis: how many cells the bucket's two sides fill
-    cells = placed.groupBy("t", "b").agg(*[
-        F.ceil(F.count(F.when(F.col("side") == s, 1)) / F.lit(CELL)).cast("int").alias(n)
-        for s, n in ((0, "cs"), (1, "qs"))]).filter("cs > 0 and qs > 0")
-    dealt = placed.join(F.broadcast(cells), ["t", "b"])  # at most tables * 2 * dim rows
-    own = F.pmod(F.xxhash64("vec_id"), F.when(F.col("side") == 0, F.col("cs")).otherwise(F.col("qs"))).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.when(F.col("side") == 0, F.col("qs")).otherwise(F.col("cs")) - 1))
-    dealt = dealt.withColumn("own", own).withColumn("other", other)
-    c_cell = F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("other"))
-    q_cell = F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("own"))
-    dealt = dealt.select("t", "b", c_cell.alias("c"),
-                         q_cell.alias("qc"), "side", "vec_id", "x")
-    found = StructType([StructField("query_id", LongType()), StructField("vec_id", LongType()),
-                        StructField("score", DoubleType())])
-
-    def rerank(group: pa.Table) -> dict:
-        side, ids = group["side"].to_numpy(), group["vec_id"].to_numpy()
-        x = np.frombuffer(b"".join(group["x"].to_pylist()), np.float64).reshape(len(ids), -1)
-        q, c = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
-        if not len(q) or not len(c):
-            return {"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)}
-        return best_of(ids[q], x[q], ids[c], x[c], k)
-    best = arrow_groups(dealt, ["t", "b", "c", "qc"], rerank, found)
-    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    best = written(_reranked(placed, k))
+    # queries that found fewer than there are see all vectors, through every axis of the first table
+    all_ = placed.filter("t = 0 and side = 0")
+    least = min(k, all_.select("vec_id").distinct().count() - 1)
+    short = (placed.filter("t = 0 and side = 1").select("vec_id", "x").distinct()
+             .join(best.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n")), "vec_id", "left")
+             .filter(F.coalesce("n", F.lit(0)) < least).select("vec_id", "x"))
+    short = written(short)
+    if short.isEmpty():
+        return best
+    axes = F.broadcast(all_.select("t", "b").distinct())  # at most 2 * dim rows
+    wide = short.crossJoin(axes).select("t", "b", F.lit(1).cast("byte").alias("side"), "vec_id", "x")
+    rest = best.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
+    return rest.select(*best.columns).unionByName(_reranked(all_.unionByName(wide), k))

@@ -43,6 +43,22 @@ def test_nearest_odd_rows(spark):
     assert nearest(df.filter("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_nearest_of_few_sees_all(spark):
+    """With fewer vectors than buckets a query still gets every other vector, up to k."""
+    for n in (1, 2, 4, 6, 8):
+        x = np.random.default_rng(n).normal(size=(n, 64))
+        rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        cos = unit @ unit.T
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in nearest(rows, F.col("vec_id") >= 0).collect()}
+        want = {(i, at + 1): j for i in range(n)
+                for at, j in enumerate([j for j in np.argsort(-cos[i]).tolist() if j != i][:5])}
+        assert got.keys() == want.keys()
+        if n <= 6:  # all of the others; of more than 5, those found may be others than the nearest
+            assert {q: v for q, (v, _) in got.items()} == want
+        assert all(abs(s - cos[q[0], v]) < 1e-12 for q, (v, s) in got.items())
+
+
 def test_archives_round_trip(spark):
     big = "é" * 700
     rows = [(1, "http://a/x y", big), (2, None, big), (3, "u", "small"), (4, "u", "small"), (5, "u\r\nEvil: 1", None),
