@@ -25,9 +25,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, and one row, of each group of near copies; rows
-    without doc_id are kept."""
-    kept = written(near_duplicates(docs).filter("kept and doc_id is not null")
+    """Keeps one document, and one row, of each group of near copies (0.8 or
+    more of their five-word shingles); rows without doc_id are kept."""
+    kept = written(near_duplicates(docs, width=5).filter("kept and doc_id is not null")
                    .groupBy("doc_id").agg(F.count("*").alias("_rows")))
     rows = lambda n: docs.join(kept.filter(n).select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
     return (rows("_rows = 1").unionByName(rows("_rows > 1").dropDuplicates(["doc_id"]))

@@ -1,6 +1,6 @@
 """Near duplicates by MinHash bands with sequential Bayesian verification.
 
-A document is the set of its distinct 4-word shingles. Documents with equal
+A document is the set of its distinct shingles of ``width`` words (4 unless given). Documents with equal
 sets form one class; classes that agree in a band of MinHash values are
 candidates. A candidate pair's signatures are compared batch by batch: with m
 of n values equal, a uniform prior on the similarity gives the posterior
@@ -78,7 +78,7 @@ def _multipliers() -> np.ndarray:
     return mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, set_id (128 bits; null for an empty set), the band
     keys and the compared signature values (16 bits each)."""
     schema = StructType([StructField("doc_id", LongType()), StructField("n_shingles", LongType()),
@@ -113,7 +113,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         ids, sets, held = [], [], 0
         for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch)):
             ids.append(doc)
-            sets.append(shingle_set(text, WIDTH))
+            sets.append(shingle_set(text, width))
             held += len(sets[-1])
             if held >= SHINGLES_AT_ONCE:
                 yield some(ids, sets)
@@ -139,7 +139,7 @@ def _pruned(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     return arrow_map(both, run, StructType([StructField("a", LongType()), StructField("b", LongType())]))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """Pairs whose full shingle sets reach the similarity."""
     texts = _texts(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")), docs)
     both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -151,8 +151,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         b = batch.column(batch.schema.get_field_index("b"))
         for key, x, y in zip(a.to_pylist(), text_bytes(batch, "text_a"), text_bytes(batch, "text_b")):
             if key != last:
-                one, last = shingle_set(x, WIDTH), key
-            near.append(similar(one, shingle_set(y, WIDTH), percent))
+                one, last = shingle_set(x, width), key
+            near.append(similar(one, shingle_set(y, width), percent))
         yield {"a": a, "b": b, "near": near}
     schema = StructType([StructField("a", LongType()), StructField("b", LongType()),
                          StructField("near", BooleanType())])
@@ -184,7 +184,8 @@ def _cell_pairs(rows, bounds: dict[int, int]):
             yield x, y
 
 
-def _links_across(members: DataFrame, sigs: DataFrame, labels: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _links_across(members: DataFrame, sigs: DataFrame, labels: DataFrame, docs: DataFrame, percent: int,
+                  width: int) -> DataFrame:
     """Verified links (a, b) between members of one bucket that lie in
     different components. Blocks of signatures are compared; a large bucket is
     split into cells of two blocks. Members with a surviving pair then meet in
@@ -210,7 +211,7 @@ def _links_across(members: DataFrame, sigs: DataFrame, labels: DataFrame, docs:
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
     def link(rows):
-        sets = [shingle_set(t or b"", WIDTH) for t in rows["text"].cast("binary").to_pylist()]
+        sets = [shingle_set(t or b"", width) for t in rows["text"].cast("binary").to_pylist()]
         rep, out_a, out_b = rows["rep"].to_numpy(), [], []
         for x, ys in _cell_pairs(rows, bounds):
             for y in ys:
@@ -239,9 +240,9 @@ def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
                    .groupBy("doc_id").agg(F.min("text").alias("text")))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per input row."""
-    marked = written(signatures(docs))
+    marked = written(signatures(docs, width))
     classes = written(marked.filter("set_id is not null and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     sigs = classes.select("rep", "sig")
@@ -249,9 +250,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     shared = banded.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).filter("n > 1")
     members = written(banded.join(shared.select("key", "centre"), "key"))
     spokes = members.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    tried = _verified(written(_pruned(spokes, sigs, percent)), docs, percent)
+    tried = _verified(written(_pruned(spokes, sigs, percent)), docs, percent, width)
     first = written(components(tried.filter("near").select("a", "b")))
-    late = _links_across(members.select("key", "band", "rep"), sigs, first, docs, percent)
+    late = _links_across(members.select("key", "band", "rep"), sigs, first, docs, percent, width)
     label = lambda side: F.coalesce(F.col(side), F.col(side[-1]))
     bridges = (late.join(first.select(F.col("node").alias("a"), F.col("component").alias("_a")), "a", "left")
                .join(first.select(F.col("node").alias("b"), F.col("component").alias("_b")), "b", "left")

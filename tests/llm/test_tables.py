@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskloom.llm import queries, warc
+from riskloom.llm.bayes_dedup import near_duplicates
 from riskloom.llm.common import scratch_dir, written
 from riskloom.llm.crosspoly import nearest
 
@@ -105,3 +106,15 @@ def test_pipeline_odd_rows(spark, odd, labels, tmp_path):
         out = written(stage(spark, odd, str(tmp_path)))
         odd = out if name != "tokens" else odd
     assert out.filter("doc_id = 8").count() <= 3
+
+
+def test_near_copies_share_five_words(spark):
+    """The stage holds texts against each other by five words, the query by four."""
+    words = [f"w{i}" for i in range(80)]
+    changed = lambda *at: " ".join(f"x{i}" if i in at else w for i, w in enumerate(words))
+    # similarity to the first: 0.81 by four words and 0.77 by five; 0.88 by five
+    docs = spark.createDataFrame([(1, changed()), (2, changed(26, 53)), (3, changed(40))], "doc_id long, text string")
+    first_two = docs.filter("doc_id < 3")
+    assert sorted(r.doc_id for r in corpus_pipeline.no_near_copies(spark, first_two, SF).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in corpus_pipeline.no_near_copies(spark, docs, SF).collect()) == [1, 2]
+    assert [r.doc_id for r in near_duplicates(first_two).filter("kept").collect()] == [1]
