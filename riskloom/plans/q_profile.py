@@ -254,6 +254,21 @@ def q_sample_moments(spark, sf_dir):
     return m.select("feature", "side", "n", rnd(F.col("mean")).alias("mean"), rnd(F.col("std")).alias("std"))
 
 
+_SM_ALL = [c for c in RAW_NUMERIC if c not in ("ID", LABEL)] + CREATED_NUMERIC
+
+
+@register("sample_moments_all", with_base(f"lf AS {sql_long(_SM_ALL, 'feat', ids=['CAST(is_test AS INTEGER) AS side'])}") + f"""
+SELECT feature, side, CAST(count(value) AS BIGINT) AS n, {B.r('avg(value)')} AS mean,
+       {B.r('stddev_samp(value)')} AS std
+FROM lf WHERE value IS NOT NULL GROUP BY feature, side""")
+def q_sample_moments_all(spark, sf_dir):
+    """The moments of every numeric feature; ``sample_moments`` holds six of them."""
+    from ..operators.reshape import long_format
+    f = B.features(spark, sf_dir).withColumn("side", F.col("is_test").cast("int"))
+    m = P.sample_moments(long_format(f, _SM_ALL, ids=["side"]))
+    return m.select("feature", "side", "n", rnd(F.col("mean")).alias("mean"), rnd(F.col("std")).alias("std"))
+
+
 @register("table_summary", with_base() + f"""
 SELECT CAST(count(*) AS BIGINT) AS n_records, {B.r('avg(is_default)')} AS label_rate, 26 AS n_columns FROM credit""")
 def q_table_summary(spark, sf_dir):

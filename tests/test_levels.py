@@ -36,3 +36,10 @@ def test_equal_levels_do_not_drift(spark):
     r = D.feature_drift_report(long_format(f, ["n"], ids=["side"]),
                                levels=long_levels(f, ["AGE_GROUP"], ids=["side"])).filter("feature = 'AGE_GROUP'").first()
     assert (r.psi, r.drift_detected, r.chi2_statistic) == (0.0, False, 0.0)
+
+
+def test_moments_of_every_numeric_feature(spark):
+    from riskloom.plans.catalog import load_all
+    from riskloom.plans.q_stats import FEAT_NUM
+    rows = load_all()["sample_moments_all"].fn(spark, "/root/testdata/sf0.001").collect()
+    assert {r.feature for r in rows} == set(FEAT_NUM) and len(FEAT_NUM) == 45
