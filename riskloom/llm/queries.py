@@ -15,7 +15,13 @@ from .decision_list import judged
 from .gam import learn, scored
 from .mixing import copies, sized
 from .ngram_lm import scored as lm_scored
+from .prefix_trie import SQL as TRIE_SQL
+from .prefix_trie import prefix_trie
 from .secrets import find_secrets
+from .source_audit import SQL as AUDIT_SQL
+from .source_audit import divergence
+from .toxicity import learn as learn_lexicon
+from .toxicity import scored as toxic_scored
 from .warc import archived
 
 
@@ -74,6 +80,24 @@ def op6_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_cross_polytope, op2_pareto_mix, op3_linked_secrets, op4_crf_language, op5_rank_array_bpe, op6_seekable_warc,
-                                   op7_ngram_trie, op8_decision_list, op9_additive_quality, op10_bayes_dedup)}
-SQL: dict[str, str] = {}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    seen = lambda df: df.filter(fold("doc_id", 4) != 2)
+    lexicon = learn_lexicon(seen(docs), seen(table(spark, sf_dir, "labels")))
+    return toxic_scored(docs, lexicon).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_cross_polytope, op2_pareto_mix, op3_linked_secrets, op4_crf_language, op5_rank_array_bpe, op6_seekable_warc,
+    op7_ngram_trie, op8_decision_list, op9_additive_quality, op10_bayes_dedup, op11_prefix_trie, op12_source_divergence,
+    op13_toxic_lexicon)}
+#: The others are learnt, sampled or hashed, or need a vocabulary.
+SQL: dict[str, str] = {"op11_prefix_trie": TRIE_SQL, "op12_source_divergence": AUDIT_SQL}
