@@ -16,9 +16,10 @@ and a group of copies costs about one comparison a member.
 
 Inputs: ``doc_id`` and ``text``; other columns are ignored. Null or empty
 texts have an empty set: linked with nothing. Each row is placed by its own
-text; where rows of one doc_id differ in it, the least text stands for the
-doc_id in verification. A null doc_id is never linked (component null, kept).
-An empty table gives an empty result.
+text: rows of one doc_id with different texts are nodes of their own, told
+apart by a row key, and a component is named by the smallest doc_id in it. A
+null doc_id is never linked (component null, kept). Texts of any length are
+taken whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
@@ -79,13 +80,14 @@ def _multipliers() -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, set_id (128 bits; null for an empty set), the band
-    keys and the compared signature values (16 bits each)."""
-    schema = StructType([StructField("doc_id", LongType()), StructField("n_shingles", LongType()),
+    """doc_id, the hash of the text, n_shingles, set_id (128 bits; null for an empty
+    set), the band keys and the compared signature values (16 bits each)."""
+    schema = StructType([StructField("doc_id", LongType()), StructField("text_a", LongType()),
+                         StructField("text_b", LongType()), StructField("n_shingles", LongType()),
                          StructField("set_id", BinaryType()), StructField("bands", ArrayType(LongType())),
                          StructField("sig", BinaryType())])
 
-    def some(ids: list, sets: list[np.ndarray]) -> dict:
+    def some(ids: list, marks: list, sets: list[np.ndarray]) -> dict:
         import xxhash
         full = [i for i, s in enumerate(sets) if len(s)]
         bands: list = [None] * len(sets)
@@ -105,22 +107,31 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             short = np.ascontiguousarray((least[:COMPARED] & np.uint32(0xFFFF)).astype(np.uint16).T)
             for at, i in enumerate(full):
                 bands[i], sig[i] = keys[at], short[at].tobytes()
-        return {"doc_id": ids, "n_shingles": [len(s) for s in sets],
+        return {"doc_id": ids, "text_a": [m[0] for m in marks], "text_b": [m[1] for m in marks],
+                "n_shingles": [len(s) for s in sets],
                 "set_id": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 "bands": bands, "sig": sig}
 
     def run(batch):
-        ids, sets, held = [], [], 0
-        for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch)):
+        ids, marks, sets, held = [], [], [], 0
+        for doc, text, *mark in zip(batch.column(0).to_pylist(), text_bytes(batch), batch.column(2).to_pylist(),
+                                    batch.column(3).to_pylist()):
             ids.append(doc)
+            marks.append(mark)
             sets.append(shingle_set(text, width))
             held += len(sets[-1])
             if held >= SHINGLES_AT_ONCE:
-                yield some(ids, sets)
-                ids, sets, held = [], [], 0
+                yield some(ids, marks, sets)
+                ids, marks, sets, held = [], [], [], 0
         if ids:
-            yield some(ids, sets)
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
+            yield some(ids, marks, sets)
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text", *text_marks()), run, schema)
+
+
+def text_marks() -> list[Column]:
+    """The text's hash, as two columns text_a and text_b (null text: that of '')."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [F.xxhash64(text, F.lit(n)).alias(f"text_{c}") for n, c in enumerate("ab")]
 
 
 def _pruned(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
@@ -240,8 +251,51 @@ def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
                    .groupBy("doc_id").agg(F.min("text").alias("text")))
 
 
+def _shared_ids(docs: DataFrame) -> DataFrame:
+    """The doc_ids whose rows have different texts."""
+    marked = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), F.struct(*text_marks()).alias("t"))
+    return written(marked.groupBy("doc_id").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+                   .filter("lo <> hi").select("doc_id"))
+
+
+def _own_keys(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """(doc_id, text, owner): rows of ``shared`` ids under keys that no doc_id has."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("owner"), "text")
+    ends = docs.agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).first()
+    top = 1 << 62
+    if ends["hi"] >= top and ends["lo"] <= -top:
+        raise ValueError("doc_ids take the whole range of 64 bits, so rows of one id can't be told apart")
+    step = F.monotonically_increasing_id()
+    key = F.lit(ends["hi"] + 1) + step if ends["hi"] < top else F.lit(ends["lo"] - 1) - step
+    ids = shared.withColumnRenamed("doc_id", "owner")
+    apart = written(docs.join(ids, "owner", "left_semi").select(key.alias("doc_id"), "text", "owner"))
+    rest = docs.join(ids, "owner", "left_anti").select(F.col("owner").alias("doc_id"), "text", "owner")
+    return rest.unionByName(apart)
+
+
+def grouped(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> DataFrame:
+    """doc_id, text_a, text_b, n_shingles, component_id, kept, and the key of the
+    group (two groups may share their smallest doc_id, where its rows differ)."""
+    shared = _shared_ids(docs)
+    if shared.isEmpty():
+        return _grouped(docs, percent, width).withColumn("group", F.coalesce("component_id", "doc_id"))
+    own = written(_own_keys(docs, shared))
+    owners = own.select("doc_id", "owner").distinct()
+    found = written(_grouped(own, percent, width).join(owners, "doc_id", "left")
+                    .withColumnRenamed("component_id", "group"))
+    least = found.groupBy("group").agg(F.min("owner").alias("component_id"))
+    return (found.join(least, "group", "left")
+            .select(F.col("owner").alias("doc_id"), "text_a", "text_b", "n_shingles", "component_id",
+                    F.col("owner").eqNullSafe(F.col("component_id")).alias("kept"), "group"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per input row."""
+    return grouped(docs, percent, width).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """As ``grouped``, for rows whose doc_id decides the text."""
     marked = written(signatures(docs, width))
     classes = written(marked.filter("set_id is not null and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
@@ -263,7 +317,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
              .withColumn("mid", F.coalesce("component", "rep")).drop("component")
              .join(second.withColumnRenamed("node", "mid"), "mid", "left")
              .select("set_id", F.coalesce("component", "mid").alias("component_id")))
-    return (marked.select("doc_id", "n_shingles", "set_id").join(owner, "set_id", "left")
-            .select("doc_id", "n_shingles",
+    return (marked.drop("bands", "sig").join(owner, "set_id", "left")
+            .select("doc_id", "text_a", "text_b", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))

@@ -147,6 +147,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_: str = "vec_id
         if not len(ids):
             return
         x = batch.column(1).flatten().to_numpy().reshape(len(ids), dim)
+        # a power of two changes no cosine, and keeps squares of tiny and huge vectors in range
+        x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
         raw = pa.array([r.tobytes() for r in x], pa.binary())
         asked = np.flatnonzero(query)

@@ -5,6 +5,8 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
+import pytest
+
 import corpus_pipeline
 from riskloom.llm import queries, warc
 from riskloom.llm.bayes_dedup import near_duplicates
@@ -118,3 +120,51 @@ def test_near_copies_share_five_words(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.no_near_copies(spark, first_two, SF).collect()) == [1, 2]
     assert sorted(r.doc_id for r in corpus_pipeline.no_near_copies(spark, docs, SF).collect()) == [1, 2]
     assert [r.doc_id for r in near_duplicates(first_two).filter("kept").collect()] == [1]
+
+
+def _texts():
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    return a, b, b + " tail"
+
+
+def test_rows_of_one_id_with_different_texts_are_judged_each(spark):
+    a, b, near_b = _texts()
+    rows = [(5, a), (5, b), (9, near_b), (9, near_b), (None, a), (7, None), (7, ""), (7, "short text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df).collect())
+    assert got == [(-1, 57, None, True), (5, 57, 5, True), (5, 57, 5, True), (7, 0, 7, True), (7, 0, 7, True),
+                   (7, 1, 7, True), (9, 58, 5, False), (9, 58, 5, False)]
+    big = spark.createDataFrame([(2 ** 63 - 1, a), (2 ** 63 - 1, b), (3, near_b)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in near_duplicates(big).collect()) == [
+        (3, 3), (2 ** 63 - 1, 3), (2 ** 63 - 1, 2 ** 63 - 1)]
+
+
+def test_near_copy_stage_keeps_every_text_once(spark):
+    a, b, near_b = _texts()
+    stage = lambda rows: sorted(map(tuple, corpus_pipeline.no_near_copies(
+        spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()))
+    assert stage([(5, a), (5, b)]) == [(5, a), (5, b)]
+    assert stage([(1, a), (5, b), (5, a), (7, b)]) == [(1, a), (5, b)]
+    assert len(stage([(5, b), (5, near_b), (5, b), (6, near_b)])) == 1
+    assert stage([(5, a), (5, a), (6, a)]) == [(5, a)]
+
+
+def test_stages_take_empty_tables(spark, none, labels, tmp_path):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0, name
+
+
+def test_quality_stage_odd_rows(spark, odd, labels, tmp_path):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.good_quality(spark, odd, str(tmp_path))
+    assert out.columns == odd.columns and out.count() <= odd.count()
+
+
+def test_nearest_at_the_ends_of_the_range(spark):
+    """Squares that leave the range of doubles cost no vector its place."""
+    rows = [(0, [1e-200, 0.0]), (1, [1e200, 1e200]), (2, [3e-250, 1e-251]), (3, [1e300, -1e300]), (4, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r["rank"], r.score) for r in nearest(df, F.col("vec_id") == 0).collect()}
+    assert [v for v, _ in sorted(got.items(), key=lambda x: x[1][0])] == [4, 2, 1, 3]
+    assert got[4][1] == 1.0 and got[1][1] == pytest.approx(2 ** -0.5) and got[3][1] == pytest.approx(2 ** -0.5)
