@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import bpe, gam, mixing, secrets
-from riskloom.llm.bayes_dedup import near_duplicates
+from riskloom.llm.bayes_dedup import grouped, text_marks
 from riskloom.llm.common import fold, table, written
 
 
@@ -25,13 +25,21 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, and one row, of each group of near copies (0.8 or
-    more of their five-word shingles); rows without doc_id are kept."""
-    kept = written(near_duplicates(docs, width=5).filter("kept and doc_id is not null")
-                   .groupBy("doc_id").agg(F.count("*").alias("_rows")))
-    rows = lambda n: docs.join(kept.filter(n).select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
-    return (rows("_rows = 1").unionByName(rows("_rows > 1").dropDuplicates(["doc_id"]))
-            .unionByName(docs.filter("doc_id is null")).select(*docs.columns))
+    """Keeps one row of each group of near copies (0.8 or more of their
+    five-word shingles): of the rows with its smallest doc_id, the one whose
+    text hashes least. Rows without doc_id are kept. A row is found again by its
+    doc_id and the hash of its text, so rows of one id with different texts are
+    judged each for itself."""
+    found = grouped(docs, width=5).filter("kept and doc_id is not null")
+    best = found.groupBy("group").agg(F.min(F.struct("text_a", "text_b", "doc_id")).alias("best"))
+    kept = written(best.select("best.*").join(
+        found.groupBy("doc_id", "text_a", "text_b").agg(F.count("*").alias("_rows")), ["doc_id", "text_a", "text_b"]))
+    keys = ["doc_id", "_text_a", "_text_b"]
+    kept = kept.select("doc_id", F.col("text_a").alias("_text_a"), F.col("text_b").alias("_text_b"), "_rows")
+    marked = docs.select(*docs.columns, *[c.alias(f"_text_{n}") for c, n in zip(text_marks(), "ab")])
+    rows = lambda n: marked.join(kept.filter(n).drop("_rows").hint("shuffle_hash"), keys, "left_semi")
+    return (rows("_rows = 1").unionByName(rows("_rows > 1").dropDuplicates(keys)).select(*docs.columns)
+            .unionByName(docs.filter("doc_id is null")))
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

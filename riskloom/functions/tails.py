@@ -13,75 +13,44 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EPS = 1e-15
-_TINY = 1e-300
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta (modified Lentz)."""
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, 500):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < _EPS:
-            break
-    return h
+def _beta_terms(a: float, b: float, x: float) -> float:
+    """x^a (1-x)^b / (a B(a, b)) over 1 + d1/(1 + d2/(1 + ...)), evaluated from
+    its last term back; the number of terms grows with the root of a and b."""
+    value = 1.0
+    for j in range(100 + int(4 * math.sqrt(max(a, b))), 0, -1):
+        m = j // 2
+        if j % 2:
+            d = -(a + m) * (a + b + m) / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) / ((a + 2 * m - 1) * (a + 2 * m))
+        value = 1.0 + d * x / value
+    front = math.lgamma(a + b) - math.lgamma(a + 1) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return math.exp(front) / value
 
 
 def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+    """Regularised incomplete beta I_x(a, b), from the side that converges."""
+    if x <= 0.0 or x >= 1.0:
+        return float(x >= 1.0)
+    if x * (a + b + 2) < a + 1:
+        return _beta_terms(a, b, x)
+    return 1.0 - _beta_terms(b, a, 1.0 - x)
 
 
 def gammaincc(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x)."""
+    """Regularised upper incomplete gamma Q(a, x): one minus the power series
+    below the mean, the continued fraction (from its last term back) above."""
     if x <= 0.0:
         return 1.0
-    if x < a + 1.0:
-        s, term, n = 1.0 / a, 1.0 / a, a
-        for _ in range(1000):
-            n += 1.0
-            term *= x / n
-            s += term
-            if abs(term) < abs(s) * _EPS:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - math.lgamma(a)))
-    b, c, d = x + 1.0 - a, 1.0 / _TINY, 1.0 / (x + 1.0 - a)
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = b + an / c
-        c = c if abs(c) > _TINY else _TINY
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
+    front = a * math.log(x) - x - math.lgamma(a)
+    steps = 100 + int(6 * math.sqrt(a + x))
+    if x < a + 1:
+        powers = np.cumprod(x / (a + np.arange(1, steps + 1)))
+        return max(0.0, 1.0 - math.exp(front) * (1.0 + powers.sum()) / a)
+    value = x + 2 * steps + 1 - a
+    for i in range(steps, 0, -1):
+        value = x + 2 * i - 1 - a - i * (i - a) / value
+    return math.exp(front) / value
 
 
 def norm_two_sided(z: float) -> float:

@@ -21,23 +21,23 @@ as B, in place of bins.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import (DRIFT_ADVICE_HIGH, DRIFT_ADVICE_MEDIUM, DRIFT_THRESHOLD, KL_EPS, PSI_FLOOR,
                       PSI_HIGH, PSI_MEDIUM, PSI_SMOOTH)
-from .ranks import bounded_broadcast, count_le, quantile_arrays
+from ..functions.tails import nan_to_null, p_chi2, p_ks
+from ..session import materialize
+from .ranks import bounded_broadcast, count_le, cumulative_counts, quantile_arrays
 from .reshape import long_format
 
 MAX_FEATURES = 100_000
 
 
 def small_table(df: DataFrame) -> DataFrame:
-    """Keep a per-feature summary (bounded by #features rows) in memory so
-    the several joins that read it do not each re-run the query behind it.
-    A lost block is recomputed from lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write a per-feature summary (bounded by #features rows) once, so the
+    several joins that read it do not each re-run the query behind it."""
+    return materialize(df, spread=False)
 
 
 def two_sample_long(ref: DataFrame, cur: DataFrame, cols: list[str], side: str = "side") -> DataFrame:
@@ -74,7 +74,7 @@ def psi_edges(lf: DataFrame, side: str = "side", buckets: int = 10, fallback: bo
     return edges.select("feature", F.when(F.size("edges") < 2, lin).otherwise(F.col("edges")).alias("edges"))
 
 
-def assign_bins(lf: DataFrame, edges: DataFrame, max_edges: int = 21) -> DataFrame:
+def assign_bins(lf: DataFrame, edges: DataFrame, max_edges: int = 24) -> DataFrame:
     """Adds ``bin`` (−1 when outside the edges) and ``n_bins``."""
     e = bounded_broadcast(edges, MAX_FEATURES)
     j = lf.join(e, "feature")
@@ -129,22 +129,149 @@ def psi_from_bins(bins: DataFrame, method: str = "smoothed") -> DataFrame:
                       .otherwise(F.greatest(F.col("psi"), F.lit(0.0))).alias("psi"))
 
 
+#: Per PSI variant: whether ±inf is dropped with NaN, and whether a constant reference gets equal-width edges.
+PSI_RULES = {"floor": (False, True), "smoothed": (True, True), "smoothed_strict": (False, False)}
+
+
+def sample_counts(lf: DataFrame, side: str = "side", levels: DataFrame | None = None) -> DataFrame:
+    """(feature, is_string, value, level, n_0, n_1), written once: the rows of
+    each sample per distinct value of every feature, numbers in ``value`` and the
+    strings of ``levels`` (feature, side, value string) in ``level``. NULL is a
+    value here, so every feature has a row. Everything that the drift reports say
+    follows from this table, so the samples are unpivoted and read once."""
+    rows = lf.select("feature", F.lit(False).alias("is_string"), F.col(side).alias("_side"),
+                     F.col("value").cast("double").alias("value"), F.lit(None).cast("string").alias("level"))
+    if levels is not None:
+        rows = rows.unionByName(levels.select("feature", F.lit(True).alias("is_string"), F.col(side).alias("_side"),
+                                              F.lit(None).cast("double").alias("value"), F.col("value").alias("level")))
+    return materialize(rows.groupBy("feature", "is_string", "value", "level")
+                       .agg(F.count_if(F.col("_side") == 0).alias("n_0"), F.count_if(F.col("_side") == 1).alias("n_1")),
+                       spread=False)
+
+
+def _sum(cols: list[Column]) -> Column:
+    return sum(cols[1:], cols[0])
+
+
+def drift_profile(counts: DataFrame, method: str = "smoothed", buckets: int = 10, max_levels: int = 20) -> DataFrame:
+    """One row per feature of ``sample_counts``: psi, ks (largest distance of the
+    distribution functions), chi2_statistic and dof of features with fewer than
+    ``max_levels`` distinct reference values and of strings, moments of numbers.
+
+    A running sum over the values gives the reference's exact percentiles and
+    the distances; the edges then come back to the count table as one small row
+    per feature, and a second aggregate yields bins, squares and chi-square."""
+    finite, fallback = PSI_RULES[method]
+    num = counts.filter(~F.col("is_string") & F.col("value").isNotNull() & ~F.isnan("value"))
+    usable = (F.abs("value") < F.lit(float("inf"))) if finite else F.lit(True)
+    num = num.select("feature", "value", "n_0", "n_1", *[F.when(usable, F.col(f"n_{i}")).otherwise(F.lit(0)).alias(f"f_{i}")
+                                                         for i in (0, 1)])
+    cum = cumulative_counts(num, ["feature"], ["f_0", "f_1"], n_keys_bound=MAX_FEATURES)
+    probs = [i / buckets for i in range(buckets + 1)]
+    pos = [(F.col("tot_f_0") - 1).cast("double") * F.lit(p) for p in probs]
+
+    def at(ix: Column) -> Column:
+        return F.max(F.when((ix >= F.col("cum_f_0") - F.col("f_0")) & (ix < F.col("cum_f_0")), F.col("value")))
+    first = cum.groupBy("feature").agg(
+        F.max("tot_f_0").alias("tot_f_0"), F.max("tot_f_1").alias("tot_f_1"),
+        *[at(F.floor(x)).alias(f"_lo{i}") for i, x in enumerate(pos)],
+        *[at(F.ceil(x)).alias(f"_hi{i}") for i, x in enumerate(pos)],
+        F.max(F.abs(F.try_divide("cum_f_0", "tot_f_0") - F.try_divide("cum_f_1", "tot_f_1"))).alias("ks"),
+        *[F.sum(f"n_{i}").alias(f"t_{i}") for i in (0, 1)],
+        *[F.sum(F.when(F.col(f"n_{i}") > 0, F.col(f"n_{i}") * F.col("value"))).alias(f"_s{i}") for i in (0, 1)],
+        F.count_if(F.col("n_0") > 0).alias("_levels"), F.count(F.lit(1)).alias("_k"))
+    quantile = [F.when(F.floor(x) == F.ceil(x), F.col(f"_lo{i}")).otherwise(
+        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (x - F.floor(x))) for i, x in enumerate(pos)]
+    facts = first.select("feature", "ks", "t_0", "t_1", "tot_f_0", "tot_f_1", "_levels", "_k",
+                         F.array(*quantile).alias("_q"),
+                         *[F.try_divide(F.col(f"_s{i}"), F.col(f"t_{i}")).alias(f"_m{i}") for i in (0, 1)])
+    edges = F.array_distinct("_q")
+    if fallback:
+        lo, hi = F.get("_q", F.lit(0)), F.get("_q", F.lit(buckets))
+        step = (hi - lo) / F.lit(float(buckets))
+        even = F.array(*[hi if i == buckets else F.lit(i) * step + lo for i in range(buckets + 1)])
+        edges = F.when(F.size(edges) < 2, even).otherwise(edges)
+    facts = small_table(facts.withColumn("edges", F.when(F.col("tot_f_0") > 0, edges)).drop("_q"))
+
+    j = num.join(bounded_broadcast(facts, MAX_FEATURES), "feature")
+    nb = F.size("edges") - 1
+    k = count_le("edges", F.col("value"), buckets + 1)
+    inside = (k >= 1) & (F.col("value") <= F.get("edges", nb)) & (nb >= 1)
+    j = j.withColumn("_bin", F.when(inside, F.least(k, nb) - 1).otherwise(F.lit(-1)))
+    exp = F.try_divide(F.col("n_0") * F.col("t_1"), F.col("t_0"))
+    chi = F.try_divide((F.col("n_1") - exp) * (F.col("n_1") - exp), exp)
+    second = j.groupBy("feature").agg(
+        *[F.sum(F.when(F.col("_bin") == b, F.col(f"f_{i}")).otherwise(F.lit(0))).alias(f"_c{i}_{b}")
+          for i in (0, 1) for b in range(buckets)],
+        *[F.sum(F.when(F.col(f"n_{i}") > 0, F.col(f"n_{i}") * (F.col("value") - F.col(f"_m{i}"))
+                       * (F.col("value") - F.col(f"_m{i}")))).alias(f"_v{i}") for i in (0, 1)],
+        F.sum(chi).alias("_chi"), F.count_if((exp == 0) & (F.col("n_1") > 0)).alias("_new"))
+    rows = second.join(bounded_broadcast(facts, MAX_FEATURES), "feature")
+    rows = _psi_terms(rows, method, buckets)
+    none = F.lit(None).cast("double")
+    categorical = F.col("_levels") < max_levels
+    both = (F.col("t_0") > 0) & (F.col("t_1") > 0)
+    numbers = rows.select(
+        "feature", F.lit(False).alias("is_string"), "psi", "ks", "tot_f_0", "tot_f_1",
+        F.when(categorical & both, F.when(F.col("_new") > 0, F.lit(float("inf"))).otherwise(F.col("_chi")))
+        .alias("chi2_statistic"), F.when(categorical & both, F.col("_k") - 1).alias("dof"),
+        *[F.col(f"_m{i}").alias(f"{n}_mean") for i, n in enumerate(("reference", "current"))],
+        *[F.when(F.col(f"t_{i}") > 1, F.sqrt(F.col(f"_v{i}") / (F.col(f"t_{i}") - 1))).alias(f"{n}_std")
+          for i, n in enumerate(("reference", "current"))])
+    strings = _level_profile(counts.filter("is_string and level is not null")).select(
+        "feature", F.lit(True).alias("is_string"), "psi", none.alias("ks"), F.col("t_0").alias("tot_f_0"),
+        F.col("t_1").alias("tot_f_1"), "chi2_statistic", "dof",
+        *[none.alias(f"{n}_{m}") for m in ("mean", "std") for n in ("reference", "current")])
+    absent = none if method == "floor" else F.lit(float("inf"))
+    names = counts.groupBy("feature", "is_string").agg(F.lit(0).alias("_x")).drop("_x")
+    return (names.join(bounded_broadcast(numbers.unionByName(strings), MAX_FEATURES), ["feature", "is_string"], "left")
+            .withColumn("psi", F.coalesce("psi", absent)))
+
+
+def _psi_terms(rows: DataFrame, method: str, buckets: int) -> DataFrame:
+    """Adds ``psi`` from the counts _c0_b, _c1_b of the first size(edges) - 1
+    bins. Shares, then terms: each level is referenced by name."""
+    nb = F.size("edges") - 1
+    within = [F.lit(b) < nb for b in range(buckets)]
+    if method == "floor":
+        share = [[F.when(m, F.coalesce(F.nullif(F.try_divide(F.col(f"_c{i}_{b}"), F.col(f"tot_f_{i}")), F.lit(0.0)),
+                                       F.lit(PSI_FLOOR))).alias(f"_p{i}_{b}") for b, m in enumerate(within)] for i in (0, 1)]
+    else:
+        rows = rows.select("*", *[_sum([F.when(m, F.col(f"_c{i}_{b}") + F.lit(PSI_SMOOTH)).otherwise(F.lit(0.0))
+                                        for b, m in enumerate(within)]).alias(f"_w{i}") for i in (0, 1)])
+        share = [[F.when(m, (F.col(f"_c{i}_{b}") + F.lit(PSI_SMOOTH)) / F.col(f"_w{i}")).alias(f"_p{i}_{b}")
+                  for b, m in enumerate(within)] for i in (0, 1)]
+    rows = rows.select("*", *share[0], *share[1])
+    total = _sum([F.coalesce((F.col(f"_p1_{b}") - F.col(f"_p0_{b}")) * F.log(F.col(f"_p1_{b}") / F.col(f"_p0_{b}")),
+                             F.lit(0.0)) for b in range(buckets)])
+    both = (F.col("tot_f_0") > 0) & (F.col("tot_f_1") > 0)
+    if method == "floor":
+        return rows.withColumn("psi", F.when(both & (nb >= 1), total))
+    return rows.withColumn("psi", F.when(both, F.greatest(total, F.lit(0.0))).otherwise(F.lit(float("inf"))))
+
+
+def _level_profile(counts: DataFrame) -> DataFrame:
+    """(feature, psi, t_0, t_1, chi2_statistic, dof) over the levels of string features."""
+    tot = counts.groupBy("feature").agg(F.sum("n_0").alias("t_0"), F.sum("n_1").alias("t_1"),
+                                        F.count(F.lit(1)).alias("k"))
+    j = counts.join(bounded_broadcast(tot, MAX_FEATURES), "feature")
+    e, a = ((F.col(f"n_{i}") + F.lit(PSI_SMOOTH)) / (F.col(f"t_{i}") + F.col("k") * F.lit(PSI_SMOOTH)) for i in (0, 1))
+    exp = F.try_divide(F.col("n_0") * F.col("t_1"), F.col("t_0"))
+    got = j.groupBy("feature", "t_0", "t_1", "k").agg(
+        F.sum((a - e) * F.log(a / e)).alias("_psi"), F.sum(F.try_divide((F.col("n_1") - exp) * (F.col("n_1") - exp), exp))
+        .alias("_chi"), F.count_if((exp == 0) & (F.col("n_1") > 0)).alias("_new"))
+    both = (F.col("t_0") > 0) & (F.col("t_1") > 0)
+    return got.select("feature", "t_0", "t_1", F.when(both, F.greatest(F.col("_psi"), F.lit(0.0))).alias("psi"),
+                      F.when(both, F.when(F.col("_new") > 0, F.lit(float("inf"))).otherwise(F.col("_chi")))
+                      .alias("chi2_statistic"), F.when(both, F.col("k") - 1).alias("dof"))
+
+
 def psi(lf: DataFrame, method: str = "smoothed", side: str = "side", buckets: int = 10) -> DataFrame:
     """(feature, psi) for every feature of a long two-sample table. Without
     usable values on a side: +inf (smoothed methods) or NULL (floor)."""
-    if method == "floor":
-        base, fallback = clean_values(lf, finite=False), True
-    elif method == "smoothed":
-        base, fallback = clean_values(lf, finite=True), True
-    elif method == "smoothed_strict":
-        base, fallback = clean_values(lf, finite=False), False
-    else:
+    if method not in PSI_RULES:
         raise ValueError(method)
-    edges = small_table(psi_edges(base, side, buckets, fallback))
-    found = psi_from_bins(bin_table(base, edges, side), method)
-    absent = F.lit(None).cast("double") if method == "floor" else F.lit(float("inf"))
-    return lf.select("feature").distinct().join(found, "feature", "left") \
-        .select("feature", F.coalesce("psi", absent).alias("psi"))
+    return drift_profile(sample_counts(lf, side), method, buckets).select("feature", "psi")
 
 
 def psi_categorical(levels: DataFrame, side: str = "side") -> DataFrame:
@@ -228,32 +355,37 @@ def categorical_features(lf: DataFrame, side: str = "side", max_levels: int = 20
 def feature_drift_report(lf: DataFrame, categorical: DataFrame | None = None, side: str = "side",
                          threshold: float = DRIFT_THRESHOLD, auto_categorical: bool = True,
                          levels: DataFrame | None = None) -> DataFrame:
-    """Per feature: PSI (smoothed), drift flag, χ² for categorical features
-    (``categorical``: (feature) rows; by default the features with < 20
-    distinct reference values), and the moments of both samples. ``levels``:
-    the string features (feature, side, value string), which get PSI over
-    their levels, χ², and NULL moments."""
-    from .twosample import chi_square_gof
-    base = clean_values(lf, finite=False)
-    if categorical is None and auto_categorical:
-        categorical = categorical_features(base, side)
-    p = psi(lf, "smoothed", side)
-    mom = (base.groupBy("feature")
-           .agg(F.avg(F.when(F.col(side) == 0, F.col("value"))).alias("reference_mean"),
-                F.avg(F.when(F.col(side) == 1, F.col("value"))).alias("current_mean"),
-                F.stddev_samp(F.when(F.col(side) == 0, F.col("value"))).alias("reference_std"),
-                F.stddev_samp(F.when(F.col(side) == 1, F.col("value"))).alias("current_std")))
-    out = p.join(mom, "feature", "left").withColumn("drift_detected", F.col("psi") > F.lit(threshold))
-    if categorical is not None:
-        cat_in = base.join(bounded_broadcast(categorical.select("feature"), MAX_FEATURES), "feature", "left_semi")
-        chi = chi_square_gof(cat_in, side, p_values=True)
-        out = out.join(chi.select("feature", "chi2_statistic", F.col("p_value")), "feature", "left")
-    if levels is not None:
-        chi = chi_square_gof(levels, side, p_values=True).select("feature", "chi2_statistic", "p_value")
-        strings = psi_categorical(levels, side).withColumn("drift_detected", F.col("psi") > F.lit(threshold)) \
-            .join(chi, "feature", "left")
-        out = out.unionByName(strings, allowMissingColumns=True)
-    return out
+    """Per feature: PSI (smoothed), drift flag, χ² with its p-value for
+    categorical features (``categorical``: (feature) rows; by default the
+    features with < 20 distinct reference values), and the moments of both
+    samples. ``levels``: the string features (feature, side, value string),
+    which get PSI over their levels, χ², and NULL moments."""
+    counts = sample_counts(lf, side, levels)
+    every = categorical is not None
+    out = drift_profile(counts, "smoothed", max_levels=1 << 62 if every else 20 if auto_categorical else 0)
+    if every:
+        marked = categorical.select("feature").distinct().withColumn("_cat", F.lit(True))
+        keep = F.col("is_string") | F.coalesce(F.col("_cat"), F.lit(False))
+        out = out.join(bounded_broadcast(marked, MAX_FEATURES), "feature", "left")
+        out = out.withColumn("chi2_statistic", F.when(keep, F.col("chi2_statistic"))).withColumn(
+            "dof", F.when(keep, F.col("dof")))
+    return out.select(
+        "feature", "psi", "reference_mean", "current_mean", "reference_std", "current_std",
+        (F.col("psi") > F.lit(threshold)).alias("drift_detected"), "chi2_statistic",
+        nan_to_null(p_chi2(F.col("chi2_statistic"), F.col("dof").cast("double"))).alias("p_value"))
+
+
+def key_feature_drift(lf: DataFrame, target: DataFrame, side: str = "side") -> DataFrame:
+    """(feature, psi, ks, ks_p_value, target_drift, drift_status, high and medium
+    counts): PSI (floor) and Kolmogorov–Smirnov of each key feature, beside the
+    label's drift (``target``, one row) and the status of the whole. A feature
+    without values on a side has NULL measures."""
+    prof = small_table(drift_profile(sample_counts(lf, side), "floor"))
+    both = (F.col("tot_f_0") > 0) & (F.col("tot_f_1") > 0)
+    ks = F.when(both, F.col("ks"))
+    rows = prof.select("feature", "psi", ks.alias("ks"),
+                       nan_to_null(p_ks(ks, F.col("tot_f_0").cast("double"), F.col("tot_f_1").cast("double"))).alias("ks_p_value"))
+    return rows.crossJoin(F.broadcast(target)).crossJoin(F.broadcast(drift_status(prof)))   # one row each
 
 
 def drift_summary(report: DataFrame, threshold_col: str = "drift_detected") -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import LABEL, MODEL_CATEGORICAL, MODEL_NUMERIC
+from ..session import materialize
 from .ranks import exact_quantiles
 from .reshape import long_format
 from .twosample import anova_f
@@ -114,13 +115,15 @@ def fit_prep(train: DataFrame, numeric=MODEL_NUMERIC, categorical=MODEL_CATEGORI
                       *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric]).collect()[0]
         st.means = {c: row[f"m_{c}"] for c in numeric}
         st.stds = {c: row[f"s_{c}"] for c in numeric}
-    lv = (long_format(imp, categorical).select("feature", "value").distinct()
-          .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("levels"),
-                                  F.count(F.lit(1)).alias("n"))) if categorical else None
-    for r in (lv.collect() if lv is not None else []):
-        if r["n"] > MAX_LEVELS:
-            raise ValueError(f"{r['feature']} has {r['n']} levels (> {MAX_LEVELS}); not categorical")
-        st.levels[r["feature"]] = list(r["levels"])
+    if categorical:
+        found = materialize(long_format(imp, categorical).select("feature", "value").distinct(), spread=False)
+        sizes = {r["feature"]: r["n"] for r in found.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for c, n in sizes.items():     # counted before any level leaves the cluster
+            if n > MAX_LEVELS:
+                raise ValueError(f"{c} has {n} levels, too many for a statement: encode it with levels.fit_levels")
+        for r in found.collect():      # ≤ MAX_LEVELS rows a column
+            st.levels.setdefault(r["feature"], []).append(r["value"])
+        st.levels = {c: sorted(v) for c, v in st.levels.items()}
     prepared = prepare(train, st, keep=(label,))
     cols = st.prepared_columns
     fs = anova_f(long_format(prepared, cols, ids=[label]), label, p_values=False)

@@ -126,33 +126,67 @@ def corr_bands(corr: DataFrame, top_n: int = 10, high: float = 0.1, medium: floa
             .withColumn("band", F.when(a > high, "high").when(a > medium, "medium").otherwise("low")))
 
 
+GRAM = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def pair_sums(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature_a, feature_b, n, sx, sy, sxx, syy, sxy) for every pair of columns
+    over the rows where both have a value, about the columns' means.
+
+    A task folds its batches into six square matrices (products of the value
+    matrix and its mask) and hands on one row per pair, so no row is ever
+    exploded and the shuffle holds #pairs rows per task. NaN counts as missing."""
+    import numpy as np
+    import pyarrow as pa
+    wide = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
+    mean = wide.agg(*[F.avg(c).alias(c) for c in cols]).collect()[0]    # one row
+    about = np.array([[mean[c] if mean[c] is not None and abs(mean[c]) < float("inf") else 0.0 for c in cols]])
+
+    def fold(batches):
+        total = None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns]) - about
+            seen = ~np.isnan(x)
+            x = np.where(seen, x, 0.0)
+            m = seen.astype(np.float64)
+            first, square = x.T @ m, (x * x).T @ m
+            part = np.stack([m.T @ m, first, first.T, square, square.T, x.T @ x])
+            total = part if total is None else total + part
+        if total is not None:
+            at = np.tril_indices(len(cols), -1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([cols[i] for i in at[0]]), pa.array([cols[j] for j in at[1]]),
+                 *[pa.array(total[k][at]) for k in range(len(GRAM))]], ["feature_a", "feature_b", *GRAM])
+    rows = wide.mapInArrow(fold, "feature_a string, feature_b string, " + ", ".join(f"{g} double" for g in GRAM))
+    return rows.groupBy("feature_a", "feature_b").agg(*[F.sum(g).alias(g) for g in GRAM])
+
+
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Lower triangle (i > j) of the Pearson matrix over pairwise-complete
-    rows: every row emits its (pair, x, y) tuples, partial aggregation keeps
-    one buffer per pair and task, so the shuffle holds #pairs rows per task
-    and the generated code stays small whatever the number of columns."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
-    arr = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                             F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                    for a, b in pairs])
-    pts = (df.select(F.explode(arr).alias("p")).select("p.*")
-           .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    agg = pts.groupBy("feature_a", "feature_b").agg(
-        F.covar_samp("x", "y").alias("_c"), F.stddev_samp("x").alias("_sa"), F.stddev_samp("y").alias("_sb"))
-    return agg.select("feature_a", "feature_b",
-                      F.try_divide(F.col("_c"), F.col("_sa") * F.col("_sb")).alias("corr"))
+    """Lower triangle (i > j) of the Pearson matrix over pairwise-complete rows.
+    NULL where a column is constant there (its squares about its mean are below
+    the rounding of its squares), or with fewer than two rows."""
+    s = pair_sums(df, cols)
+    xx, yy = (F.col(f"s{v}{v}") - F.try_divide(F.col(f"s{v}") * F.col(f"s{v}"), F.col("n")) for v in "xy")
+    xy = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    s = s.select("*", xx.alias("_xx"), yy.alias("_yy"), xy.alias("_xy"))
+    varied = (F.col("n") > 1) & (F.col("_xx") > F.col("sxx") * 1e-12) & (F.col("_yy") > F.col("syy") * 1e-12)
+    return s.select("feature_a", "feature_b",
+                    F.when(varied, F.try_divide(F.col("_xy"), F.sqrt("_xx") * F.sqrt("_yy"))).alias("corr"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50, group: str | None = None) -> DataFrame:
     """Equal-width histogram over [min, max] (per group when given): bins are
     [a, b) except the last, [a, b]; every bin is returned, empty ones as 0.
     Only finite values are counted.
-    Edges follow numpy: edge_i = min + i·((max − min)/bins), last = max."""
+    Edges follow numpy: edge_i = min + i·((max − min)/bins), last = max; a
+    constant column has the range from half below it to half above."""
     keys = [group] if group else []
     v = F.col(col).cast("double")
     finite = F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < float("inf"))
     base = df.select(*keys, v.alias("_v")).filter(finite)
     rng = base.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    half = F.when(F.col("_lo") == F.col("_hi"), F.lit(0.5)).otherwise(F.lit(0.0))
+    rng = rng.select(*keys, (F.col("_lo") - half).alias("_lo"), (F.col("_hi") + half).alias("_hi"))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     edges = rng.withColumn(
         "_edges", F.transform(F.sequence(F.lit(0), F.lit(bins)),
@@ -192,6 +226,34 @@ def distinct_profile(df: DataFrame, cols=None, max_levels: int = 20) -> DataFram
                     .alias("is_categorical")))
 
 
+def distinct_flags(df: DataFrame, cols=None, max_levels: int = 20, margin: int = 8) -> DataFrame:
+    """(column, n_distinct, is_categorical), the count given for categorical
+    columns only. One aggregate of mergeable distinct-count sketches sets the
+    columns apart that have far more than ``max_levels`` values (``margin`` times;
+    the sketch's error is a few percent); only the others' values are grouped and
+    counted exactly, so an id column is never shuffled. Strings are categorical
+    whatever their count and are counted if they are near the limit, else by the
+    sketch's verdict."""
+    cols = list(cols or df.columns)
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    rough = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).collect()[0]   # one row
+    near = [c for c in cols if rough[c] <= margin * max_levels]
+    spark = df.sparkSession
+    names = spark.createDataFrame([(c, c in strings, c in near) for c in cols],
+                                  "column string, is_string boolean, _near boolean")
+    if near:
+        vals = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                                             for c in near])).alias("s")).select("s.*")
+        found = (vals.filter(F.col("value").isNotNull()).distinct()
+                 .groupBy("column").agg(F.count(F.lit(1)).alias("_n")))
+    else:
+        found = spark.createDataFrame([], "column string, _n long")
+    few = F.col("_near") & (F.coalesce("_n", F.lit(0)) < max_levels)
+    return (names.join(found, "column", "left")
+            .select("column", F.when(few, F.coalesce("_n", F.lit(0))).alias("n_distinct"),
+                    (F.col("is_string") | few).alias("is_categorical")))
+
+
 def sample_moments(lf_sides: DataFrame, side: str = "side") -> DataFrame:
     """(feature, side, n, mean, std) from a long table with a side column."""
     return (lf_sides.filter(F.col("value").isNotNull())

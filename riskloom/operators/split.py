@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rowwise import rnd
 from ..schema import LABEL
+from ..session import materialize
 
 
 def key_hash(key: str = "ID", seed: int = 42):
@@ -72,7 +73,7 @@ def _hash_ranks(df: DataFrame, seed: int, key: str, label: str) -> tuple[DataFra
     # 52-bit hash prefix: exact as a double; equal prefixes (ties) share a rank
     h = F.conv(F.substring(key_hash(key, seed), 1, 13), 16, 10).cast("long").cast("double")
     hk = df.withColumn("_cls", F.col(label)).withColumn("_h", h)
-    counts = value_counts(hk.select("_cls", F.col("_h").alias("value")), ["_cls"], "value")
+    counts = materialize(value_counts(hk.select("_cls", F.col("_h").alias("value")), ["_cls"], "value"), spread=False)
     return hk, cumulative_counts(counts, ["_cls"], ["n"], n_keys_bound=1000)
 
 

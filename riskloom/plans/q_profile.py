@@ -9,7 +9,7 @@ from ..operators import profile as P
 from ..operators.clean import numeric_columns
 from ..schema import ALLOWED_CODES, CREATED_CATEGORICAL, CREATED_NUMERIC, LABEL
 from . import base as B
-from .catalog import register
+from .catalog import CATALOG, register
 from .oracle_base import with_base
 
 RAW_NUMERIC = ["ID", "LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE",
@@ -240,7 +240,16 @@ def q_distinct_profile(spark, sf_dir):
     return P.distinct_profile(B.features(spark, sf_dir), _DP_COLS)
 
 
-_SM_COLS = ["LIMIT_BAL", "AGE", "PAY_0", "PAYMENT_MEAN", "BILL_AMT_TO_LIMIT_RATIO", "RISK_SCORE_1"]
+@register("distinct_flags", with_base() + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CASE WHEN count(DISTINCT {c}) < 20 THEN CAST(count(DISTINCT {c}) AS BIGINT) END AS n_distinct, "
+    f"{'TRUE' if c == 'AGE_GROUP' else f'count(DISTINCT {c}) < 20'} AS is_categorical FROM feat"
+    for c in _DP_COLS))
+def q_distinct_flags(spark, sf_dir):
+    """The categorical flag alone: columns far above the limit are told by a sketch."""
+    return P.distinct_flags(B.features_m(spark, sf_dir), _DP_COLS)
+
+
+_SM_COLS = [c for c in RAW_NUMERIC if c not in ("ID", LABEL)] + CREATED_NUMERIC
 
 
 @register("sample_moments", with_base(f"lf AS {sql_long(_SM_COLS, 'feat', ids=['CAST(is_test AS INTEGER) AS side'])}") + f"""
@@ -254,19 +263,7 @@ def q_sample_moments(spark, sf_dir):
     return m.select("feature", "side", "n", rnd(F.col("mean")).alias("mean"), rnd(F.col("std")).alias("std"))
 
 
-_SM_ALL = [c for c in RAW_NUMERIC if c not in ("ID", LABEL)] + CREATED_NUMERIC
-
-
-@register("sample_moments_all", with_base(f"lf AS {sql_long(_SM_ALL, 'feat', ids=['CAST(is_test AS INTEGER) AS side'])}") + f"""
-SELECT feature, side, CAST(count(value) AS BIGINT) AS n, {B.r('avg(value)')} AS mean,
-       {B.r('stddev_samp(value)')} AS std
-FROM lf WHERE value IS NOT NULL GROUP BY feature, side""")
-def q_sample_moments_all(spark, sf_dir):
-    """The moments of every numeric feature; ``sample_moments`` holds six of them."""
-    from ..operators.reshape import long_format
-    f = B.features(spark, sf_dir).withColumn("side", F.col("is_test").cast("int"))
-    m = P.sample_moments(long_format(f, _SM_ALL, ids=["side"]))
-    return m.select("feature", "side", "n", rnd(F.col("mean")).alias("mean"), rnd(F.col("std")).alias("std"))
+register("sample_moments_all", CATALOG["sample_moments"].sql)(q_sample_moments)   # its earlier name
 
 
 @register("table_summary", with_base() + f"""

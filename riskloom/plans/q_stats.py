@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rowwise import rnd
 from ..operators import drift as D
+from ..operators import insights as I
 from ..operators import twosample as TS
 from ..operators.reshape import long_format, long_levels
 from ..operators.split import stratified_split
@@ -183,10 +184,61 @@ def q_feature_significance(spark, sf_dir):
                     rnd(F.col("mean_0")).alias("mean_0"), rnd(F.col("mean_1")).alias("mean_1"))
 
 
-@register("feature_significance_pvalues")
+def norm_p_sql(z: str) -> str:
+    """Two-sided normal tail: one minus the density integrated by Simpson's rule."""
+    x = f"least(abs({z}), 40.0)"
+    return (f"(1.0 - 2.0 * {x} / 12000.0 * list_sum(list_transform(range(0, 4001), lambda i: "
+            f"(CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) "
+            f"* exp(-0.5 * ({x} * i / 4000.0) * ({x} * i / 4000.0)))) / sqrt(2.0 * pi()))")
+
+
+def t_p_sql(t: str, df: str) -> str:
+    """Two-sided Student tail, likewise."""
+    return (f"(1.0 - 2.0 * abs({t}) / 12000.0 * exp(lgamma(({df} + 1) / 2.0) - lgamma({df} / 2.0)) / sqrt({df} * pi()) "
+            f"* list_sum(list_transform(range(0, 4001), lambda i: (CASE WHEN i = 0 OR i = 4000 THEN 1 "
+            f"WHEN i % 2 = 1 THEN 4 ELSE 2 END) * pow(1.0 + ({t} * i / 4000.0) * ({t} * i / 4000.0) / {df}, -({df} + 1) / 2.0))))")
+
+
+def chi2_p_sql(x: str, k: str) -> str:
+    """Upper chi-square tail: one minus the power series of the lower one."""
+    return (f"CASE WHEN {k} <= 0 THEN NULL WHEN isinf({x}) THEN 0.0 WHEN {x} <= 0 THEN 1.0 ELSE "
+            f"1.0 - list_sum(list_transform(range(0, 600), lambda n: exp((n + {k} / 2.0) * ln({x} / 2.0) - {x} / 2.0 "
+            f"- lgamma({k} / 2.0 + 1 + n)))) END")
+
+
+def ks_p_sql(d: str, n0: str, n1: str) -> str:
+    """The Kolmogorov series with the small-sample factor."""
+    en = f"sqrt(1.0 * {n0} * {n1} / ({n0} + {n1}))"
+    lam = f"(({en} + 0.12 + 0.11 / {en}) * {d})"
+    return (f"CASE WHEN {lam} < 0.001 THEN 1.0 ELSE least(1.0, greatest(0.0, list_sum(list_transform(range(1, 200), "
+            f"lambda k: (CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * k * k * {lam} * {lam}))))) END")
+
+
+_Z_SQL = ("(greatest(u0, u1) - n0 * n1 / 2.0 - 0.5) / nullif(sqrt(n0 * n1 / 12.0 * "
+          "((CAST(n0 + n1 AS DOUBLE) + 1) - tie / (CAST(n0 + n1 AS DOUBLE) * (n0 + n1 - 1)))), 0)")
+_T_NAMES = ", ".join(f"'{c}'" for c in TTEST_FEATURES)
+SIGNIFICANCE_SQL = with_base(lf_label_sql(_SIG_ALL), RANK_CTES.strip(), f"""
+mom AS (SELECT feature, avg(value) FILTER (WHERE side = 0) AS m0, avg(value) FILTER (WHERE side = 1) AS m1,
+               var_samp(value) FILTER (WHERE side = 0) AS v0, var_samp(value) FILTER (WHERE side = 1) AS v1,
+               count(value) FILTER (WHERE side = 0) AS k0, count(value) FILTER (WHERE side = 1) AS k1
+        FROM lf WHERE value IS NOT NULL GROUP BY feature),
+st AS (SELECT feature, 't_test' AS test, m0, m1, CAST(k0 + k1 - 2 AS DOUBLE) AS df,
+              (m0 - m1) / sqrt(((k0 - 1) * v0 + (k1 - 1) * v1) / (k0 + k1 - 2) * (1.0 / k0 + 1.0 / k1)) AS x
+       FROM mom WHERE feature IN ({_T_NAMES})
+       UNION ALL SELECT rs.feature, 'mann_whitney_u', m0, m1, u0, {_Z_SQL} FROM rs JOIN mom ON rs.feature = mom.feature
+       WHERE rs.feature NOT IN ({_T_NAMES})),
+pv AS (SELECT feature, test, m0, m1, CASE WHEN test = 't_test' THEN x ELSE df END AS statistic,
+              CASE WHEN test = 't_test' THEN {t_p_sql('x', 'df')} ELSE {norm_p_sql('x')} END AS p FROM st)""") + f"""
+SELECT feature, test, {B.r('statistic')} AS statistic, abs({B.r('greatest(p, 0.0)')}) AS p_value, {B.r('m0')} AS mean_0,
+       {B.r('m1')} AS mean_1, coalesce(p < 0.05, FALSE) AS significant FROM pv"""
+
+
+@register("feature_significance_pvalues", SIGNIFICANCE_SQL)
 def q_feature_significance_pvalues(spark, sf_dir):
-    """With p-values and the significance flag (p < 0.05): rows-only check."""
-    return TS.feature_significance(_lf_by_label(spark, sf_dir, _SIG_ALL), TTEST_FEATURES, p_values=True)
+    """With p-values and the significance flag (p < 0.05)."""
+    s = TS.feature_significance(_lf_by_label(spark, sf_dir, _SIG_ALL), TTEST_FEATURES, p_values=True)
+    return s.select("feature", "test", *[rnd(F.col(c)).alias(c) for c in ("statistic", "p_value", "mean_0", "mean_1")],
+                    "significant")
 
 
 @register("ks_two_sample", with_base(lf_split_sql(KEY_DRIFT_FEATURES), RANK_CTES.strip()) + f"""
@@ -326,18 +378,33 @@ def q_drift_recommendations(spark, sf_dir):
 
 @register("key_feature_drift", with_base(lf_split_sql(KEY_DRIFT_FEATURES), psi_sql_ctes("floor").strip().rstrip(","),
                                          RANK_CTES.strip()) + f"""
-SELECT psi_res.feature, {B.r('psi')} AS psi, {B.r('ks')} AS ks FROM psi_res JOIN rs ON psi_res.feature = rs.feature""")
+SELECT psi_res.feature, {B.r('psi')} AS psi, {B.r('ks')} AS ks FROM psi_res LEFT JOIN rs ON psi_res.feature = rs.feature""")
 def q_key_feature_drift(spark, sf_dir):
     lf = _lf_split(spark, sf_dir, KEY_DRIFT_FEATURES)
-    p = D.psi(lf, "floor")
-    k = TS.ks_two_sample(lf, p_values=False)
-    return p.join(k, "feature").select("feature", rnd(F.col("psi")).alias("psi"), rnd(F.col("statistic")).alias("ks"))
+    prof = D.drift_profile(D.sample_counts(lf), "floor")
+    return prof.select("feature", rnd(F.col("psi")).alias("psi"), rnd(F.col("ks")).alias("ks"))
+
+
+@register("key_feature_drift_status", with_base(lf_split_sql(KEY_DRIFT_FEATURES), psi_sql_ctes("floor").strip().rstrip(","),
+                                                RANK_CTES.strip(), f"st AS ({_STATUS_SELECT})") + f"""
+SELECT psi_res.feature, {B.r('psi')} AS psi, {B.r('ks')} AS ks, {B.r(ks_p_sql('ks', 'n0', 'n1'))} AS ks_p_value,
+       (SELECT {B.r('abs(avg(is_default) FILTER (WHERE side = 0) - avg(is_default) FILTER (WHERE side = 1))')} FROM splitf) AS target_drift,
+       st.high_drift_features_count, st.medium_drift_features_count, st.drift_status
+FROM psi_res LEFT JOIN rs ON psi_res.feature = rs.feature CROSS JOIN st""")
+def q_key_feature_drift_status(spark, sf_dir):
+    """PSI, KS distance and its p-value per key feature, with the label's drift
+    and the status of the whole."""
+    f = stratified_split(B.features_m(spark, sf_dir)).withColumn("side", F.when(F.col("split") == "test", 1).otherwise(0))
+    target = D.target_drift(f.filter("side = 0"), f.filter("side = 1"), LABEL)
+    r = D.key_feature_drift(long_format(f, KEY_DRIFT_FEATURES, ids=["side"]), target)
+    return r.select("feature", *[rnd(F.col(c)).alias(c) for c in ("psi", "ks", "ks_p_value", "target_drift")],
+                    "high_drift_features_count", "medium_drift_features_count", "drift_status")
 
 
 _FDR_COLS = FEAT_NUM
 
 
-@register("feature_drift_report", with_base(lf_is_test_sql(_FDR_COLS), psi_sql_ctes("smoothed").strip().rstrip(","),
+_NUMERIC_REPORT_SQL = (with_base(lf_is_test_sql(_FDR_COLS), psi_sql_ctes("smoothed").strip().rstrip(","),
                                             """cat AS (SELECT feature FROM lf WHERE side = 0 AND value IS NOT NULL
         AND NOT isnan(value) GROUP BY feature HAVING count(DISTINCT value) < 20)""",
                                             _CHI_SQL.strip().replace("FROM lf WHERE value IS NOT NULL GROUP BY ALL",
@@ -349,25 +416,7 @@ mom AS (SELECT feature, avg(value) FILTER (WHERE side = 0) AS rm, avg(value) FIL
 SELECT psi_res.feature, {B.r('psi')} AS psi, psi > 0.1 AS drift_detected,
        {B.r("CASE WHEN t_ref = 0 OR t_cur = 0 THEN NULL WHEN ninf > 0 THEN 'inf'::DOUBLE ELSE s END")} AS chi2_statistic,
        {B.r('rm')} AS reference_mean, {B.r('cm')} AS current_mean, {B.r('rs')} AS reference_std, {B.r('cs')} AS current_std
-FROM psi_res JOIN mom ON psi_res.feature = mom.feature LEFT JOIN chi ON psi_res.feature = chi.feature""",
-          headline=True)
-def q_feature_drift_report(spark, sf_dir):
-    lf = _lf_is_test(spark, sf_dir, _FDR_COLS)
-    r = D.feature_drift_report(lf)
-    return r.select("feature", rnd(F.col("psi")).alias("psi"), "drift_detected",
-                    rnd(F.col("chi2_statistic")).alias("chi2_statistic"),
-                    *[rnd(F.col(c)).alias(c) for c in ["reference_mean", "current_mean", "reference_std", "current_std"]])
-
-
-@register("feature_drift_summary", with_base(lf_is_test_sql(_FDR_COLS), psi_sql_ctes("smoothed").strip().rstrip(",")) + f"""
-SELECT CAST(count(*) AS BIGINT) AS total_features, CAST(count_if(psi > 0.1) AS BIGINT) AS drifted_features,
-       {B.r('coalesce(max(psi) FILTER (WHERE psi > 0.1), 0.0)')} AS max_psi, {B.r('max(psi)')} AS max_psi_all,
-       count_if(psi > 0.1) > 0 AS drift_detected FROM psi_res""")
-def q_feature_drift_summary(spark, sf_dir):
-    lf = _lf_is_test(spark, sf_dir, _FDR_COLS)
-    s = D.drift_summary(D.feature_drift_report(lf))
-    return s.select("total_features", "drifted_features", rnd(F.col("max_psi")).alias("max_psi"),
-                    rnd(F.col("max_psi_all")).alias("max_psi_all"), "drift_detected")
+FROM psi_res LEFT JOIN mom ON psi_res.feature = mom.feature LEFT JOIN chi ON psi_res.feature = chi.feature""")
 
 
 # the reports over all features: the numeric ones as above, and the string ones
@@ -387,7 +436,12 @@ SELECT names.feature, {B.r("coalesce(psi, 'inf'::DOUBLE)")} AS psi, coalesce(psi
        {B.r('chi2')} AS chi2_statistic, CAST(NULL AS DOUBLE) AS reference_mean, CAST(NULL AS DOUBLE) AS current_mean,
        CAST(NULL AS DOUBLE) AS reference_std, CAST(NULL AS DOUBLE) AS current_std
 FROM (SELECT DISTINCT feature FROM lv) AS names LEFT JOIN lp ON names.feature = lp.feature"""
-_ALL_SQL = f"(SELECT * FROM ({CATALOG['feature_drift_report'].sql}) UNION ALL SELECT * FROM ({_LEVELS_SQL}))"
+_ALL_SQL = f"(SELECT * FROM ({_NUMERIC_REPORT_SQL}) UNION ALL SELECT * FROM ({_LEVELS_SQL}))"
+_REPORT_SQL = f"SELECT * FROM {_ALL_SQL}"
+_SUMMARY_SQL = f"""
+SELECT CAST(count(*) AS BIGINT) AS total_features, CAST(count_if(drift_detected) AS BIGINT) AS drifted_features,
+       coalesce(max(psi) FILTER (WHERE drift_detected), 0.0) AS max_psi, max(psi) AS max_psi_all,
+       count_if(drift_detected) > 0 AS drift_detected FROM {_ALL_SQL}"""
 
 
 def _all_features_report(spark, sf_dir):
@@ -396,37 +450,54 @@ def _all_features_report(spark, sf_dir):
                                   levels=long_levels(f, CREATED_CATEGORICAL, ids=["side"]))
 
 
-@register("feature_drift_report_all", f"SELECT * FROM {_ALL_SQL}")
-def q_feature_drift_report_all(spark, sf_dir):
+@register("feature_drift_report", _REPORT_SQL, headline=True)
+def q_feature_drift_report(spark, sf_dir):
+    """Every feature, the string one among them."""
     r = _all_features_report(spark, sf_dir)
     return r.select("feature", rnd(F.col("psi")).alias("psi"), "drift_detected",
                     rnd(F.col("chi2_statistic")).alias("chi2_statistic"),
                     *[rnd(F.col(c)).alias(c) for c in ["reference_mean", "current_mean", "reference_std", "current_std"]])
 
 
-@register("feature_drift_summary_all", f"""
-SELECT CAST(count(*) AS BIGINT) AS total_features, CAST(count_if(drift_detected) AS BIGINT) AS drifted_features,
-       coalesce(max(psi) FILTER (WHERE drift_detected), 0.0) AS max_psi, max(psi) AS max_psi_all,
-       count_if(drift_detected) > 0 AS drift_detected FROM {_ALL_SQL}""")
-def q_feature_drift_summary_all(spark, sf_dir):
+@register("feature_drift_summary", _SUMMARY_SQL)
+def q_feature_drift_summary(spark, sf_dir):
     s = D.drift_summary(_all_features_report(spark, sf_dir))
     return s.select("total_features", "drifted_features", rnd(F.col("max_psi")).alias("max_psi"),
                     rnd(F.col("max_psi_all")).alias("max_psi_all"), "drift_detected")
 
 
+# the earlier names of the two reports
+register("feature_drift_report_all", _REPORT_SQL)(q_feature_drift_report)
+register("feature_drift_summary_all", _SUMMARY_SQL)(q_feature_drift_summary)
+
+_CAT_RULE = """cat AS (SELECT feature FROM lf WHERE side = 0 AND value IS NOT NULL
+        AND NOT isnan(value) GROUP BY feature HAVING count(DISTINCT value) < 20)"""
+
+
+@register("feature_drift_pvalues", with_base(
+    lf_is_test_sql(_FDR_COLS), _CAT_RULE, _CHI_SQL.strip().replace(
+        "FROM lf WHERE value IS NOT NULL GROUP BY ALL",
+        "FROM lf WHERE value IS NOT NULL AND NOT isnan(value) AND feature IN (SELECT feature FROM cat) GROUP BY ALL"),
+    "cs AS (SELECT feature, CAST(k - 1 AS DOUBLE) AS dof, CASE WHEN t_ref = 0 OR t_cur = 0 THEN NULL "
+    "WHEN ninf > 0 THEN 'inf'::DOUBLE ELSE s END AS x FROM chi)") + f"""
+SELECT feature, {B.r('x')} AS chi2_statistic, {B.r(chi2_p_sql('x', 'dof'))} AS p_value FROM cs""")
+def q_feature_drift_pvalues(spark, sf_dir):
+    """Chi-square and its p-value of every numeric feature with fewer than 20
+    distinct reference values (the rule, not a list)."""
+    r = D.drift_profile(D.sample_counts(_lf_is_test(spark, sf_dir, _FDR_COLS)), "smoothed").filter("dof is not null")
+    p = D.nan_to_null(D.p_chi2(F.col("chi2_statistic"), F.col("dof").cast("double")))
+    return r.select("feature", rnd(F.col("chi2_statistic")).alias("chi2_statistic"), rnd(p).alias("p_value"))
+
+
 @register("numeric_drift_report", with_base(lf_age_sql(FEAT_NUM), psi_sql_ctes("smoothed_strict").strip().rstrip(","), """
 mom AS (SELECT feature, avg(value) FILTER (WHERE side = 0) AS rm, avg(value) FILTER (WHERE side = 1) AS cm
         FROM lf WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY feature)""") + f"""
 SELECT psi_res.feature, {B.r('psi')} AS psi, CAST(psi > 0.1 AS INTEGER) AS drift_detected,
        {B.r('rm')} AS reference_mean, {B.r('cm')} AS current_mean
-FROM psi_res JOIN mom ON psi_res.feature = mom.feature""")
+FROM psi_res LEFT JOIN mom ON psi_res.feature = mom.feature""")
 def q_numeric_drift_report(spark, sf_dir):
-    lf = _lf_age(spark, sf_dir, FEAT_NUM)
-    p = D.psi(lf, "smoothed_strict")
-    base = D.clean_values(lf, finite=False)
-    mom = base.groupBy("feature").agg(F.avg(F.when(F.col("side") == 0, F.col("value"))).alias("reference_mean"),
-                                      F.avg(F.when(F.col("side") == 1, F.col("value"))).alias("current_mean"))
-    return p.join(mom, "feature").select(
+    p = D.drift_profile(D.sample_counts(_lf_age(spark, sf_dir, FEAT_NUM)), "smoothed_strict")
+    return p.select(
         "feature", rnd(F.col("psi")).alias("psi"), (F.col("psi") > 0.1).cast("int").alias("drift_detected"),
         rnd(F.col("reference_mean")).alias("reference_mean"), rnd(F.col("current_mean")).alias("current_mean"))
 
@@ -447,12 +518,30 @@ def _insights(spark, sf_dir):
     return insight_rows(ir, bands, issues, sig)
 
 
-@register("insight_rows")
+def _insight_sql() -> str:
+    one = lambda sql, cols: f"(SELECT {cols} FROM ({sql}))"
+    n = lambda text, x: f"replace('{text}', '{{n}}', CAST({x} AS VARCHAR))"
+    q = lambda text: "'" + text.replace("'", "''") + "'"
+    return f"""
+WITH s AS (SELECT * FROM {one(CATALOG['imbalance_ratio'].sql, 'imbalance_ratio AS r')},
+           {one(CATALOG['corr_bands'].sql, "count_if(band = 'high') AS hi, count_if(band = 'medium') AS me")},
+           {one(CATALOG['data_issues'].sql, 'count(*) AS issues')}, {one(SIGNIFICANCE_SQL, 'count_if(significant) AS sig')})
+SELECT CAST(idx AS INTEGER) AS idx, insight FROM (
+  SELECT 0 AS idx, CASE WHEN r < 0.3 THEN {q(I.TEXT_IMBALANCE_HIGH)} WHEN r < 0.5 THEN {q(I.TEXT_IMBALANCE_MEDIUM)}
+                        ELSE {q(I.TEXT_IMBALANCE_LOW)} END AS insight FROM s
+  UNION ALL SELECT 1, CASE WHEN hi > 0 THEN {n(I.TEXT_HIGH_CORR, 'hi')} END FROM s
+  UNION ALL SELECT 2, CASE WHEN me > 0 THEN {n(I.TEXT_MEDIUM_CORR, 'me')} END FROM s
+  UNION ALL SELECT 3, CASE WHEN hi = 0 AND me = 0 THEN {q(I.TEXT_NO_CORR)} END FROM s
+  UNION ALL SELECT 4, CASE WHEN issues > 0 THEN {q(I.TEXT_ISSUES)} ELSE {q(I.TEXT_NO_ISSUES)} END FROM s
+  UNION ALL SELECT 5, {n(I.TEXT_SIGNIFICANT, 'sig')} FROM s) WHERE insight IS NOT NULL"""
+
+
+@register("insight_rows", _insight_sql())
 def q_insight_rows(spark, sf_dir):
     return _insights(spark, sf_dir)
 
 
-@register("write_insights_text")
+@register("write_insights_text", f"SELECT insight AS value FROM ({_insight_sql()})")
 def q_write_insights_text(spark, sf_dir):
     from ..session import scratch_path
     from ..sources.files import write_insights_text

@@ -149,14 +149,45 @@ def q_drift_stream_batch(spark, sf_dir):
     return _round_windows(res)
 
 
+_CLOSED_SQL = DRIFT_STREAM_CTES + """
+SELECT * FROM res WHERE window_end <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)"""
+
+
+@register("drift_stream_append", _CLOSED_SQL)
+def q_drift_stream_append(spark, sf_dir):
+    """The windows that the watermark has closed, each committed once to the
+    report table; their counts have left the state."""
+    prof = DS.reference_profile(_reference_events(spark, sf_dir), "event_type", "value")
+    res = DS.windowed_psi(_events_stream(spark, sf_dir), prof, "event_type", "value", "ts", "7 days", "1 day")
+    table = DS.report_table(spark, scratch_path(spark, "drift-reports"))
+    DS.append_windows(res, "event_type", table, scratch_path(spark, "drift-ckpt")).awaitTermination()
+    return _round_windows(table.read().withColumnRenamed("group", "event_type"))
+
+
+def _drift_reports(spark, sf_dir):
+    """Every window's report in the append-only table, committed as one run by day."""
+    prof = DS.reference_profile(_reference_events(spark, sf_dir), "event_type", "value")
+    res = DS.windowed_psi(read_table(spark, sf_dir, "events"), prof, "event_type", "value", "ts")
+    table = DS.report_table(spark, scratch_path(spark, "drift-reports"))
+    rows = DS.as_report(_round_windows(res), "event_type").withColumn("_day", F.col("window_end").cast("date"))
+    table.commit_by_day(rows, "_day", "batch")
+    return table
+
+
 @register("latest_drift_report", DRIFT_STREAM_CTES + """
 SELECT event_type, arg_max(window_start, window_end) AS window_start, max(window_end) AS window_end,
        arg_max(n, window_end) AS n, arg_max(psi, window_end) AS psi FROM res GROUP BY event_type""")
 def q_latest_drift_report(spark, sf_dir):
-    prof = DS.reference_profile(_reference_events(spark, sf_dir), "event_type", "value")
-    res = _round_windows(DS.windowed_psi(read_table(spark, sf_dir, "events"), prof, "event_type", "value", "ts"))
-    return DS.latest_report(res, "event_type", "window_end").select(
-        "event_type", "window_start", "window_end", "n", "psi")
+    return (_drift_reports(spark, sf_dir).newest("group", "window_end").withColumnRenamed("group", "event_type")
+            .select("event_type", "window_start", "window_end", "n", "psi"))
+
+
+@register("newest_drift_day", DRIFT_STREAM_CTES + """
+SELECT event_type, window_start, window_end, n, psi FROM res WHERE window_end = (SELECT max(window_end) FROM res)""")
+def q_newest_drift_day(spark, sf_dir):
+    """The newest day's reports, from that day's files alone."""
+    return (_drift_reports(spark, sf_dir).newest_day().withColumnRenamed("group", "event_type")
+            .select("event_type", "window_start", "window_end", "n", "psi"))
 
 
 @register("score_stream", with_base() + """
@@ -169,7 +200,7 @@ FROM (SELECT ID, CAST(CASE WHEN PAY_0 <= 0 AND LIMIT_BAL > 100000 THEN 0.05
 def q_score_stream(spark, sf_dir):
     """Requests (the cleaned borrower rows as JSON files) scored as a stream."""
     src = scratch_path(spark, "requests")
-    B.cleaned(spark, sf_dir).select(*_REQ).repartition(4).write.json(src)
+    B.cleaned(spark, sf_dir).select(*_REQ).write.json(src)
     out, ck = scratch_path(spark, "scores"), scratch_path(spark, "scores-ckpt")
     q = SS.score_stream(spark, src, request_schema(), score_rules, out, ck)
     q.awaitTermination()

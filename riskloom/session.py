@@ -20,6 +20,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.scheduler.mode", "FAIR")   # fits submitted side by side share the cores
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -47,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="riskloom-ckpt-")
     sc.setCheckpointDir(conf)
@@ -81,26 +82,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"riskloom-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and return it with a
-    short lineage. Used before multi-pass reports: every later pass (and a
-    recomputation after a lost executor) reads the written table instead of
-    re-running the joins behind it. Never a local checkpoint.
+def materialize(df, spread: bool = True):
+    """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    A result with fewer partitions than the default parallelism (a small
-    table, or one derived from a single file) is written again round-robin
-    spread, so the passes that fan it out (unpivot × features) use every core.
+    Used before multi-pass reports: every later pass (and a recomputation after
+    a lost executor) scans the files, with its own columns only, instead of
+    re-running the joins behind them. The files go when the session ends.
+
+    A result with fewer files than cores (a small table, or one derived from a
+    single file) is dealt evenly and written again, so the passes that fan it
+    out (unpivot × features) use every core.
     """
-    from pyspark import StorageLevel
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     target = spark.sparkContext.defaultParallelism
-    # computed once into the cache; the checkpoint then writes from it
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        df.count()
-        n = df.rdd.getNumPartitions()
-        src = df.repartition(target) if n < target else df
-        return src.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    delete_on_exit(spark, path)
+    if spread and len(out.inputFiles()) < target:
+        spread = scratch_path(spark, "table")
+        out.repartition(target).write.parquet(spread)
+        out = spark.read.schema(df.schema).parquet(spread)
+        delete_path(spark, path)
+        delete_on_exit(spark, spread)
+    return out
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing will read again."""
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver delete a scratch folder when the session ends."""
+    fs, p = _hadoop_path(spark, path)
+    fs.deleteOnExit(p)

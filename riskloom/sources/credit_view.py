@@ -5,7 +5,7 @@ Plan shape, chosen for scale:
 
 * ``lineitem`` is reduced to one row per order by a partial (map-side)
   aggregation before its shuffle, so a hot order key costs nothing extra.
-  Money is summed as exact decimals (two-place price × two-place discount),
+  Money is summed exactly, as integers (two-place price × two-place discount),
   so the rounded cents do not depend on summation order.
 * the six latest orders per customer come from ``row_number() <= 6`` directly
   over the window; Spark plans this as a ``WindowGroupLimit`` on both sides of
@@ -26,11 +26,20 @@ from .tables import read_table
 N_MONTHS = 6
 
 
+def _hundredths(col: str) -> F.Column:
+    """A two-place amount held as a double, in whole hundredths."""
+    return F.floor(F.col(col) * 100 + 0.5).cast("long")
+
+
 def _paid_per_order(lineitem: DataFrame) -> DataFrame:
-    return (lineitem
-            .groupBy("l_orderkey")
-            .agg(F.sum(F.col("l_extendedprice").cast("decimal(15,2)")
-                       * F.col("l_discount").cast("decimal(15,2)")).alias("paid")))
+    """(l_orderkey, paid): whole ten-thousandths of money, summed as integers."""
+    return (lineitem.groupBy("l_orderkey")
+            .agg(F.sum(_hundredths("l_extendedprice") * _hundredths("l_discount")).alias("paid")))
+
+
+def _money(paid: F.Column) -> F.Column:
+    """Ten-thousandths to a two-place amount, halves away from zero."""
+    return F.signum(paid) * F.floor((F.abs(paid) + 50) / 100) / 100
 
 
 def _latest_orders(orders: DataFrame, k: int = N_MONTHS) -> DataFrame:
@@ -55,8 +64,7 @@ def credit_view_from(customer: DataFrame, orders: DataFrame, lineitem: DataFrame
               .select("o_custkey", "k",
                       _pay_status().alias("pay"),
                       F.col("o_totalprice").alias("bill"),
-                      F.round(F.coalesce(F.col("paid"), F.lit(0).cast("decimal(15,2)")), 2)
-                      .cast("double").alias("amt")))
+                      _money(F.coalesce(F.col("paid"), F.lit(0)).cast("double")).alias("amt")))
     months = []
     for i in range(N_MONTHS):
         months.append(F.max(F.when(F.col("k") == i + 1, F.col("pay"))).alias(PAY[i]))

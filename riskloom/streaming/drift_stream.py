@@ -9,11 +9,13 @@ function runs on a static DataFrame (the batch twin).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.drift import MAX_FEATURES, small_table
 from ..operators.ranks import bounded_broadcast, count_le, quantile_arrays
+from ..operators.reports import ReportTable
 from ..schema import PSI_SMOOTH
 
 N_BINS = 10
@@ -90,6 +92,42 @@ def utc_wall(instant: F.Column) -> F.Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+REPORT = T.StructType([T.StructField("window_start", T.TimestampNTZType()), T.StructField("window_end", T.TimestampNTZType()),
+                       T.StructField("group", T.StringType()), T.StructField("n", T.LongType()),
+                       T.StructField("psi", T.DoubleType())])
+
+
+def report_table(spark: SparkSession, path: str) -> ReportTable:
+    """The append-only table of window reports, by day of the window's end."""
+    return ReportTable(spark, path, REPORT)
+
+
+def as_report(windows: DataFrame, group: str) -> DataFrame:
+    return windows.select("window_start", "window_end", F.col(group).alias("group"), "n", "psi")
+
+
+def append_windows(windows: DataFrame, group: str, table: ReportTable, checkpoint: str, available_now: bool = True):
+    """Start the drift stream in append mode: a window is reported once, when
+    the watermark has passed its end, and its counts leave the state. Each
+    micro-batch is one committed run, so readers never meet a half-written
+    batch and one repeated after a failure adds nothing."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows = as_report(batch, group)
+        table.commit_by_day(rows.withColumn("_day", F.col("window_end").cast("date")), "_day", f"batch-{epoch}")
+    w = windows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+
+def state_history(query) -> list[dict]:
+    """Per micro-batch: rows held as state, and late rows dropped by the watermark."""
+    out = []
+    for p in query.recentProgress:
+        ops = p["stateOperators"]
+        out.append({"batch": p["batchId"], "state_rows": sum(o["numRowsTotal"] for o in ops),
+                    "late_rows": sum(o["numRowsDroppedByWatermark"] for o in ops)})
+    return out
+
+
 def latest_report(reports: DataFrame, group: str, ts: str = "window_end") -> DataFrame:
     """Newest report row per group from an append-only report table."""
     cols = [c for c in reports.columns if c != group]

@@ -134,3 +134,103 @@ def test_psi_constant_reference_fallback(spark):
     sm = D.psi(df, "smoothed").collect()[0].psi
     assert fl == pytest.approx(_psi_floor(ref, cur), abs=1e-12)
     assert sm == pytest.approx(_psi_smoothed(ref, cur), abs=1e-12)
+
+
+def test_bracketed_quantiles_select_inside_the_brackets(spark):
+    """With few rows taken whole, only rows near the targets are kept, ties and
+    a hot value among them; a key that the sketch misses is done again."""
+    from riskloom.operators import ranks as R
+    rng = np.random.default_rng(3)
+    pdf = pd.concat([pd.DataFrame({"feature": "x", "value": rng.normal(size=20_000)}),
+                     pd.DataFrame({"feature": "ties", "value": rng.integers(0, 7, 20_000).astype(float)}),
+                     pd.DataFrame({"feature": "hot", "value": np.where(rng.random(9_000) < 0.9, 5.0, rng.normal(size=9_000))}),
+                     pd.DataFrame({"feature": "one", "value": [3.5]})])
+    df = spark.createDataFrame(pdf)
+    probs = [0.5, 0.0, 0.1, 0.25, 0.9, 1.0]
+    base = df.select("feature", "value")
+    inner = R.bracket_counts(base, R._brackets(base, ["feature"], sorted(probs), "value", 500, 1000), ["feature"], "value", 6)
+    kept = inner.filter("_out = 0").groupBy("feature").agg(F.count("*").alias("n")).collect()
+    assert {r.feature: r.n for r in kept}["x"] < 1500
+    assert inner.agg(F.sum("n")).first()[0] == len(pdf)
+    got = exact_quantiles(df, ["feature"], probs, accuracy=500, whole_rows=1000).toPandas()
+    for f, g in pdf.groupby("feature"):
+        want = np.percentile(g.value, [p * 100 for p in sorted(probs)])
+        assert np.allclose(got[got.feature == f].sort_values("q")["quantile"].to_numpy(), want)
+    missed = exact_quantiles(df, ["feature"], [0.37], accuracy=2, whole_rows=0).toPandas()
+    assert set(missed.feature) == set(pdf.feature)
+    for f, g in pdf.groupby("feature"):
+        assert missed[missed.feature == f]["quantile"].iloc[0] == pytest.approx(np.percentile(g.value, 37))
+
+
+def test_windows_stay_bounded(spark, monkeypatch):
+    """Buckets follow the number of distinct values; none is far above the goal."""
+    from riskloom.operators import ranks as R
+    monkeypatch.setattr(R, "WINDOW_ROWS", 100)
+    counts = R.materialize(R.value_counts(spark.range(4000).select(F.lit("f").alias("feature"), F.col("id").alias("value")),
+                                          ["feature"]), spread=False)
+    assert R.kernel_buckets(counts, ["feature"]) == 40
+    monkeypatch.setattr(R, "WINDOW_ROWS", 10_000)
+    assert R.kernel_buckets(counts, ["feature"]) == 1
+    whole = R.cumulative_counts(counts, ["feature"], ["n"]).select("value", "cum_n", "tot_n")
+    split = R.cumulative_counts(counts, ["feature"], ["n"], buckets=7).select("value", "cum_n", "tot_n")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, split.collect()))
+    edges = counts.groupBy("feature").agg(F.percentile_approx("value", [i / 40 for i in range(1, 40)], 10000).alias("e"))
+    b = counts.join(edges, "feature").groupBy(R.count_le("e", F.col("value")).alias("b")).count()
+    assert b.agg(F.max("count")).first()[0] <= 200
+
+
+def test_gram_correlations_over_pairs_with_nulls(spark):
+    from riskloom.operators.profile import corr_matrix
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame(rng.normal(size=(400, 4)) + 1e6, columns=list("abcd"))
+    pdf["b"] += pdf["a"]
+    pdf["flat"] = 7.25
+    for c in "abc":
+        pdf.loc[rng.random(400) < 0.2, c] = np.nan
+    pdf["none"] = np.nan
+    pdf["half"] = np.where(np.isnan(pdf["a"]), 2.0, 1.0)      # constant wherever a has a value
+    cols = list(pdf.columns)
+    got = {(r.feature_a, r.feature_b): r.corr for r in corr_matrix(spark.createDataFrame(pdf).repartition(5), cols).collect()}
+    want = pdf.corr()
+    assert len(got) == len(cols) * (len(cols) - 1) // 2
+    for (a, b), r in got.items():
+        if {"flat", "none"} & {a, b} or {a, b} == {"a", "half"}:
+            assert r is None
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_histogram_of_a_constant_column(spark):
+    rows = histogram(spark.createDataFrame([(3.0,)] * 5, "v double"), "v", 4).orderBy("bin").collect()
+    counts, edges = np.histogram([3.0] * 5, 4)
+    assert [r["count"] for r in rows] == counts.tolist() and [r.lower for r in rows] == edges[:-1].tolist()
+
+
+def test_distinct_flags_never_group_an_id(spark):
+    from riskloom.operators.profile import distinct_flags, distinct_profile
+    df = spark.range(5000).select("id", (F.col("id") % 19).alias("near"), (F.col("id") % 20).alias("at"),
+                                  F.lit(None).cast("int").alias("none"), F.col("id").cast("string").alias("text"))
+    want = {r.column: (r.n_distinct if r.n_distinct < 20 else None, r.is_categorical) for r in distinct_profile(df).collect()}
+    flags = distinct_flags(df)
+    assert {r.column: (r.n_distinct, r.is_categorical) for r in flags.collect()} == want
+    plan = flags._jdf.queryExecution().optimizedPlan().toString()
+    assert "near" in plan and "AS column, cast(id" not in plan
+
+
+def test_drift_profile_equals_the_separate_measures(data):
+    pdf, df = data
+    counts = D.sample_counts(df)
+    ks = {r.feature: r["statistic"] for r in TS.ks_two_sample(df, p_values=False).collect()}
+    chi = {r.feature: (r.chi2_statistic, r.dof) for r in TS.chi_square_gof(df, p_values=False).collect()}
+    for method in D.PSI_RULES:
+        finite, fallback = D.PSI_RULES[method]
+        base = D.clean_values(df, finite=finite)
+        want = {r.feature: r.psi for r in D.psi_from_bins(D.bin_table(base, D.psi_edges(base, fallback=fallback)), method).collect()}
+        got = {r.feature: r for r in D.drift_profile(counts, method, max_levels=1 << 62).collect()}
+        assert {f: r.psi for f, r in got.items()} == pytest.approx(want)
+        assert {f: r.ks for f, r in got.items()} == pytest.approx(ks)
+        assert {f: r.dof for f, r in got.items()} == {f: k for f, (_, k) in chi.items()}
+        assert {f: r.chi2_statistic for f, r in got.items()} == pytest.approx({f: x for f, (x, _) in chi.items()})
+        for f, g in pdf.groupby("feature"):
+            assert got[f].reference_std == pytest.approx(g[g.side == 0].value.std())
+            assert got[f].current_mean == pytest.approx(g[g.side == 1].value.mean())

@@ -13,9 +13,8 @@ from oracle_check import check, duck_con  # noqa: E402
 from riskloom.plans.catalog import load_all  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-HEAVY = {"run_experiments", "experiment_log", "best_run", "grid_search"}
 CAT = load_all()
-NAMES = [n for n in CAT if os.environ.get("RISKLOOM_ALL") or n not in HEAVY]
+NAMES = list(CAT)
 
 
 @pytest.fixture(scope="module")
