@@ -193,7 +193,8 @@ def drift_profile(counts: DataFrame, method: str = "smoothed", buckets: int = 10
         edges = F.when(F.size(edges) < 2, even).otherwise(edges)
     facts = small_table(facts.withColumn("edges", F.when(F.col("tot_f_0") > 0, edges)).drop("_q"))
 
-    j = num.join(bounded_broadcast(facts, MAX_FEATURES), "feature")
+    n_features = facts.count()      # the written table's own row count
+    j = num.join(bounded_broadcast(facts, n_features), "feature")
     nb = F.size("edges") - 1
     k = count_le("edges", F.col("value"), buckets + 1)
     inside = (k >= 1) & (F.col("value") <= F.get("edges", nb)) & (nb >= 1)
@@ -206,7 +207,7 @@ def drift_profile(counts: DataFrame, method: str = "smoothed", buckets: int = 10
         *[F.sum(F.when(F.col(f"n_{i}") > 0, F.col(f"n_{i}") * (F.col("value") - F.col(f"_m{i}"))
                        * (F.col("value") - F.col(f"_m{i}")))).alias(f"_v{i}") for i in (0, 1)],
         F.sum(chi).alias("_chi"), F.count_if((exp == 0) & (F.col("n_1") > 0)).alias("_new"))
-    rows = second.join(bounded_broadcast(facts, MAX_FEATURES), "feature")
+    rows = second.join(bounded_broadcast(facts, n_features), "feature")
     rows = _psi_terms(rows, method, buckets)
     none = F.lit(None).cast("double")
     categorical = F.col("_levels") < max_levels
@@ -224,7 +225,7 @@ def drift_profile(counts: DataFrame, method: str = "smoothed", buckets: int = 10
         *[none.alias(f"{n}_{m}") for m in ("mean", "std") for n in ("reference", "current")])
     absent = none if method == "floor" else F.lit(float("inf"))
     names = counts.groupBy("feature", "is_string").agg(F.lit(0).alias("_x")).drop("_x")
-    return (names.join(bounded_broadcast(numbers.unionByName(strings), MAX_FEATURES), ["feature", "is_string"], "left")
+    return (names.join(numbers.unionByName(strings), ["feature", "is_string"], "left")
             .withColumn("psi", F.coalesce("psi", absent)))
 
 
@@ -254,7 +255,7 @@ def _level_profile(counts: DataFrame) -> DataFrame:
     """(feature, psi, t_0, t_1, chi2_statistic, dof) over the levels of string features."""
     tot = counts.groupBy("feature").agg(F.sum("n_0").alias("t_0"), F.sum("n_1").alias("t_1"),
                                         F.count(F.lit(1)).alias("k"))
-    j = counts.join(bounded_broadcast(tot, MAX_FEATURES), "feature")
+    j = counts.join(tot, "feature")
     e, a = ((F.col(f"n_{i}") + F.lit(PSI_SMOOTH)) / (F.col(f"t_{i}") + F.col("k") * F.lit(PSI_SMOOTH)) for i in (0, 1))
     exp = F.try_divide(F.col("n_0") * F.col("t_1"), F.col("t_0"))
     got = j.groupBy("feature", "t_0", "t_1", "k").agg(
@@ -296,7 +297,7 @@ def psi_categorical(levels: DataFrame, side: str = "side") -> DataFrame:
 def kl_divergence(lf: DataFrame, side: str = "side", n_edges: int = 20) -> DataFrame:
     """(feature, kl): 19 equal-width bins over the pooled range, densities
     (count / (n · width)) + 1e-10, renormalised, Σ p·ln(p/q), p = reference.
-    A zero pooled range gives NULL."""
+    A zero pooled range gives NULL, and so does a feature without finite values."""
     base = clean_values(lf, finite=True)
     mm = base.groupBy("feature").agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
     div = n_edges - 1
@@ -316,9 +317,10 @@ def kl_divergence(lf: DataFrame, side: str = "side", n_edges: int = 20) -> DataF
     x = bw.select("feature", "_ok", p0.alias("p0"), q0.alias("q0"))
     x = x.select("feature", "_ok", (F.col("p0") / F.sum("p0").over(w)).alias("p"),
                  (F.col("q0") / F.sum("q0").over(w)).alias("q"))
-    return (x.groupBy("feature")
-            .agg(F.first("_ok").alias("_ok"), F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("kl"))
-            .select("feature", F.when(F.col("_ok"), F.col("kl")).alias("kl")))
+    found = (x.groupBy("feature")
+             .agg(F.first("_ok").alias("_ok"), F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("kl"))
+             .select("feature", F.when(F.col("_ok"), F.col("kl")).alias("kl")))
+    return lf.select("feature").distinct().join(found, "feature", "left")
 
 
 def target_drift(ref: DataFrame, cur: DataFrame, label: str) -> DataFrame:

@@ -32,10 +32,16 @@ LEVELS = {"SEX": [1, 2], "EDUCATION": [1, 2, 3, 4], "MARRIAGE": [1, 2, 3]}
 
 
 def splits(spark, sf_dir):
+    """Training and test part of one written feature table."""
     f = stratified_split(B.features_m(spark, sf_dir))
     return f.filter(F.col("split") == "train"), f.filter(F.col("split") == "test")
 
 
+def _train_and_all(spark, sf_dir):
+    f = stratified_split(B.features_m(spark, sf_dir))
+    return f.filter(F.col("split") == "train"), f.drop("split")
+
+
 def _train_sql():
     return SPLIT_CTE.strip() + ",\ntr AS (SELECT * FROM splitf WHERE side = 0)"
 
@@ -45,8 +51,7 @@ def _train_sql():
     f"quantile_cont({c}, 0.5) AS m_{c}" for c in MODEL_NUMERIC) + " FROM tr)") + "SELECT ID, " + ", ".join(
     f"{B.r(f'coalesce(CAST({c} AS DOUBLE), m_{c})')} AS {c}" for c in MODEL_NUMERIC) + " FROM feat, med")
 def q_impute_median(spark, sf_dir):
-    train, _ = splits(spark, sf_dir)
-    full = B.features_m(spark, sf_dir)
+    train, full = _train_and_all(spark, sf_dir)
     med = PR.fit_medians(train, MODEL_NUMERIC)
     out = PR.impute_median(full.select("ID", *MODEL_NUMERIC), MODEL_NUMERIC, med)
     return out.select("ID", *[rnd(F.col(c)).alias(c) for c in MODEL_NUMERIC])
@@ -70,9 +75,9 @@ def _std_sql():
 
 @register("standardize", _std_sql())
 def q_standardize(spark, sf_dir):
-    train, _ = splits(spark, sf_dir)
+    train, full = _train_and_all(spark, sf_dir)
     st = PR.fit_prep(train, numeric=MODEL_NUMERIC, categorical=[], k=len(MODEL_NUMERIC))
-    out = PR.prepare(B.features_m(spark, sf_dir), st, keep=("ID",))
+    out = PR.prepare(full, st, keep=("ID",))
     return out.select("ID", *[rnd(F.col(c)).alias(c) for c in MODEL_NUMERIC])
 
 
@@ -82,9 +87,9 @@ _OH = [(c, v) for c in MODEL_CATEGORICAL for v in LEVELS[c]]
 @register("one_hot", with_base() + "SELECT ID, " + ", ".join(
     f"CASE WHEN coalesce({c}, 0) = {v} THEN 1.0 ELSE 0.0 END AS {c}_{v}" for c, v in _OH) + " FROM feat")
 def q_one_hot(spark, sf_dir):
-    train, _ = splits(spark, sf_dir)
+    train, full = _train_and_all(spark, sf_dir)
     st = PR.fit_prep(train, numeric=[], categorical=MODEL_CATEGORICAL, k=0)
-    return PR.prepare(B.features_m(spark, sf_dir), st, keep=("ID",))
+    return PR.prepare(full, st, keep=("ID",))
 
 
 def _kbest_sql():

@@ -341,7 +341,9 @@ kn AS (SELECT feature, ok, p0 / sum(p0) OVER (PARTITION BY feature) AS p, q0 / s
 
 
 @register("kl_divergence", with_base(lf_age_sql(FEAT_NUM), _KL_SQL.strip()) + f"""
-SELECT feature, {B.r('CASE WHEN bool_and(ok) THEN sum(p * ln(p / q)) END')} AS kl FROM kn GROUP BY feature""")
+SELECT names.feature, kl FROM (SELECT DISTINCT feature FROM lf) AS names LEFT JOIN
+(SELECT feature, {B.r('CASE WHEN bool_and(ok) THEN sum(p * ln(p / q)) END')} AS kl FROM kn GROUP BY feature) AS k
+ON names.feature = k.feature""")
 def q_kl_divergence(spark, sf_dir):
     k = D.kl_divergence(_lf_age(spark, sf_dir, FEAT_NUM))
     return k.select("feature", rnd(F.col("kl")).alias("kl"))

@@ -29,3 +29,13 @@ def test_report_and_tests_do_not_fail(spark):
     assert ks["both"]["statistic"] == 0.0
     chi = {r.feature: r.chi2_statistic for r in TS.chi_square_gof(lf).collect()}
     assert chi["both"] == 0.0 and chi["ref"] is None and chi["cur"] is None
+
+
+def test_kl_and_key_features_keep_every_feature(spark):
+    lf = rows(spark)
+    assert {r.feature for r in D.kl_divergence(lf).collect()} == {"both", "ref", "cur", "none"}
+    target = spark.createDataFrame([(0.1,)], "target_drift double")
+    got = {r.feature: r for r in D.key_feature_drift(lf, target).collect()}
+    assert set(got) == {"both", "ref", "cur", "none"}
+    assert got["both"].ks == 0.0 and got["both"].ks_p_value == 1.0 and got["both"].drift_status == "low"
+    assert all(got[f].psi is None and got[f].ks is None and got[f].ks_p_value is None for f in ("ref", "cur", "none"))
