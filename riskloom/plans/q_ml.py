@@ -322,7 +322,7 @@ SELECT name, model_type, searched AS use_grid_search, TRUE AS metrics_in_range,
 FROM (VALUES ('Logistic Regression - GridSearch', 'logistic', TRUE, 9), ('Random Forest - GridSearch', 'random_forest', TRUE, 12),
              ('Gradient Boosting - GridSearch', 'gradient_boosting', TRUE, 24), ('Logistic Regression - Balanced', 'logistic', FALSE, 0),
              ('Random Forest - Default', 'random_forest', FALSE, 0)) AS t(name, model_type, searched, fits),
-     (SELECT count(*) > 0 AS some FROM orders) WHERE some""")
+     (SELECT count(*) > 0 AS has_rows FROM orders) WHERE has_rows""")
 def q_experiment_properties(spark, sf_dir):
     """The run's rows: all experiments, metrics in range, F1 the harmonic mean of
     precision and recall, and the fold fits that the run store holds for each search."""
