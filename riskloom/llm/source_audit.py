@@ -72,32 +72,38 @@ def collapsed(docs: DataFrame) -> DataFrame:
 
 def _tallies(texts: DataFrame) -> DataFrame:
     """(lang, source, term, n, df): occurrences and documents; term '' marks the group itself."""
-    def flush(n: Counter, df: Counter) -> pa.RecordBatch:
-        keys = list(n)
-        cols = [pa.array(list(c), pa.binary()).cast(pa.string()) for c in zip(*keys)]
-        return pa.RecordBatch.from_arrays(
-            [*cols, pa.array(list(n.values()), pa.int64()), pa.array([df[k] for k in keys], pa.int64())],
-            ["lang", "source", "term", "n", "df"])
+    def flush(groups: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, df) in groups.items():
+            terms, m = list(df), len(df) + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang]).take(pa.array([0] * m)), pa.array([source]).take(pa.array([0] * m)),
+                 pa.array([b"", *terms], pa.binary()).cast(pa.string()),
+                 pa.array([0, *map(n.__getitem__, terms)], pa.int64()), pa.array([0, *df.values()], pa.int64())],
+                ["lang", "source", "term", "n", "df"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
-        df: Counter = Counter()
+        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held = 0
         for batch in batches:
-            langs, texts = (batch.column(i).cast(pa.binary()).to_pylist() for i in (0, 1))
-            for lang, text, sources in zip(langs, texts, batch.column(2).to_pylist()):
-                found = Counter(terms_of(text))
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            for lang, text, sources in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
+                terms = terms_of(text)
+                once = set(terms)
                 for entry in sources:
-                    source, times = entry["source"].encode(), entry["n"]
-                    n[lang, source, b""] += 0
-                    for term, count in found.items():
-                        key = (lang, source, term)
-                        n[key] += count * times
-                        df[key] += times
-                if len(n) > HELD:
-                    yield flush(n, df)
-                    n, df = Counter(), Counter()
-        if n:
-            yield flush(n, df)
+                    n, df = groups.setdefault((lang, entry["source"]), (Counter(), Counter()))
+                    held, times = held - len(df), entry["n"]
+                    if times == 1:
+                        n.update(terms)
+                        df.update(once)
+                    else:
+                        for term, count in Counter(terms).items():
+                            n[term] += count * times
+                            df[term] += times
+                    held += len(df)
+                if held > HELD:
+                    yield from flush(groups)
+                    groups, held = {}, 0
+        yield from flush(groups)
     return (texts.mapInArrow(run, "lang string, source string, term string, n long, df long")
             .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")))
 
