@@ -1,22 +1,33 @@
-"""Compact sorted levels: Elias-Fano coded keys in blocks, in files of parts.
-
-A level is a sorted sequence of distinct 63-bit keys, range-partitioned into
-parts. A part's file holds a directory (first key and place of each block) and
-the blocks. In a block, keys relative to the block's first one are split into
-packed low bits and high bits in unary. A search for many keys at once goes
-through the blocks they fall into, each decoded once; files are memory-mapped
-where the path is local and read otherwise.
+"""Compact sorted levels of an n-gram trie, in files of parts that tasks map.
+
+The vocabulary is a sorted sequence of distinct 63-bit keys, range-partitioned
+into parts (``Level``). A part's file holds a directory (first key and place of
+each block) and the blocks, Elias-Fano coded: relative to the block's first
+key, packed low bits and high bits in unary.
+
+A level of n-grams (``Grams``) holds, for each n-gram of the level below (its
+context), the run of words that follow it. A part's file covers a range of
+contexts: Elias-Fano pointers to the runs (monotone; read by select on the high
+bits), the words of the runs in as few bytes as the vocabulary needs, and one
+byte for each word's weight and each context's back-off, which are codes into
+256 quantiles of the part. A word is found by successor search inside its
+context's run. A context too heavy for one part is split by ranges of words;
+its back-off is held beside the directory.
+
+Files are mapped where the path is local. Elsewhere they are read, and a
+process keeps at most ``HELD`` bytes of them.
 """
 
 from __future__ import annotations
 
 import json
 import struct
-from dataclasses import dataclass
+from collections import OrderedDict
+from dataclasses import dataclass, field
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK, CODES, HELD, MAPPED = 4096, 256, 1 << 28, 1 << 16
 
 
 def encode(keys: np.ndarray) -> bytes:
@@ -82,57 +93,229 @@ class Part:
         return out
 
 
-def opened(uri: str) -> np.ndarray:
-    """A file's bytes: mapped if the path is local, else read."""
+class Counts:
+    """Counts by place in a part: a width in bytes, then the counts."""
+
+    def __init__(self, raw: np.ndarray):
+        self.n = raw[1:].view(f"<u{raw[0]}")
+
+    @staticmethod
+    def pack(n: np.ndarray) -> bytes:
+        width = next(w for w in (1, 2, 4, 8) if int(n.max(initial=0)) < 1 << (8 * w - 1))
+        return bytes([width]) + n.astype(f"<u{width}").tobytes()
+
+
+_held: OrderedDict = OrderedDict()  # open files by kind and path: (object, bytes charged)
+
+
+def opened(uri: str, kind: type):
+    """A file as ``kind``: mapped if the path is local, else read."""
+    if (kind, uri) in _held:
+        _held.move_to_end((kind, uri))
+        return _held[kind, uri][0]
     path = uri.removeprefix("file://").removeprefix("file:")
     if "://" not in path:
-        return np.memmap(path, np.uint8, "r")
-    from pyarrow import fs
-    files, path = fs.FileSystem.from_uri(uri)
-    with files.open_input_file(path) as f:
-        return np.frombuffer(f.read(), np.uint8)
+        raw, cost = np.asarray(np.memmap(path, np.uint8, "r")), MAPPED
+    else:
+        from pyarrow import fs
+        files, path = fs.FileSystem.from_uri(uri)
+        with files.open_input_file(path) as f:
+            raw = np.frombuffer(f.read(), np.uint8)
+        cost = len(raw)
+    _held[kind, uri] = kind(raw), cost
+    held = sum(c for _, c in _held.values())
+    while held > HELD and len(_held) > 1:
+        held -= _held.popitem(last=False)[1][1]
+    return _held[kind, uri][0]
+
+
+def _ranges(part: np.ndarray):
+    """(part, lo, hi) for each run of a sorted array."""
+    found, lo = np.unique(part, return_index=True)
+    return zip(found.tolist(), lo.tolist(), [*lo[1:].tolist(), len(part)])
 
 
 @dataclass
 class Level:
-    """The parts of a level, in order: first key, first place and files."""
+    """The parts of the vocabulary, in order: first key, first place and files."""
 
     first: list[int]
     start: list[int]
     files: list[str]
     size: int
-    values: list[str] | None = None    # files of two bytes a key: codes of weight and back-off
-    weights: np.ndarray | None = None  # logarithms by code
-    backoffs: np.ndarray | None = None
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_parts", "_codes")}
-
-    def part(self, p: int) -> Part:
-        cache = self.__dict__.setdefault("_parts", {})
-        if p not in cache:
-            cache[p] = Part(opened(self.files[p]))
-        return cache[p]
+    values: list[str] = field(default_factory=list)  # files of counts
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Places of sorted distinct keys in the level, -1 where absent."""
         out = np.full(len(keys), -1, np.int64)
         part = np.searchsorted(np.array(self.first, np.int64), keys, side="right") - 1
-        for p in np.unique(part[part >= 0]):
-            lo, hi = np.searchsorted(part, [p, p + 1])
-            at = self.part(int(p)).find(keys[lo:hi])
-            out[lo:hi] = np.where(at >= 0, at + self.start[p], -1)
+        for p, lo, hi in _ranges(part):
+            if p >= 0:
+                at = opened(self.files[p], Part).find(keys[lo:hi])
+                out[lo:hi] = np.where(at >= 0, at + self.start[p], -1)
+        return out
+
+    def counts(self, places: np.ndarray) -> np.ndarray:
+        """Counts at sorted places (0 or more)."""
+        out = np.empty(len(places), np.int64)
+        for p, lo, hi in _ranges(np.searchsorted(np.array(self.start, np.int64), places, side="right") - 1):
+            out[lo:hi] = opened(self.values[p], Counts).n[places[lo:hi] - self.start[p]]
         return out
 
-    def look_up(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Weight and back-off logarithms at sorted places (0 or more)."""
-        w, b = np.empty(len(places)), np.empty(len(places))
-        part = np.searchsorted(np.array(self.start, np.int64), places, side="right") - 1
-        cache = self.__dict__.setdefault("_codes", {})
-        for p in np.unique(part):
-            lo, hi = np.searchsorted(part, [p, p + 1])
-            if p not in cache:
-                cache[p] = opened(self.values[p]).reshape(-1, 2)
-            codes = cache[p][places[lo:hi] - self.start[p]]
-            w[lo:hi], b[lo:hi] = self.weights[codes[:, 0]], self.backoffs[codes[:, 1]]
-        return w, b
+
+# ones in a byte, and the place of its r-th one
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+_ONES = _BITS.sum(axis=1).astype(np.int64)
+_PLACE = np.argsort(1 - _BITS, axis=1, kind="stable")
+
+
+def _book(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most 256 quantiles of the values, and each value's nearest one."""
+    s = np.sort(x)
+    book = s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else np.zeros(1)
+    if len(book) > CODES:
+        book = np.unique(s[np.round(np.linspace(0, len(s) - 1, CODES)).astype(np.int64)])
+    if len(book) == 1:
+        return book, np.zeros(len(x), np.uint8)
+    at = np.clip(np.searchsorted(book, x), 1, len(book) - 1)
+    return book, np.where(x - book[at - 1] <= book[at] - x, at - 1, at).astype(np.uint8)
+
+
+def pack_grams(lo: int, pointers: np.ndarray, words: np.ndarray, weight: np.ndarray, backoff: np.ndarray) -> bytes:
+    """A part's file: ``pointers[i]`` to ``pointers[i + 1]`` is the run of
+    context ``lo + i`` in ``words`` and ``weight``."""
+    m, n = len(backoff), len(words)
+    low = max(0, (n // (m + 1)).bit_length() - 1)
+    at = (pointers >> low) + np.arange(m + 1)
+    bits = np.zeros((int(at[-1]) // 64 + 1) * 64, np.uint8)
+    bits[at] = 1
+    ones = np.cumsum(bits.reshape(-1, 64).sum(axis=1, dtype=np.uint32), dtype=np.uint32)
+    lows = ((pointers[:, None] >> np.arange(low)) & 1).astype(np.uint8)
+    width = max(1, (int(words.max(initial=0)).bit_length() + 7) // 8)
+    (weights, w), (backoffs, b) = _book(weight), _book(backoff)
+    parts = [weights.astype("<f8"), backoffs.astype("<f8"), np.concatenate([[0], ones[:-1]]).astype("<u4"),
+             np.packbits(bits, bitorder="little"), np.concatenate([np.packbits(lows, bitorder="little"), np.zeros(8, np.uint8)]),
+             words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width], w, b]
+    raw = [p.tobytes() for p in parts]
+    head = json.dumps({"lo": lo, "low": low, "width": width, "n": n, "sizes": [len(r) for r in raw]}).encode()
+    return struct.pack("<I", len(head)) + head + b"".join(raw)
+
+
+class GramPart:
+    """A part of a level of n-grams as an array of bytes."""
+
+    def __init__(self, raw: np.ndarray):
+        size = struct.unpack("<I", raw[:4].tobytes())[0]
+        head = json.loads(raw[4:4 + size].tobytes())
+        cut = np.cumsum([4 + size, *head["sizes"]]).tolist()
+        weights, backoffs, ones, self.high, self.lows, self.words, self.w, self.b = (
+            raw[a:z] for a, z in zip(cut, cut[1:]))
+        self.weights, self.backoffs = (np.frombuffer(x.tobytes(), "<f8") for x in (weights, backoffs))
+        self.ones = np.frombuffer(ones.tobytes(), "<u4")
+        self.lo, self.low, self.width, self.n = (head[k] for k in ("lo", "low", "width", "n"))
+
+    def pointer(self, i: np.ndarray) -> np.ndarray:
+        """Element ``i`` of the monotone sequence: select on the high bits."""
+        word = np.searchsorted(self.ones, i, side="right") - 1
+        rest = i - self.ones[word]
+        octets = self.high[(word * 8)[:, None] + np.arange(8)]
+        upto = np.cumsum(_ONES[octets], axis=1)
+        octet = (upto <= rest[:, None]).sum(axis=1)
+        each = np.arange(len(i))
+        rest = rest - np.where(octet > 0, upto[each, octet - 1], 0)
+        high = word * 64 + octet * 8 + _PLACE[octets[each, octet], rest] - i
+        if not self.low:
+            return high
+        bit = i * self.low
+        window = np.ascontiguousarray(self.lows[(bit >> 3)[:, None] + np.arange(8)]).view("<i8")[:, 0]
+        return (high << self.low) | ((window >> (bit & 7)) & ((1 << self.low) - 1))
+
+    def word(self, at: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at), np.int64)
+        for j in range(self.width):
+            out |= self.words[at * self.width + j].astype(np.int64) << (8 * j)
+        return out
+
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the part (-1: absent) and weight: the first word not
+        smaller, looked for inside the context's run."""
+        i = context - self.lo
+        a, z = self.pointer(i), self.pointer(i + 1)
+        end = z.copy()
+        open_ = np.flatnonzero(a < z)
+        while len(open_):
+            mid = (a[open_] + z[open_]) >> 1
+            less = self.word(mid) < word[open_]
+            a[open_[less]] = mid[less] + 1
+            z[open_[~less]] = mid[~less]
+            open_ = open_[a[open_] < z[open_]]
+        hit = a < end
+        hit[hit] = self.word(a[hit]) == word[hit]
+        weight = np.full(len(a), -np.inf)
+        weight[hit] = self.weights[self.w[a[hit]]]
+        return np.where(hit, a, -1), weight
+
+    def left(self, context: np.ndarray) -> np.ndarray:
+        return self.backoffs[self.b[context - self.lo]]
+
+
+@dataclass
+class Grams:
+    """The parts of a level of n-grams, in order. ``lo``: first context;
+    ``subs``: by how many parts the part's one context is shared, else 1;
+    ``start``: first place; ``files``: None where a part has no n-gram;
+    ``hot``: back-offs of the contexts that are shared."""
+
+    lo: np.ndarray
+    subs: np.ndarray
+    start: np.ndarray
+    files: list[str | None]
+    size: int
+    words: int
+    hot: dict[int, float]
+
+    def at(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The part that holds each pair."""
+        return part_of(self.lo, self.subs, self.words, context, word)
+
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places (-1: absent) and weights of sorted pairs."""
+        place, weight = np.full(len(context), -1, np.int64), np.full(len(context), -np.inf)
+        if self.size:
+            for p, lo, hi in _ranges(self.at(context, word)):
+                if self.files[p]:
+                    got, weight[lo:hi] = opened(self.files[p], GramPart).find(context[lo:hi], word[lo:hi])
+                    place[lo:hi] = np.where(got >= 0, got + self.start[p], -1)
+        return place, weight
+
+    def left(self, context: np.ndarray) -> np.ndarray:
+        """Logarithms of the back-offs of sorted contexts (0: no child)."""
+        out = np.zeros(len(context))
+        if self.size:
+            for p, lo, hi in _ranges(np.searchsorted(self.lo, context, side="right") - 1):
+                if self.subs[p] > 1:
+                    out[lo:hi] = self.hot[int(self.lo[p])]
+                elif self.files[p]:
+                    out[lo:hi] = opened(self.files[p], GramPart).left(context[lo:hi])
+        return out
+
+
+def part_of(lo: np.ndarray, subs: np.ndarray, words: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The part of each pair: by its context, and inside a shared context by
+    its word's place among ``words``."""
+    last = np.searchsorted(lo, context, side="right") - 1
+    s = subs[last]
+    return np.where(s > 1, last - (s - 1) + word * s // max(1, words), last)
+
+
+def cut(n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """First index of runs that hold at most about 2 * ``most`` in sum, and in
+    how many parts a run is shared: more than 1 only for a single element
+    above ``most``."""
+    if not len(n):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    run, hot = (np.cumsum(n) - n) // most, n > most
+    edge = np.ones(len(n), bool)
+    edge[1:] = (run[1:] != run[:-1]) | hot[1:] | hot[:-1]
+    lo = np.flatnonzero(edge)
+    return lo, np.where(hot[lo], -(-n[lo] // most), 1)

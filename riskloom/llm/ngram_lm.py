@@ -2,27 +2,33 @@
 
 Words are A-Z lower-cased runs without white space; an end token closes every
 text. A word's count over all training texts gives the base score, and the
-lowest order of the model. Higher orders interpolate: an n-gram seen ``LEAST``
+lowest order of the model. Higher orders interpolate: an n-gram seen ``least``
 times or more adds (count - DISCOUNT) / context count, and what its context
 leaves over scales the next lower order, so each context's probabilities sum
 to one (up to the rounding of the codes).
 
 Levels of the trie are files in the shared folder (see ``eliasfano``): level 1
-holds word hashes, level k the keys ``place of the context in level k-1 times
-(words + 1) + word``, so the children of a context are one run of a monotone
-sequence and are found by one search relative to the context. Weights and
-back-offs are one byte each, codes into 256 quantiles.
-
-All counting runs on Spark: texts are turned into blocks of numbered words;
-word counts meet in one shuffle of (block, word) rows and return to the
-blocks, so no task or driver ever holds the vocabulary, and the n-gram counts
-of a block are summed before they are shuffled. Tasks search only the parts of
-a level that their own sorted keys fall into.
+holds word hashes with their counts, level k the words that follow each n-gram
+of level k-1, found by successor search inside their context's run. An n-gram
+is named by two numbers, its context's place and its word's, so no key
+overflows. Weights and back-offs are one byte each, codes into 256 quantiles of
+a part.
+
+All counting runs on Spark. Texts are turned into blocks of numbered words, a
+row a block. For each level, tasks sum the n-grams of their blocks and send
+them packed (sorted, byte planes, compressed) to the level's parts in one
+shuffle; the task of a part sums, weighs and writes its file. The parts of a
+level are planned from the counts of the level below, so that one holds about
+``PART`` training tokens, whatever the size of the corpus; a context with more
+is shared by several parts. No task or driver ever holds the vocabulary or a
+level; the driver holds a few numbers a part.
 
 Words are told apart by 63-bit hashes. A null text is empty: one token, the
-end. Rows without doc_id train as any other. Repeated rows count and are
-scored one by one. Without training text every probability is uniform over the
-unknown word. ``order`` 1 is the base model.
+end. A text of any length is one block at most, read whole. Rows without doc_id
+train as any other. Repeated rows count and are scored one by one. Other
+columns, whatever their names, are not read. An empty table gives an empty
+result. Without training text every probability is uniform over the unknown
+word. ``order`` 1 is the base model.
 """
 
 from __future__ import annotations
@@ -34,25 +40,34 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
 from .common import arrow_groups, arrow_map, forget, scratch_dir, text_bytes, written
-from .eliasfano import Level, pack
+from .eliasfano import Counts, Grams, Level, cut, pack, pack_grams, part_of
 from .warc import _open
 
-ORDER, LEAST, DISCOUNT, CODES = 3, 1, 0.75, 256
-BLOCK_TOKENS, TOKENS_AT_ONCE = 1 << 20, 1 << 19
+ORDER, LEAST, DISCOUNT = 3, 1, 0.75
+BLOCK_TOKENS, TOKENS_AT_ONCE, PART = 1 << 20, 1 << 19, 1 << 21
 END = int.from_bytes(b"end", "little")  # the end token's key; no word's hash is this small by any likely chance
 POSITIVE = (1 << 63) - 1
 
 
-def _packed(arrays: list[np.ndarray]) -> list[bytes]:
-    zstd = zstandard.ZstdCompressor(level=1)
-    return [zstd.compress(a.tobytes()) for a in arrays]
+def _squeezed(a: np.ndarray) -> bytes:
+    """Numbers of 0 or more as compressed byte planes."""
+    planes = np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _restored(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8")[:, 0]
+
+
+def _fields(**types) -> StructType:
+    return StructType([StructField(n, t) for n, t in types.items()])
 
 
 class _Numbers(dict):
@@ -62,294 +77,302 @@ class _Numbers(dict):
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """Rows of words (block, local, word, n) and of texts (block, doc_id,
-    train, ids), told apart by ``ids`` being null."""
-    schema = StructType([StructField("block", LongType()), StructField("local", IntegerType()),
-                         StructField("word", LongType()), StructField("n", LongType()),
-                         StructField("doc_id", LongType()), StructField("train", BooleanType()),
-                         StructField("ids", BinaryType())])
-    count = {"batch": 0}
-
-    def block(ids: list, train: list, codes: list[np.ndarray], numbers: _Numbers) -> Iterator[dict]:
-        count["batch"] += 1
-        at = TaskContext.get().partitionId() * (1 << 24) + count["batch"]
+    """Rows of blocks: the hashes of the block's words, their counts in its
+    training texts, and its texts as numbers of these words."""
+    def block(ids: list, train: list, codes: list[np.ndarray], numbers: _Numbers) -> dict:
         size = len(numbers) + 1
-        n = np.zeros(size, np.int64)
-        for c, t in zip(codes, train):
-            if t:
-                n += np.bincount(c, minlength=size) if len(c) > size // 4 else 0
-                if len(c) <= size // 4:
-                    np.add.at(n, c, 1)
         words = np.fromiter((xxhash.xxh3_64_intdigest(w) & POSITIVE for w in numbers), np.int64, size - 1)
-        none = lambda k, t: pa.nulls(k, t)
-        yield {"block": np.full(size, at), "local": np.arange(size, dtype=np.int32),
-               "word": np.concatenate([[END], words]), "n": n, "doc_id": none(size, pa.int64()),
-               "train": none(size, pa.bool_()), "ids": none(size, pa.binary())}
-        k = len(ids)
-        yield {"block": np.full(k, at), "local": none(k, pa.int32()), "word": none(k, pa.int64()),
-               "n": none(k, pa.int64()), "doc_id": ids, "train": train, "ids": _packed(codes)}
+        tokens, sizes = np.concatenate(codes), np.array([len(c) for c in codes])
+        n = np.bincount(tokens[np.repeat(np.array(train, bool), sizes)], minlength=size)
+        return {"words": [np.concatenate([[END], words]).tobytes()], "n": [_squeezed(n)], "n_words": [size],
+                "doc_id": [ids], "train": [train], "n_tokens": [sizes.tolist()], "codes": [_squeezed(tokens)]}
 
     def run(batch: pa.RecordBatch):
         numbers, ids, train, codes, held = _Numbers(), [], [], [], 0
         for doc, t, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), text_bytes(batch)):
             words = text.lower().split()
-            codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+            code = np.zeros(len(words) + 1, np.uint32)
+            code[:-1] = np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))
+            codes.append(code)
             ids.append(doc)
             train.append(bool(t))
-            held += len(words) + 1
+            held += len(code)
             if held >= BLOCK_TOKENS:
-                yield from block(ids, train, [np.append(c, np.uint32(0)) for c in codes], numbers)
+                yield block(ids, train, codes, numbers)
                 numbers, ids, train, codes, held = _Numbers(), [], [], [], 0
         if ids:
-            yield from block(ids, train, [np.append(c, np.uint32(0)) for c in codes], numbers)
-    return arrow_map(docs, run, schema)
-
-
-def _level(keys: DataFrame, folder: str) -> tuple[Level, DataFrame]:
-    """Writes a level's sorted keys (column ``key``, other columns are kept)
-    and returns it with the rows and their ``place``."""
-    spark = keys.sparkSession
-    rows = written(keys.repartitionByRange("key").sortWithinPartitions("key")
-                   .withColumn("part", F.spark_partition_id()).withColumn("_nth", F.monotonically_increasing_id()
-                                                                          .bitwiseAND((1 << 33) - 1)))
-    made = StructType([StructField("part", IntegerType()), StructField("first", LongType()),
-                       StructField("n", LongType()), StructField("file", StringType())])
+            yield block(ids, train, codes, numbers)
+    return arrow_map(docs, run, _fields(
+        words=BinaryType(), n=BinaryType(), n_words=LongType(), doc_id=ArrayType(LongType()),
+        train=ArrayType(BooleanType()), n_tokens=ArrayType(LongType()), codes=BinaryType()))
+
+
+def _saved(folder: str, ending: str, raw: bytes) -> str:
+    path = f"{folder}/{uuid.uuid4().hex}.{ending}"
+    files, name = _open(path)
+    with files.open_output_stream(name, compression=None) as out:
+        out.write(raw)
+    return path
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of ``n``."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
+
+
+_PLAN = {"next_lo": ArrayType(LongType()), "next_subs": ArrayType(LongType()), "next_of": ArrayType(LongType())}
+
+
+def _planned(n: np.ndarray, most: int) -> dict:
+    lo, subs = cut(n, most)
+    return {"next_lo": [lo.tolist()], "next_subs": [subs.tolist()], "next_of": [n[lo].tolist()]}
+
+
+class _Plan:
+    """The parts of the next level: first context, contexts, parts that share
+    it and, for a shared context, its count."""
+
+    def __init__(self, rows: list, start: list[int], size: int, words: int):
+        lo, subs, of = [], [], []
+        for r, s in zip(rows, start):
+            for x, k, c in zip(r["next_lo"], r["next_subs"], r["next_of"]):
+                lo += [s + x] * k
+                subs += [k] * k
+                of += [c] * k
+        self.end(lo, subs, of, size, words)
+
+    def end(self, lo: list, subs: list, of: list, size: int, words: int) -> None:
+        self.lo, self.subs, self.of = (np.array(x, np.int64) for x in (lo, subs, of))
+        after = np.searchsorted(self.lo, self.lo, side="right")
+        self.m = np.append(self.lo, size)[after] - self.lo
+        self.size, self.words = size, words
+
+    def with_start(self, texts: int, most: int) -> _Plan:
+        """One context more, behind the last: the start of a text."""
+        k = max(1, -(-texts // most))
+        self.end([*self.lo, *[self.size] * k], [*self.subs, *[k] * k], [*self.of, *[texts] * k], self.size + 1, self.words)
+        return self
+
+
+def _vocabulary(raw: DataFrame, folder: str, most: int) -> tuple[Level, int, _Plan]:
+    """Level 1 with the counts of its words, the training tokens, and the plan
+    of level 2."""
+    parts = max(1, -(-(raw.agg(F.sum("n_words")).first()[0] or 0) // most))
+
+    def send(batch: pa.RecordBatch):
+        for words, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words, n = np.frombuffer(words, np.int64), _restored(n)
+            words, n = words[n > 0], n[n > 0]
+            order = np.argsort(words)
+            words, n = words[order], n[order]
+            part = (words >> 32) * parts >> 31
+            found, lo = np.unique(part, return_index=True)
+            ends = [*lo[1:].tolist(), len(words)]
+            yield {"part": found, "words": [words[a:z].tobytes() for a, z in zip(lo, ends)],
+                   "n": [_squeezed(n[a:z]) for a, z in zip(lo, ends)]}
 
     def save(group: pa.Table) -> dict:
-        found = np.sort(group["key"].to_numpy())
-        path = f"{folder}/{uuid.uuid4().hex}.ef"
-        files, name = _open(path)
-        with files.open_output_stream(name, compression=None) as out:
-            out.write(pack(found))
-        return {"part": [group["part"][0].as_py()], "first": [found[0]], "n": [len(found)], "file": [path]}
-    files, name = _open(folder)
-    files.create_dir(name, recursive=True)
-    # as many rows as the range partitioning has parts
-    parts = written(arrow_groups(rows.select("part", "key"), ["part"], save, made)).orderBy("part").collect()
-    start = np.cumsum([0] + [p["n"] for p in parts]).tolist()
-    level = Level([p["first"] for p in parts], start[:-1], [p["file"] for p in parts], start[-1])
-    offsets = {p["part"]: s for p, s in zip(parts, start)}
-    if not parts:
-        return level, rows.withColumn("place", F.lit(0).cast("long")).drop("part", "_nth")
-    side = F.broadcast(spark.createDataFrame(list(offsets.items()), "part int, _start long"))
-    return level, rows.join(side, "part").withColumn("place", F.col("_start") + F.col("_nth")).drop(
-        "part", "_nth", "_start")
-
-
-def _codes(values: DataFrame, column: str) -> np.ndarray:
-    """At most 256 quantiles of a column."""
-    got = values.agg(F.percentile_approx(column, [i / (CODES - 1) for i in range(CODES)], F.lit(100_000))).first()[0]
-    return np.unique(np.array(got or [0.0], np.float64))
-
-
-def _nearest_code(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    at = np.clip(np.searchsorted(codes, x), 1, max(1, len(codes) - 1))
-    if len(codes) == 1:
-        return np.zeros(len(x), np.uint8)
-    return np.where(x - codes[at - 1] <= codes[at] - x, at - 1, at).astype(np.uint8)
-
-
-def _add_values(level: Level, rows: DataFrame, folder: str) -> None:
-    """Writes the codes of ``rows`` (place, weight, backoff) beside the keys."""
-    rows = written(rows.select("place", "weight", "backoff"))
-    weights, backoffs = _codes(rows, "weight"), _codes(rows, "backoff")
-    starts = level.start
-    # the part of a place, by the parts' bounds
-    part = F.lit(0)
-    bounds = spark_array(starts)
-    part = F.size(F.filter(bounds, lambda s: s <= F.col("place"))) - 1
-    made = StructType([StructField("part", IntegerType()), StructField("file", StringType())])
-
-    def save(group: pa.Table) -> dict:
-        place = group["place"].to_numpy()
-        order = np.argsort(place)
-        codes = np.stack([_nearest_code(group["weight"].to_numpy()[order], weights),
-                          _nearest_code(group["backoff"].to_numpy()[order], backoffs)], axis=1)
-        path = f"{folder}/{uuid.uuid4().hex}.codes"
-        files, name = _open(path)
-        with files.open_output_stream(name, compression=None) as out:
-            out.write(codes.tobytes())
-        return {"part": [group["part"][0].as_py()], "file": [path]}
-    got = written(arrow_groups(rows.withColumn("part", part), ["part"], save, made)).collect()
-    level.values = [r["file"] for r in sorted(got, key=lambda r: r["part"])]
-    level.weights, level.backoffs = weights, backoffs
-
-
-def spark_array(numbers: list[int]) -> Column:
-    return F.array(*[F.lit(n).cast("long") for n in numbers]) if numbers else F.array().cast("array<long>")
-
-
-def _unique_find(level: Level, keys: np.ndarray, live: np.ndarray) -> np.ndarray:
-    """Places of the live keys, -1 elsewhere."""
-    out = np.full(len(keys), -1, np.int64)
-    if live.any() and level.size:
-        distinct, back = np.unique(keys[live], return_inverse=True)
-        out[live] = level.find(distinct)[back]
-    return out
-
-
-def _paths(codes: np.ndarray, first: np.ndarray, levels: list[Level], words: int) -> Iterator[np.ndarray]:
-    """For each order, each token's key place in that level: the n-gram that
-    ends at the token, -1 if absent. ``codes`` are word places or negative;
-    ``first`` marks the first token of a text, whose context is the start."""
-    place = codes.astype(np.int64)
-    yield np.where(place >= 0, place, -1)
-    context = np.empty(len(codes), np.int64)  # place of the context of the order before
-    context[1:] = place[:-1]
-    context[first] = words                     # the start stands behind the last word
-    for k, level in enumerate(levels[1:], 2):
-        live = (context >= 0) & (place >= 0)
-        found = _unique_find(level, context * (words + 1) + place, live)
-        yield found
-        nxt = np.full(len(codes), -1, np.int64)
-        nxt[1:] = found[:-1]
-        nxt[first] = -1
-        context = nxt
+        words, n = _summed(np.frombuffer(b"".join(group["words"].to_pylist()), np.int64),
+                           np.concatenate([_restored(x) for x in group["n"].to_pylist()]))
+        return {"part": [group["part"][0].as_py()], "first": [words[0]], "size": [len(words)], "total": [n.sum()],
+                "file": [_saved(folder, "ef", pack(words))], "counts": [_saved(folder, "n", Counts.pack(n))],
+                **_planned(n, most)}
+    sent = arrow_map(raw.select("words", "n"), send, _fields(part=LongType(), words=BinaryType(), n=BinaryType()))
+    rows = arrow_groups(sent, ["part"], save, _fields(
+        part=LongType(), first=LongType(), size=LongType(), total=LongType(), file=StringType(), counts=StringType(),
+        **_PLAN)).collect()
+    rows = sorted(rows, key=lambda r: r["part"])
+    start = np.cumsum([0] + [r["size"] for r in rows]).tolist()
+    level = Level([r["first"] for r in rows], start[:-1], [r["file"] for r in rows], start[-1], [r["counts"] for r in rows])
+    return level, sum(r["total"] for r in rows), _Plan(rows, start, level.size, level.size)
+
+
+def _pairs(context: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (context, word) in order, and each pair's index among them."""
+    distinct, at = np.unique(context, return_inverse=True)
+    key, back = np.unique(at * (words + 1) + word, return_inverse=True)
+    return distinct[key // (words + 1)], key % (words + 1), back
 
 
 class Model:
     """The trie's levels with the base counts; scores encoded texts."""
 
-    def __init__(self, levels: list[Level], total: int, distinct: int, start_backoff: float):
-        self.levels, self.total, self.distinct, self.start = levels, total, distinct, start_backoff
+    def __init__(self, level: Level, total: int):
+        self.words, self.total, self.grams = level, total, []
 
     def base(self, c: np.ndarray) -> np.ndarray:
-        return np.log10((c + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
+        return np.log10((c + 0.5) / (self.total + 0.5 * (self.words.size + 1)))
+
+    def walk(self, codes: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
+        """For each order above 1 in the trie: each token's context (a place in
+        the order below, negative if none), weight and context's back-off; last
+        the contexts of the next order. ``codes`` are places of words, negative
+        for unknown ones; ``first`` marks the first token of each text, whose
+        context is the start, behind the last word."""
+        size = self.words.size
+        place = codes.astype(np.int64)
+        for k in range(len(self.grams) + 1):
+            context = np.full(len(codes), -1, np.int64)
+            context[1:] = place[:-1]
+            context[first] = size if k == 0 else -1
+            if k == len(self.grams):
+                yield context, None, None
+                return
+            weight, left = np.full(len(codes), -np.inf), np.zeros(len(codes))
+            place = np.full(len(codes), -1, np.int64)
+            known = context >= 0
+            if known.any():
+                distinct, back = np.unique(context[known], return_inverse=True)
+                left[known] = self.grams[k].left(distinct)[back]
+            live = known & (codes >= 0)
+            if live.any():
+                c, w, back = _pairs(context[live], codes[live], size)
+                at, logs = self.grams[k].find(c, w)
+                place[live], weight[live] = at[back], logs[back]
+            yield context, weight, left
 
     def score(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log10 probability of every token; see ``_paths``."""
-        words = self.levels[0].size
-        logs, backs, places = [], [], []
-        for level, place in zip(self.levels, _paths(codes, first, self.levels, words)):
-            w, b = np.full(len(codes), -np.inf), np.zeros(len(codes))
-            has = place >= 0
-            if has.any():
-                distinct, back = np.unique(place[has], return_inverse=True)
-                lw, lb = level.look_up(distinct)
-                w[has], b[has] = lw[back], lb[back]
-            logs.append(w)
-            backs.append(b)
-            places.append(place)
-        p = 10 ** np.where(codes >= 0, logs[0], self.base(-1.0 - np.minimum(codes, -1.0)))
-        for k in range(1, len(self.levels)):
-            # what the context leaves: the back-off of the context's own n-gram, 1 if it isn't in the trie
-            left = np.zeros(len(codes))
-            left[1:] = np.where(places[k - 1][:-1] >= 0, backs[k - 1][:-1], 0.0)
-            left[first] = self.start if k == 1 else 0.0
-            p = 10 ** logs[k] + 10 ** left * p
+        """log10 probability of every token."""
+        count = np.zeros(len(codes), np.int64)
+        if (codes >= 0).any():
+            distinct, back = np.unique(codes[codes >= 0], return_inverse=True)
+            count[codes >= 0] = self.words.counts(distinct)[back]
+        p = 10 ** self.base(count)
+        for _, weight, left in self.walk(codes, first):
+            if weight is not None:
+                p = 10 ** weight + 10 ** left * p
         return np.log10(p)
 
 
-def _runs(packed: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes laid end to end, the first token's places, and sizes."""
-    zstd = zstandard.ZstdDecompressor()
-    ids = [zstd.decompress(x) for x in packed]
-    sizes = np.array([len(x) // np.dtype(dtype).itemsize for x in ids], np.int64)
-    return np.frombuffer(b"".join(ids), dtype), (np.cumsum(sizes) - sizes), sizes
-
-
-def _slices(sizes: list[int], most: int = TOKENS_AT_ONCE) -> Iterator[tuple[int, int]]:
-    lo = held = 0
-    for i, s in enumerate(sizes):
-        held += s
-        if held >= most or i == len(sizes) - 1:
-            yield lo, i + 1
-            lo, held = i + 1, 0
-
+def _next_level(rows: DataFrame, model: Model, plan: _Plan, folder: str, least: int, most: int) -> tuple[Grams, _Plan]:
+    """The level above those of ``model``, and the plan of the next one."""
+    size = model.words.size
+
+    def send(batch: pa.RecordBatch):
+        held: list[tuple] = []
+
+        def flush():
+            c, w, n = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            c, w, back = _pairs(c, w, size)
+            n = np.bincount(back, weights=n).astype(np.int64)
+            part = part_of(plan.lo, plan.subs, size, c, w)
+            found, lo = np.unique(part, return_index=True)
+            ends = [*lo[1:].tolist(), len(c)]
+            return {"part": found,
+                    "context": [_squeezed(np.diff(c[a:z] - plan.lo[p], prepend=0)) for p, a, z in zip(found, lo, ends)],
+                    "word": [_squeezed(w[a:z]) for a, z in zip(lo, ends)],
+                    "n": [_squeezed(n[a:z]) for a, z in zip(lo, ends)]}
+        for i in range(batch.num_rows):
+            for codes, first, _ in _texts(batch, i, train=True):
+                *_, (context, _, _) = model.walk(codes, first)
+                live = (context >= 0) & (codes >= 0)
+                if live.any():
+                    c, w, back = _pairs(context[live], codes[live].astype(np.int64), size)
+                    held.append((c, w, np.bincount(back)))
+                if sum(len(h[0]) for h in held) >= most:
+                    yield flush()
+        if held:
+            yield flush()
 
-def scored(docs: DataFrame, train: Column, order: int = ORDER, least: int = LEAST) -> DataFrame:
+    def save(group: pa.Table) -> dict:
+        p = group["part"][0].as_py()
+        context = np.concatenate([np.cumsum(_restored(x)) for x in group["context"].to_pylist()])
+        word, n = (np.concatenate([_restored(x) for x in group[k].to_pylist()]) for k in ("word", "n"))
+        m, shared = int(plan.m[p]), plan.subs[p] > 1
+        key, n = _summed(context * (size + 1) + word, n)
+        context, word = key // (size + 1), key % (size + 1)
+        of = np.array([plan.of[p]], float) if shared else np.bincount(context, weights=n, minlength=m)
+        context, word, n = (x[n >= least] for x in (context, word, n))
+        kept = np.bincount(context, weights=n - DISCOUNT, minlength=m)
+        left = np.log10(np.maximum(1e-9, 1 - kept / np.maximum(of, 1)))
+        path = _saved(folder, "grams", pack_grams(
+            int(plan.lo[p]), np.searchsorted(context, np.arange(m + 1)), word, np.log10((n - DISCOUNT) / of[context]), left))
+        return {"part": [p], "size": [len(n)], "file": [path], "kept": [float(kept.sum())], **_planned(n, most)}
+    sent = arrow_map(rows.select("train", "n_tokens", "codes"), send,
+                     _fields(part=LongType(), context=BinaryType(), word=BinaryType(), n=BinaryType()))
+    got = arrow_groups(sent, ["part"], save, _fields(
+        part=LongType(), size=LongType(), file=StringType(), kept=DoubleType(), **_PLAN)).collect()
+    got = sorted(got, key=lambda r: r["part"])
+    sizes, files, kept = np.zeros(len(plan.lo) + 1, np.int64), [None] * len(plan.lo), np.zeros(len(plan.lo))
+    for r in got:
+        sizes[r["part"] + 1], files[r["part"]], kept[r["part"]] = r["size"], r["file"], r["kept"]
+    start = np.cumsum(sizes)
+    hot = {}
+    for c in np.unique(plan.lo[plan.subs > 1]):
+        own = plan.lo == c
+        hot[int(c)] = float(np.log10(max(1e-9, 1 - kept[own].sum() / plan.of[own][0])))
+    level = Grams(plan.lo, plan.subs, start[:-1], files, int(start[-1]), size, hot)
+    return level, _Plan(got, [int(start[r["part"]]) for r in got], level.size, size)
+
+
+def _texts(batch: pa.RecordBatch, row: int, train: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """A block's texts (all, or those to train on) in slices: codes end to end,
+    the places of first tokens, sizes."""
+    cell = lambda name: batch.column(batch.schema.get_field_index(name))[row].as_py()
+    sizes, codes = np.array(cell("n_tokens"), np.int64), _restored(cell("codes")) - 1
+    if train:
+        use = np.array(cell("train"), bool)
+        codes, sizes = codes[np.repeat(use, sizes)], sizes[use]
+    ends = np.cumsum(sizes)
+    lo = done = 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(ends, done + TOKENS_AT_ONCE, side="right")))
+        yield codes[done:ends[hi - 1]], ends[lo:hi] - sizes[lo:hi] - done, sizes[lo:hi]
+        lo, done = hi, int(ends[hi - 1])
+
+
+def scored(docs: DataFrame, train: Column, order: int = ORDER, least: int = LEAST, part: int | None = None) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score and score of
-    every text; ``train`` says which texts are learnt from."""
-    spark = docs.sparkSession
-    folder = scratch_dir(spark) + "-trie"
+    every text; ``train`` says which texts are learnt from, ``part`` (unset:
+    ``PART``) how many training tokens a part of a level holds."""
+    most = part or PART
+    folder = scratch_dir(docs.sparkSession) + "-trie"
+    files, name = _open(folder)
+    files.create_dir(name, recursive=True)
     raw = written(_blocks(docs.select(F.col("doc_id").cast("long"), "text",
                                       F.coalesce(train, F.lit(False)).alias("train"))))
-    each = Window.partitionBy("word")
-    vocab = written(raw.filter("ids is null").select(
-        "block", "local", "word", F.sum("n").over(each).alias("c"),
-        (F.row_number().over(each.orderBy("block")) == 1).alias("first")))
-    one = vocab.filter("first and c > 0")
-    total, distinct = one.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    texts = raw.filter("train").count()
-    level, nodes = _level(one.filter(F.col("c") >= least).select(F.col("word").alias("key"), "c"), folder)
-    levels, words = [level], level.size
-
-    # the blocks get their words' counts and places; from here on a row is a text of codes
-    coded = StructType([StructField("doc_id", LongType()), StructField("train", BooleanType()),
-                        StructField("n_tokens", LongType()), StructField("n_known", LongType()),
-                        StructField("base_score", DoubleType()), StructField("codes", BinaryType())])
-    model = Model([level], total, distinct, 0.0)
-
-    def code(block: pa.Table) -> dict:
-        text = block.filter(pa.compute.is_valid(block["ids"]))
-        word = block.filter(pa.compute.is_null(block["ids"]))
-        local, c, h = (word[x].to_numpy() for x in ("local", "c", "word"))
-        count = np.zeros(len(local), np.int64)
-        count[local] = c
-        place = np.full(len(local), -1, np.int64)
-        place[local] = _unique_find(level, h, c >= least)
-        own = np.where(place >= 0, place, -1 - count)
-        ids, first, sizes = _runs(text["ids"].to_pylist(), "<u4")
-        logs, known = model.base(count.astype(float)), (count > 0).astype(np.int64)
-        if len(own) and own.max() > np.iinfo(np.int32).max:
-            raise ValueError("more than 2 ** 31 words reach the least count; raise it")
-        got = own[ids].astype("<i4")
-        return {"doc_id": text["doc_id"].combine_chunks(), "train": text["train"].combine_chunks(), "n_tokens": sizes,
-                "n_known": np.add.reduceat(known[ids], first), "base_score": np.add.reduceat(logs[ids], first),
-                "codes": _packed([got[f:f + s] for f, s in zip(first, sizes)])}
-    both = raw.filter("ids is not null").select("block", F.lit(None).cast("int").alias("local"),
-                                                F.lit(None).cast("long").alias("word"),
-                                                F.lit(None).cast("long").alias("c"), "doc_id", "train", "ids").unionByName(
-        vocab.select("block", "local", "word", "c"), allowMissingColumns=True)
-    rows = written(arrow_groups(both, ["block"], code, coded))
-    forget(raw, vocab)
-
-    n_context = nodes.select(F.col("place").alias("context"), F.col("c").alias("of"))
-    start = spark.range(1).select(F.lit(words).cast("long").alias("context"), F.lit(texts).cast("long").alias("of"))
-    n_context = n_context.unionByName(start)
-    weight = nodes.select("place", F.log10((F.col("c") + 0.5) / F.lit(total + 0.5 * (distinct + 1))).alias("weight"))
-    start_backoff = 0.0
-    pair = StructType([StructField("key", LongType()), StructField("n", LongType())])
-    for k in range(2, order + 1):
-        below = list(levels)
-
-        def grams(batch: pa.RecordBatch, below=below, k=k):
-            ids, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in _slices(sizes):
-                codes, first, _ = _runs(ids[lo:hi], "<i4")
-                *_, place = _paths(codes, first, below, words)
-                context = np.full(len(codes), -1, np.int64)
-                context[1:] = place[:-1]
-                context[first] = words if k == 2 else -1
-                live = (context >= 0) & (codes >= 0)
-                key, n = np.unique(context[live] * (words + 1) + codes[live], return_counts=True)
-                yield {"key": key, "n": n}
-        counts = (arrow_map(rows.filter("train").select("codes", "n_tokens"), grams, pair).groupBy("key")
-                  .agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-        level, nodes = _level(counts, folder)
-        nodes = written(nodes.withColumn("context", F.floor(F.col("key") / F.lit(words + 1)).cast("long"))
-                        .join(n_context, "context")
-                        .withColumn("share", (F.col("n") - DISCOUNT) / F.col("of")))
-        left = nodes.groupBy("context").agg(F.log10(F.greatest(F.lit(1e-9), 1 - F.sum("share"))).alias("backoff"))
-        if k == 2:
-            got = left.filter(F.col("context") == words).first()
-            start_backoff = float(got["backoff"]) if got else 0.0
-        _add_values(levels[-1], weight.join(left, weight.place == left.context, "left").select(
-            "place", "weight", F.coalesce("backoff", F.lit(0.0)).alias("backoff")), folder)
-        levels.append(level)
-        n_context = nodes.select(F.col("place").alias("context"), F.col("n").alias("of"))
-        weight = nodes.select("place", F.log10("share").alias("weight"))
-    _add_values(levels[-1], weight.withColumn("backoff", F.lit(0.0)), folder)
-
-    final = Model(levels, total, distinct, start_backoff)
-    out = StructType([StructField("doc_id", LongType()), StructField("train", BooleanType()),
-                      StructField("n_tokens", LongType()), StructField("n_known", LongType()),
-                      StructField("base_score", DoubleType()), StructField("score", DoubleType())])
+    level, total, plan = _vocabulary(raw, folder, most)
+    model = Model(level, total)
+
+    # the blocks get their words' places (plus 1; 0: not seen in training) and base scores
+    coded = _fields(doc_id=ArrayType(LongType()), train=ArrayType(BooleanType()), n_tokens=ArrayType(LongType()),
+                    n_known=ArrayType(LongType()), base_score=ArrayType(DoubleType()), codes=BinaryType())
+
+    def code(batch: pa.RecordBatch):
+        for r in range(batch.num_rows):
+            row = {n: batch.column(i)[r].as_py() for i, n in enumerate(batch.schema.names)}
+            words, back = np.unique(np.frombuffer(row["words"], np.int64), return_inverse=True)
+            place = level.find(words)
+            count = np.zeros(len(words), np.int64)
+            count[place >= 0] = level.counts(place[place >= 0])
+            place, count = place[back], count[back]
+            ids, sizes = _restored(row["codes"]), np.array(row["n_tokens"], np.int64)
+            first = np.cumsum(sizes) - sizes
+            yield {"doc_id": [row["doc_id"]], "train": [row["train"]], "n_tokens": [row["n_tokens"]],
+                   "n_known": [np.add.reduceat((count > 0).astype(np.int64)[ids], first).tolist()],
+                   "base_score": [np.add.reduceat(model.base(count)[ids], first).tolist()],
+                   "codes": [_squeezed(place[ids] + 1)]}
+    rows = written(arrow_map(raw.drop("n", "n_words"), code, coded))
+    forget(raw)
+
+    texts = rows.select(F.coalesce(F.sum(F.size(F.filter("train", lambda t: t))), F.lit(0))).first()[0]
+    plan.with_start(texts, most)
+    for _ in range(2, order + 1):
+        grams, plan = _next_level(rows, model, plan, folder, least, most)
+        model.grams.append(grams)
 
     def run(batch: pa.RecordBatch):
-        ids, sizes = batch.column(5).to_pylist(), batch.column(2).to_pylist()
-        for lo, hi in _slices(sizes):
-            codes, first, _ = _runs(ids[lo:hi], "<i4")
-            yield {f.name: batch.column(i).slice(lo, hi - lo) for i, f in enumerate(out.fields[:5])} | {
-                "score": np.add.reduceat(final.score(codes, first), first)}
-    return arrow_map(rows, run, out).withColumn("train_tokens", F.lit(total).cast("long"))
+        for i in range(batch.num_rows):
+            score = np.concatenate([np.add.reduceat(model.score(codes, first), first)
+                                    for codes, first, _ in _texts(batch, i, train=False)])
+            yield {n: batch.column(batch.schema.get_field_index(n))[i].as_py()
+                   for n in ("doc_id", "train", "n_tokens", "n_known", "base_score")} | {"score": score}
+    return arrow_map(rows, run, _fields(
+        doc_id=LongType(), train=BooleanType(), n_tokens=LongType(), n_known=LongType(), base_score=DoubleType(),
+        score=DoubleType())).withColumn("train_tokens", F.lit(total).cast("long"))

@@ -223,6 +223,36 @@ def test_eliasfano_levels(tmp_path):
         assert (eliasfano.decode(np.frombuffer(eliasfano.encode(some), np.uint8)) == some).all()
 
 
+@pytest.mark.parametrize("m,most,words", [(1, 3000, 5000), (700, 40, 90), (3000, 1, 70000), (50, 0, 10), (4, 900, 1 << 40)])
+def test_gram_runs(m, most, words):
+    """Pointers, words, weights and back-offs read back from a part's bytes."""
+    rng = np.random.default_rng(m)
+    sizes = rng.integers(0, most + 1, m)
+    runs = [np.sort(rng.choice(words, s, replace=False)) if words < 1 << 20 else np.unique(rng.integers(0, words, s))
+            for s in sizes]
+    pointers = np.cumsum([0] + [len(r) for r in runs])
+    word, weight, left = np.concatenate(runs).astype(np.int64), rng.integers(-99, 0, pointers[-1]) / 7, -np.arange(m) % 9 / 3
+    part = eliasfano.GramPart(np.frombuffer(eliasfano.pack_grams(10, pointers, word, weight, left), np.uint8))
+    assert (part.pointer(np.arange(m + 1)) == pointers).all()
+    assert (part.left(10 + np.arange(m)) == left).all()
+    context = np.repeat(np.arange(m), np.diff(pointers))
+    at, got = part.find(10 + context, word)
+    assert (at == np.arange(len(word))).all() and (got == weight).all()
+    ask = rng.integers(0, m, 500), rng.integers(0, words, 500)
+    have = dict(zip(zip(context.tolist(), word.tolist()), range(len(word))))
+    at, got = part.find(10 + ask[0], ask[1])
+    assert at.tolist() == [have.get(k, -1) for k in zip(*(a.tolist() for a in ask))]
+    assert (np.isinf(got) == (at < 0)).all()
+
+
+def test_cuts():
+    for n in ([], [1], [9], [3, 3, 3, 3], [1, 20, 1, 1, 30, 30, 2]):
+        lo, subs = eliasfano.cut(np.array(n, np.int64), 5)
+        for a, z, k in zip(lo, [*lo[1:], len(n)], subs):
+            assert sum(n[a:z]) <= 10 if k == 1 else (z - a == 1 and k == -(-n[a] // 5))
+        assert lo.tolist() == sorted(set(lo.tolist())) and (not n or lo[0] == 0)
+
+
 def test_language_model(spark, odd, none):
     rows = docs_of(spark)
     texts = {r.doc_id: [*WORDS.findall(lower(r.text)), "\n"] for r in rows}
@@ -238,8 +268,9 @@ def test_language_model(spark, odd, none):
         assert r.base_score == pytest.approx(base, rel=1e-9)
     assert sum(r.score for r in out if r.held_out) > sum(r.base_score for r in out if r.held_out)
     for df in (odd, none):
-        got = ngram_lm.scored(df, F.lit(True), least=2)
-        assert got.count() == df.count() and got.filter("score is null or score > 0 or isnan(score)").count() == 0
+        for setting in ({}, {"least": 2}, {"order": 1}, {"part": 2}):
+            got = ngram_lm.scored(df, F.lit(True), **setting)
+            assert got.count() == df.count() and got.filter("score is null or score > 0 or isnan(score)").count() == 0
 
 
 def test_rare_ngrams_count(spark):
@@ -262,9 +293,39 @@ def test_rare_ngrams_count(spark):
         seen = of[k - 1][context]
         return max(0, gram[k][(*context, w)] - 0.75) / seen + (1 - sum(n - 0.75 for n in after) / seen) * lower_
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r for r in ngram_lm.scored(rows, F.col("doc_id") < 5).collect()}
-    for d, text in enumerate(texts):
-        t = [None, *text.split(), "\n"]
-        want = sum(log10(prob(tuple(t[max(0, i - 2):i]), t[i])) for i in range(1, len(t)))
-        assert got[d].score == pytest.approx(want, rel=1e-9)
-    assert got[5].score > got[5].base_score + 2
+    for part in (None, 8, 2, 1):  # 1: every context seen twice is shared by parts
+        got = {r.doc_id: r for r in ngram_lm.scored(rows, F.col("doc_id") < 5, part=part).collect()}
+        for d, text in enumerate(texts):
+            t = [None, *text.split(), "\n"]
+            want = sum(log10(prob(tuple(t[max(0, i - 2):i]), t[i])) for i in range(1, len(t)))
+            assert got[d].score == pytest.approx(want, rel=1e-9)
+        assert got[5].score > got[5].base_score + 2
+
+
+def test_scores_of_any_parts(spark):
+    """With one part a level and with many, scores equal the exact ones up to the rounding of the codes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    learnt = Counter()
+    texts = {r.doc_id: [None, *WORDS.findall(lower(r.text)), "\n"] for r in docs.collect()}
+    for d, t in texts.items():
+        if d % 5 > 0:
+            learnt.update(tuple(t[i:i + k]) for k in (1, 2, 3) for i in range(len(t) - k + 1))
+            learnt[()] += len(t) - 1
+    after, kinds = Counter(), Counter()
+    for g, n in learnt.items():
+        if len(g) > 1:
+            after[g[:-1]] += n
+            kinds[g[:-1]] += 1
+    distinct = sum(len(g) == 1 and g != (None,) for g in learnt)
+
+    def prob(g):
+        if len(g) == 1:
+            return (learnt[g] + 0.5) / (learnt[()] + 0.5 * (distinct + 1))
+        below, of = prob(g[1:]), after[g[:-1]]
+        return (max(0, learnt[g] - 0.75) + 0.75 * kinds[g[:-1]] * below) / of if of else below
+    for part in (None, 300):
+        got = {r.doc_id: r.score for r in ngram_lm.scored(docs, F.col("doc_id") % 5 > 0, part=part).collect()}
+        want = {d: sum(log10(prob(tuple(t[max(0, i - 2):i + 1]))) for i in range(1, len(t))) for d, t in texts.items()}
+        # a code's rounding changes a token's score a little, without bias
+        assert max(abs(got[d] - want[d]) / len(texts[d]) for d in want) < 0.05
+        assert sum(got.values()) == pytest.approx(sum(want.values()), rel=2e-3)
