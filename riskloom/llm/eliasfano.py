@@ -8,7 +8,7 @@ key, packed low bits and high bits in unary.
 A level of n-grams (``Grams``) holds, for each n-gram of the level below (its
 context), the run of words that follow it. A part's file covers a range of
 contexts: Elias-Fano pointers to the runs (monotone; read by select on the high
-bits), the words of the runs in as few bytes as the vocabulary needs, and one
+bits), the words of the runs in 1, 2, 4 or 8 bytes as the vocabulary needs, and one
 byte for each word's weight and each context's back-off, which are codes into
 256 quantiles of the part. A word is found by successor search inside its
 context's run. A context too heavy for one part is split by ranges of words;
@@ -131,8 +131,15 @@ def opened(uri: str, kind: type):
 
 def _ranges(part: np.ndarray):
     """(part, lo, hi) for each run of a sorted array."""
-    found, lo = np.unique(part, return_index=True)
-    return zip(found.tolist(), lo.tolist(), [*lo[1:].tolist(), len(part)])
+    lo = np.flatnonzero(_changes(part))
+    return zip(part[lo].tolist(), lo.tolist(), [*lo[1:].tolist(), len(part)])
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """True where a run of equal values starts."""
+    out = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return out
 
 
 @dataclass
@@ -163,16 +170,10 @@ class Level:
         return out
 
 
-# ones in a byte, and the place of its r-th one
-_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
-_ONES = _BITS.sum(axis=1).astype(np.int64)
-_PLACE = np.argsort(1 - _BITS, axis=1, kind="stable")
-
-
 def _book(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """At most 256 quantiles of the values, and each value's nearest one."""
     s = np.sort(x)
-    book = s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else np.zeros(1)
+    book = s[_changes(s)] if len(s) else np.zeros(1)
     if len(book) > CODES:
         book = np.unique(s[np.round(np.linspace(0, len(s) - 1, CODES)).astype(np.int64)])
     if len(book) == 1:
@@ -191,14 +192,15 @@ def pack_grams(lo: int, pointers: np.ndarray, words: np.ndarray, weight: np.ndar
     bits[at] = 1
     ones = np.cumsum(bits.reshape(-1, 64).sum(axis=1, dtype=np.uint32), dtype=np.uint32)
     lows = ((pointers[:, None] >> np.arange(low)) & 1).astype(np.uint8)
-    width = max(1, (int(words.max(initial=0)).bit_length() + 7) // 8)
+    width = next(w for w in (1, 2, 4, 8) if int(words.max(initial=0)) < 1 << (8 * w - 1))
     (weights, w), (backoffs, b) = _book(weight), _book(backoff)
     parts = [weights.astype("<f8"), backoffs.astype("<f8"), np.concatenate([[0], ones[:-1]]).astype("<u4"),
              np.packbits(bits, bitorder="little"), np.concatenate([np.packbits(lows, bitorder="little"), np.zeros(8, np.uint8)]),
-             words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width], w, b]
+             words.astype(f"<i{width}"), w, b]
     raw = [p.tobytes() for p in parts]
     head = json.dumps({"lo": lo, "low": low, "width": width, "n": n, "sizes": [len(r) for r in raw]}).encode()
-    return struct.pack("<I", len(head)) + head + b"".join(raw)
+    head += b" " * (-(4 + len(head)) % 8)  # sections start at multiples of 8 bytes
+    return struct.pack("<I", len(head)) + head + b"".join(r + bytes(-len(r) % 8) for r in raw)
 
 
 class GramPart:
@@ -207,56 +209,64 @@ class GramPart:
     def __init__(self, raw: np.ndarray):
         size = struct.unpack("<I", raw[:4].tobytes())[0]
         head = json.loads(raw[4:4 + size].tobytes())
-        cut = np.cumsum([4 + size, *head["sizes"]]).tolist()
-        weights, backoffs, ones, self.high, self.lows, self.words, self.w, self.b = (
-            raw[a:z] for a, z in zip(cut, cut[1:]))
-        self.weights, self.backoffs = (np.frombuffer(x.tobytes(), "<f8") for x in (weights, backoffs))
-        self.ones = np.frombuffer(ones.tobytes(), "<u4")
-        self.lo, self.low, self.width, self.n = (head[k] for k in ("lo", "low", "width", "n"))
+        sizes = head["sizes"]
+        at = np.cumsum([4 + size, *[x + -x % 8 for x in sizes]]).tolist()
+        weights, backoffs, ones, high, self.lows, words, self.w, self.b = (raw[a:a + x] for a, x in zip(at, sizes))
+        self.weights, self.backoffs, self.ones = weights.view("<f8"), backoffs.view("<f8"), ones.view("<u4")
+        self.high, self.words = high.view("<u8"), words.view(f"<i{head['width']}")
+        self.lo, self.low, self.n = head["lo"], head["low"], head["n"]
+
+    def _select(self, i: np.ndarray) -> np.ndarray:
+        """The place of the i-th one in the high bits: by the ones before each
+        64 bits, then by halves of these."""
+        word = np.searchsorted(self.ones, i, side="right") - 1
+        rest, bits, at = i - self.ones[word], self.high[word], word * 64
+        for half in (32, 16, 8, 4, 2, 1):
+            below = np.bitwise_count(bits & np.uint64((1 << half) - 1)).astype(np.int64)
+            up = rest >= below
+            rest -= below * up
+            bits >>= (up * half).astype(np.uint64)
+            at += up * half
+        return at
 
     def pointer(self, i: np.ndarray) -> np.ndarray:
-        """Element ``i`` of the monotone sequence: select on the high bits."""
-        word = np.searchsorted(self.ones, i, side="right") - 1
-        rest = i - self.ones[word]
-        octets = self.high[(word * 8)[:, None] + np.arange(8)]
-        upto = np.cumsum(_ONES[octets], axis=1)
-        octet = (upto <= rest[:, None]).sum(axis=1)
-        each = np.arange(len(i))
-        rest = rest - np.where(octet > 0, upto[each, octet - 1], 0)
-        high = word * 64 + octet * 8 + _PLACE[octets[each, octet], rest] - i
+        """Element ``i`` of the monotone sequence."""
+        high = self._select(i) - i
         if not self.low:
             return high
         bit = i * self.low
         window = np.ascontiguousarray(self.lows[(bit >> 3)[:, None] + np.arange(8)]).view("<i8")[:, 0]
         return (high << self.low) | ((window >> (bit & 7)) & ((1 << self.low) - 1))
 
-    def word(self, at: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(at), np.int64)
-        for j in range(self.width):
-            out |= self.words[at * self.width + j].astype(np.int64) << (8 * j)
-        return out
-
-    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the part (-1: absent) and weight: the first word not
-        smaller, looked for inside the context's run."""
-        i = context - self.lo
-        a, z = self.pointer(i), self.pointer(i + 1)
-        end = z.copy()
-        open_ = np.flatnonzero(a < z)
-        while len(open_):
-            mid = (a[open_] + z[open_]) >> 1
-            less = self.word(mid) < word[open_]
-            a[open_[less]] = mid[less] + 1
-            z[open_[~less]] = mid[~less]
-            open_ = open_[a[open_] < z[open_]]
-        hit = a < end
-        hit[hit] = self.word(a[hit]) == word[hit]
-        weight = np.full(len(a), -np.inf)
-        weight[hit] = self.weights[self.w[a[hit]]]
-        return np.where(hit, a, -1), weight
-
-    def left(self, context: np.ndarray) -> np.ndarray:
-        return self.backoffs[self.b[context - self.lo]]
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in the part (-1: absent) and weight of sorted pairs, and their
+        contexts' back-offs: the first word not smaller is looked for inside
+        the context's run."""
+        fresh = _changes(context)
+        each, i = np.cumsum(fresh) - 1, context[fresh] - self.lo
+        alone = np.ones(len(i), bool)  # neighbours share a pointer
+        alone[:-1] = i[1:] != i[:-1] + 1
+        at = np.arange(len(i)) + np.cumsum(alone) - alone
+        ends = np.empty(len(i) + int(alone.sum()), np.int64)
+        ends[at], ends[at[alone] + 1] = i, i[alone] + 1
+        pointers = self.pointer(ends)
+        a, end = pointers[at][each], pointers[at + 1][each]
+        left = np.arange(len(a))  # still searched: index, bounds, word
+        lo, hi, w = a.copy(), end.copy(), word
+        while len(left):
+            on = lo < hi
+            if not on.all():
+                a[left[~on]] = lo[~on]
+                left, lo, hi, w = left[on], lo[on], hi[on], w[on]
+            mid = (lo + hi) >> 1
+            less = self.words[mid] < w
+            lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+        found = np.flatnonzero(a < end)
+        found = found[self.words[a[found]] == word[found]]
+        place, weight = np.full(len(a), -1, np.int64), np.full(len(a), -np.inf)
+        place[found] = a[found]
+        weight[found] = self.weights[self.w[a[found]]]
+        return place, weight, self.backoffs[self.b[i]][each]
 
 
 @dataclass
@@ -278,26 +288,18 @@ class Grams:
         """The part that holds each pair."""
         return part_of(self.lo, self.subs, self.words, context, word)
 
-    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places (-1: absent) and weights of sorted pairs."""
-        place, weight = np.full(len(context), -1, np.int64), np.full(len(context), -np.inf)
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places (-1: absent) and weights of sorted pairs, and logarithms of
+        their contexts' back-offs (0: no child)."""
+        place, weight, left = np.full(len(context), -1, np.int64), np.full(len(context), -np.inf), np.zeros(len(context))
         if self.size:
             for p, lo, hi in _ranges(self.at(context, word)):
                 if self.files[p]:
-                    got, weight[lo:hi] = opened(self.files[p], GramPart).find(context[lo:hi], word[lo:hi])
+                    got, weight[lo:hi], left[lo:hi] = opened(self.files[p], GramPart).find(context[lo:hi], word[lo:hi])
                     place[lo:hi] = np.where(got >= 0, got + self.start[p], -1)
-        return place, weight
-
-    def left(self, context: np.ndarray) -> np.ndarray:
-        """Logarithms of the back-offs of sorted contexts (0: no child)."""
-        out = np.zeros(len(context))
-        if self.size:
-            for p, lo, hi in _ranges(np.searchsorted(self.lo, context, side="right") - 1):
                 if self.subs[p] > 1:
-                    out[lo:hi] = self.hot[int(self.lo[p])]
-                elif self.files[p]:
-                    out[lo:hi] = opened(self.files[p], GramPart).left(context[lo:hi])
-        return out
+                    left[lo:hi] = self.hot[int(self.lo[p])]
+        return place, weight, left
 
 
 def part_of(lo: np.ndarray, subs: np.ndarray, words: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -305,7 +307,7 @@ def part_of(lo: np.ndarray, subs: np.ndarray, words: int, context: np.ndarray, w
     its word's place among ``words``."""
     last = np.searchsorted(lo, context, side="right") - 1
     s = subs[last]
-    return np.where(s > 1, last - (s - 1) + word * s // max(1, words), last)
+    return np.where(s > 1, last - (s - 1) + np.minimum(s - 1, word * s // max(1, words)), last)
 
 
 def cut(n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:

@@ -56,14 +56,17 @@ POSITIVE = (1 << 63) - 1
 
 
 def _squeezed(a: np.ndarray) -> bytes:
-    """Numbers of 0 or more as compressed byte planes."""
-    planes = np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    """Numbers of 0 or more as compressed byte planes, after their count."""
+    width = max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _restored(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<i8")[:, 0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :raw[0]] = planes.T
+    return out.view("<i8")[:, 0]
 
 
 def _fields(**types) -> StructType:
@@ -193,10 +196,23 @@ def _vocabulary(raw: DataFrame, folder: str, most: int) -> tuple[Level, int, _Pl
 
 
 def _pairs(context: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (context, word) in order, and each pair's index among them."""
-    distinct, at = np.unique(context, return_inverse=True)
-    key, back = np.unique(at * (words + 1) + word, return_inverse=True)
-    return distinct[key // (words + 1)], key % (words + 1), back
+    """Distinct (context, word) in order, and each pair's index among them;
+    contexts are numbered first where the two do not fit one number."""
+    names, key = _keys(context, word, words)
+    key, back = np.unique(key, return_inverse=True)
+    return *_split(names, key, words), back
+
+
+def _keys(context: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray | None, np.ndarray]:
+    names = None
+    if len(context) and (int(context.max()) + 1) * (words + 1) > POSITIVE:
+        names, context = np.unique(context, return_inverse=True)
+    return names, context * (words + 1) + word
+
+
+def _split(names: np.ndarray | None, key: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    context, word = np.divmod(key, words + 1)
+    return context if names is None else names[context], word
 
 
 class Model:
@@ -227,13 +243,10 @@ class Model:
             place = np.full(len(codes), -1, np.int64)
             known = context >= 0
             if known.any():
-                distinct, back = np.unique(context[known], return_inverse=True)
-                left[known] = self.grams[k].left(distinct)[back]
-            live = known & (codes >= 0)
-            if live.any():
-                c, w, back = _pairs(context[live], codes[live], size)
-                at, logs = self.grams[k].find(c, w)
-                place[live], weight[live] = at[back], logs[back]
+                # an unknown word is asked for as one behind the last, which no run holds
+                c, w, back = _pairs(context[known], np.where(codes >= 0, codes, size)[known], size)
+                at, logs, rest = self.grams[k].find(c, w)
+                place[known], weight[known], left[known] = at[back], logs[back], rest[back]
             yield context, weight, left
 
     def score(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -257,10 +270,10 @@ def _next_level(rows: DataFrame, model: Model, plan: _Plan, folder: str, least:
         held: list[tuple] = []
 
         def flush():
-            c, w, n = (np.concatenate(x) for x in zip(*held))
+            names, key = _keys(*(np.concatenate(x) for x in zip(*held)), size)
             held.clear()
-            c, w, back = _pairs(c, w, size)
-            n = np.bincount(back, weights=n).astype(np.int64)
+            key, n = np.unique(key, return_counts=True)
+            c, w = _split(names, key, size)
             part = part_of(plan.lo, plan.subs, size, c, w)
             found, lo = np.unique(part, return_index=True)
             ends = [*lo[1:].tolist(), len(c)]
@@ -273,8 +286,7 @@ def _next_level(rows: DataFrame, model: Model, plan: _Plan, folder: str, least:
                 *_, (context, _, _) = model.walk(codes, first)
                 live = (context >= 0) & (codes >= 0)
                 if live.any():
-                    c, w, back = _pairs(context[live], codes[live].astype(np.int64), size)
-                    held.append((c, w, np.bincount(back)))
+                    held.append((context[live], codes[live]))
                 if sum(len(h[0]) for h in held) >= most:
                     yield flush()
         if held:

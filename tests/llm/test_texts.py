@@ -234,17 +234,24 @@ def test_gram_runs(m, most, words):
     word, weight, left = np.concatenate(runs).astype(np.int64), rng.integers(-99, 0, pointers[-1]) / 7, -np.arange(m) % 9 / 3
     part = eliasfano.GramPart(np.frombuffer(eliasfano.pack_grams(10, pointers, word, weight, left), np.uint8))
     assert (part.pointer(np.arange(m + 1)) == pointers).all()
-    assert (part.left(10 + np.arange(m)) == left).all()
     context = np.repeat(np.arange(m), np.diff(pointers))
-    at, got = part.find(10 + context, word)
-    assert (at == np.arange(len(word))).all() and (got == weight).all()
-    ask = rng.integers(0, m, 500), rng.integers(0, words, 500)
+    at, got, rest = part.find(10 + context, word)
+    assert (at == np.arange(len(word))).all() and (got == weight).all() and (rest == left[context]).all()
+    ask = sorted({*zip(rng.integers(0, m, 500).tolist(), rng.integers(0, words, 500).tolist()), (m - 1, words)})
     have = dict(zip(zip(context.tolist(), word.tolist()), range(len(word))))
-    at, got = part.find(10 + ask[0], ask[1])
-    assert at.tolist() == [have.get(k, -1) for k in zip(*(a.tolist() for a in ask))]
+    at, got, rest = part.find(*(np.array(x, np.int64) + d for x, d in zip(zip(*ask), (10, 0))))
+    assert at.tolist() == [have.get(k, -1) for k in ask] and (rest == left[[c for c, _ in ask]]).all()
     assert (np.isinf(got) == (at < 0)).all()
 
 
+def test_pairs_beyond_one_number():
+    context, word = np.array([1 << 40, 3, 1 << 40, 3]), np.array([5, 1 << 30, 5, 0])
+    for words in (1 << 31, 1 << 20):
+        w = np.minimum(word, words)
+        c, got, back = ngram_lm._pairs(context, w, words)
+        assert (c[back] == context).all() and (got[back] == w).all() and len(c) == 3 and c.tolist() == sorted(c)
+
+
 def test_cuts():
     for n in ([], [1], [9], [3, 3, 3, 3], [1, 20, 1, 1, 30, 30, 2]):
         lo, subs = eliasfano.cut(np.array(n, np.int64), 5)
