@@ -50,6 +50,7 @@ class RankBpe:
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.marks = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True))
                                 + ")") if self.special else None
+        self.heads = {t[0] for t in self.special}  # a text without any of these holds no special token
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
         self.wide = regex.compile(f"[{SPACE}]+")
         self.cache = _Remembered(self.run, self.CACHED)
@@ -125,7 +126,7 @@ class RankBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        if self.marks and "<" in text:
+        if any(h in text for h in self.heads):
             return b"".join(self.special[s].to_bytes(4, "little") if s in self.special else self._plain(s)
                             for s in self.marks.split(text))
         return self._plain(text)

@@ -156,6 +156,19 @@ def test_bpe_equals_the_library(spark, odd, none):
     assert bpe.encoded(none, path).count() == 0
 
 
+def test_bpe_special_tokens_of_any_form():
+    import json
+
+    import public_tokenizers
+    from tokenizers import AddedToken, Tokenizer
+    lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    lib.add_special_tokens([AddedToken("[SEP]", special=True, normalized=False)])
+    mine = bpe.RankBpe(lib.to_str())
+    assert "[SEP]" in {t["content"] for t in json.loads(lib.to_str())["added_tokens"]}
+    for text in ("one [SEP] two", "[SEP]", "a[SEP]b [SEP", "no mark", "", "<|endoftext|> and [SEP][SEP]"):
+        assert np.frombuffer(mine.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
+
+
 def test_statistics_and_rules(spark, odd, none, labels):
     n, chars, symbols, lines, repeats = textstats.measure("a b c a b c\nx #é\nx #é\n\n".encode())[0]
     assert (n, chars, symbols, lines, repeats) == (10, 12, 2, 1, 6)
