@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import SparkContext, StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -37,6 +37,7 @@ from .reports import ReportTable
 
 MAX_DEPTH = 30   # Spark's limit; stands for "unlimited"
 CACHED_DEPTH = 15   # deeper forests keep each row's nodes instead of walking every tree again at each level
+CACHED_ROWS = 100_000   # so do forests on more rows, whatever their depth
 ROWS_PER_TASK = 50_000
 MAX_WORKERS = 48
 
@@ -56,8 +57,9 @@ def with_weights(df: DataFrame, label: str = LABEL, balanced: bool = True, col:
     return df.join(F.broadcast(w), label)     # ≤ #classes rows
 
 
-def make_classifier(model_type: str, params: dict, n_weighted: float | None = None, label: str = LABEL):
-    """Spark estimator for a source-style parameter set."""
+def make_classifier(model_type: str, params: dict, n_weighted: float | None = None, label: str = LABEL,
+                    rows: int = 0):
+    """Spark estimator for a source-style parameter set, for a table of ``rows`` rows."""
     p = dict(params)
     if model_type == "logistic":
         c = float(p.get("C", 1.0))
@@ -73,7 +75,10 @@ def make_classifier(model_type: str, params: dict, n_weighted: float | None = No
         est = RandomForestClassifier(featuresCol="features", labelCol=label,
                                      numTrees=int(p.get("n_estimators", 100)),
                                      maxDepth=int(depth) if depth else MAX_DEPTH, seed=int(p.get("random_state", 42)))
-        est.setCacheNodeIds(est.getMaxDepth() > CACHED_DEPTH)   # the same trees
+        deep = est.getMaxDepth() > CACHED_DEPTH
+        est.setCacheNodeIds(deep or rows > CACHED_ROWS)   # the same trees
+        if not deep:
+            est.setCheckpointInterval(-1)   # a few levels of lineage are not worth a written copy of the nodes
         if p.get("class_weight") == "balanced":
             est.setWeightCol("weight")
         return est
@@ -90,14 +95,17 @@ def fit_model(train: DataFrame, model_type: str, params: dict, label: str = LABE
     fitted pipeline (preparation + model) and the preparation state."""
     state = state or fit_prep(train, label=label, k=k)
     balanced = params.get("class_weight") == "balanced"
-    data = with_weights(train, label, balanced).persist(StorageLevel.MEMORY_AND_DISK)
-    n_w = None
-    if model_type == "logistic":
-        n_w = data.agg(F.sum("weight")).collect()[0][0]
-    est = make_classifier(model_type, params, n_w, label)
-    stages = prep_stages(state, keep=(label, "weight", "ID")) + [est]
+    stages = prep_stages(state, keep=(label, "weight", "ID"))
+    # the prepared features are kept, not the raw columns: every pass of the fit reads them ready
+    data = (PipelineModel(stages=stages).transform(with_weights(train, label, balanced))
+            .select(label, "weight", "features").persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        return Pipeline(stages=stages).fit(data), state
+        n_w, rows = None, 0
+        if model_type == "logistic":
+            n_w = data.agg(F.sum("weight")).collect()[0][0]
+        elif model_type == "random_forest":
+            rows = data.count()
+        return PipelineModel(stages=stages + [make_classifier(model_type, params, n_w, label, rows).fit(data)]), state
     finally:
         data.unpersist()
 
@@ -185,7 +193,7 @@ def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel
 def fit_classifier(parts: Prepared, model_type: str, params: dict, label: str = LABEL):
     """The classifier alone, on prepared features. Balanced weights add up to
     the number of rows, so the logistic penalty needs no job of its own."""
-    return make_classifier(model_type, params, float(parts.n), label).fit(parts.train)
+    return make_classifier(model_type, params, float(parts.n), label, parts.n).fit(parts.train)
 
 
 def classified(model, prepared: DataFrame, label: str = LABEL) -> DataFrame:

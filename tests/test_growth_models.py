@@ -51,3 +51,39 @@ def test_an_experiment_without_search_does_not_wait(spark, table, monkeypatch):
             TR.Experiment("rf", "random_forest", False, {"n_estimators": 2, "max_depth": 2, "random_state": 42})]
     log, model, name = TR.run_experiments(table.filter("ID % 5 > 0"), table.filter("ID % 5 = 0"), todo, 2, workers=4)
     assert [r["name"] for r in log] == ["lr", "rf"] and name in ("lr", "rf") and isinstance(model, PipelineModel)
+
+
+def test_forests_on_many_rows_keep_nodes(spark, table, monkeypatch):
+    """A forest on a large table keeps each row's nodes whatever its depth, both
+    ways of fitting say how many rows there are, and the trees stay the same."""
+    params = {"n_estimators": 6, "max_depth": 4, "random_state": 42, "class_weight": "balanced"}
+    large = TR.make_classifier("random_forest", params, rows=TR.CACHED_ROWS + 1)
+    assert large.getCacheNodeIds() and large.getCheckpointInterval() == -1
+    assert not TR.make_classifier("random_forest", params, rows=TR.CACHED_ROWS).getCacheNodeIds()
+    parts = TR.prepare_parts(table.filter("fold = 0"), table.filter("fold = 1"))
+    walked, whole = TR.fit_classifier(parts, "random_forest", params), TR.fit_model(table, "random_forest", params)[0]
+    made, make = [], TR.make_classifier
+
+    def spy(*args, **kwargs):
+        made.append(make(*args, **kwargs))
+        return made[-1]
+    monkeypatch.setattr(TR, "CACHED_ROWS", 10)
+    monkeypatch.setattr(TR, "make_classifier", spy)
+    kept, again = TR.fit_classifier(parts, "random_forest", params), TR.fit_model(table, "random_forest", params)[0]
+    assert [m.getCacheNodeIds() for m in made] == [True, True]
+    for a, b in ((walked, kept), (whole.stages[-1], again.stages[-1])):
+        assert a.toDebugString.splitlines()[1:] == b.toDebugString.splitlines()[1:]
+    TR.release(parts)
+
+
+def test_a_fit_keeps_prepared_features_only(spark, table, monkeypatch):
+    """What a fit reads again and again are its features, not the raw columns."""
+    kept, persist = [], type(table).persist
+
+    def spy(df, *args):
+        kept.append(df.columns)
+        return persist(df, *args)
+    monkeypatch.setattr(type(table), "persist", spy)
+    model, _ = TR.fit_model(table, "random_forest", {"n_estimators": 2, "max_depth": 2, "random_state": 42})
+    assert kept == [["is_default", "weight", "features"]]
+    assert isinstance(model, PipelineModel) and TR.predict(model, table).count() == 600
