@@ -6,7 +6,7 @@ Sides are 0 (first sample / class 0) and 1.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tails import nan_to_null, p_chi2, p_f, p_ks, p_norm, p_t
@@ -65,14 +65,14 @@ def ks_two_sample(lf: DataFrame, side: str = "side", p_values: bool = True,
 
 def anova_f(lf: DataFrame, label: str = "label", p_values: bool = True, n_classes_bound: int = 100) -> DataFrame:
     """One-way ANOVA F of each feature against the class column:
-    F = (SSB/(K−1)) / (SSW/(N−K)); per-class moments in one aggregate."""
+    F = (SSB/(K−1)) / (SSW/(N−K)); per-class moments in one aggregate, read once.
+    ``n_classes_bound`` is kept for callers of the earlier form and not used."""
     v = F.col("value")
-    per = (lf.filter(v.isNotNull()).groupBy("feature", label)
+    per = (lf.filter(v.isNotNull() & F.col("feature").isNotNull()).groupBy("feature", label)
            .agg(F.count(v).alias("nk"), F.avg(v).alias("mk"), F.var_pop(v).alias("vk")))
-    tot = per.groupBy("feature").agg(
-        F.sum("nk").alias("N"), F.count(F.lit(1)).alias("K"),
-        (F.sum(F.col("nk") * F.col("mk")) / F.sum("nk")).alias("gm"))
-    j = per.join(bounded_broadcast(tot, n_classes_bound * 1000), "feature")
+    whole = Window.partitionBy("feature")     # a row per class
+    j = per.select("*", F.sum("nk").over(whole).alias("N"), F.count(F.lit(1)).over(whole).alias("K"),
+                   (F.sum(F.col("nk") * F.col("mk")).over(whole) / F.sum("nk").over(whole)).alias("gm"))
     agg = j.groupBy("feature").agg(
         F.first("N").alias("N"), F.first("K").alias("K"),
         F.sum(F.col("nk") * (F.col("mk") - F.col("gm")) * (F.col("mk") - F.col("gm"))).alias("ssb"),

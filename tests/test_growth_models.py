@@ -7,6 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from riskloom.operators import train as TR
+from riskloom.operators.twosample import anova_f
 from riskloom.session import scratch_path
 
 
@@ -87,3 +88,22 @@ def test_a_fit_keeps_prepared_features_only(spark, table, monkeypatch):
     model, _ = TR.fit_model(table, "random_forest", {"n_estimators": 2, "max_depth": 2, "random_state": 42})
     assert kept == [["is_default", "weight", "features"]]
     assert isinstance(model, PipelineModel) and TR.predict(model, table).count() == 600
+
+
+def test_anova_reads_its_input_once(spark, table):
+    """The totals of a feature come from its classes, not from a second pass."""
+    table.createOrReplaceTempView("anova_rows")
+    lf = spark.sql("SELECT 'AGE' AS feature, AGE AS value, is_default AS label FROM anova_rows"
+                   " UNION ALL SELECT 'one', CAST(NULL AS DOUBLE), 0 UNION ALL SELECT CAST(NULL AS STRING), 1.0D, 0")
+    out = anova_f(lf, p_values=False)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    groups = {}
+    for r in table.collect():
+        groups.setdefault(r.is_default, []).append(r.AGE)
+    n, mean = 600, sum(map(sum, groups.values())) / 600
+    m = {c: sum(x) / len(x) for c, x in groups.items()}
+    between = sum(len(x) * (m[c] - mean) ** 2 for c, x in groups.items()) / (len(groups) - 1)
+    within = sum((a - m[c]) ** 2 for c, x in groups.items() for a in x) / (n - len(groups))
+    got = out.collect()
+    assert [r.feature for r in got] == ["AGE"] and got[0].f_statistic == pytest.approx(between / within)
